@@ -50,13 +50,15 @@ def fill(df: DataFrame, how: Mapping[str, object], hot_rows: int = HOT_ROWS) ->
     filled: dict[str, Column] = {}
     if medians:
         row = medians_row(df, medians, hot_rows).select(F.struct(*medians).alias("m")).scalar()
-        filled.update({c: F.coalesce(F.col(c), row.getField(c)) for c in medians})
+        filled.update({c: F.coalesce(F.col(c), F.col(f"__medians.{c}")) for c in medians})
     for c, rule in how.items():
         if rule == "mode":
             filled[c] = F.coalesce(F.col(c), mode_row(df, c).scalar())
         elif rule != "median":
             filled[c] = F.coalesce(F.col(c), F.lit(rule))
-    return df.withColumns(filled)
+    # One column carries the statistics, so their plan appears once.
+    carried = df.withColumn("__medians", row) if medians else df
+    return carried.withColumns(filled).drop("__medians")
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -12,48 +12,44 @@ from ..functions import exprs
 from ..operators import clean, profile
 from ..sources import records
 from ..sources.records import CLEANED_COLUMNS, CLEANED_NUMBERS, STUDENT_COLUMNS, table
-from .registry import query
+from .registry import derive, derive_sql, query
 from .students import DOMAINS, student_plan, student_rules
 
-MESSY = """SELECT CASE WHEN p_partkey % 211 = 5 THEN NULL ELSE concat('S', CAST(p_partkey AS {text})) END AS student_id,
- CASE WHEN p_partkey % 97 = 3 THEN NULL ELSE p_name END AS name,
- CASE p_partkey % 9 WHEN 0 THEN 'ml' WHEN 1 THEN ' Machine  Learning ' WHEN 2 THEN 'WEB' WHEN 3 THEN 'web dev'
-  WHEN 4 THEN 'Electronics' WHEN 5 THEN 'mechanical' WHEN 6 THEN NULL WHEN 7 THEN 'Biology' ELSE 'web development' END AS domain,
- CASE p_partkey % 8 WHEN 0 THEN concat(CAST(p_size * 2 AS {text}), '%') WHEN 1 THEN CAST(p_size + 40 AS {text}) WHEN 2 THEN '105%'
-  WHEN 3 THEN '-10' WHEN 4 THEN 'n/a' WHEN 5 THEN NULL WHEN 6 THEN '5d' ELSE concat(' ', CAST(p_size AS {text}), ' %') END AS attendance_percent,
- CASE p_partkey % 7 WHEN 0 THEN 'nine' WHEN 1 THEN ' Two ' WHEN 2 THEN CAST(p_size % 11 AS {text}) WHEN 3 THEN '7.5'
-  WHEN 4 THEN 'eleven' WHEN 5 THEN NULL ELSE CAST(p_size % 5 AS {text}) END AS score,
- CASE p_partkey % 5 WHEN 0 THEN 'zero' WHEN 1 THEN 'TEN' WHEN 2 THEN CAST(p_size % 13 AS {text}) WHEN 3 THEN '1e1' ELSE 'nan' END AS study_hours,
- CASE p_partkey % 6 WHEN 0 THEN concat(CAST(150 + p_size AS {text}), ' cm') WHEN 1 THEN '1.62 m' WHEN 2 THEN CAST(140 + p_size AS {text})
-  WHEN 3 THEN 'abc cm' WHEN 4 THEN '5 ft' ELSE concat(CAST(160 + p_size AS {text}), 'CM') END AS height,
- CASE p_partkey % 4 WHEN 0 THEN concat(CAST(40 + p_size AS {text}), ' kg') WHEN 1 THEN concat(CAST(41 + p_size AS {text}), 'KG')
-  WHEN 2 THEN NULL ELSE CAST(50 + p_size AS {text}) END AS weight,
- CASE p_partkey % 6 WHEN 0 THEN 'Yes' WHEN 1 THEN ' y ' WHEN 2 THEN 'TRUE' WHEN 3 THEN 'no' WHEN 4 THEN 'maybe' ELSE NULL END AS submitted,
- p_partkey AS _key, CASE WHEN p_partkey % 7 = 0 THEN 2 ELSE 1 END AS copies FROM part"""
+# The same column texts build the table in Spark and in SQL; {text} is the string type.
+MESSY = {
+    "student_id": "CASE WHEN p_partkey % 211 = 5 THEN NULL ELSE concat('S', CAST(p_partkey AS {text})) END",
+    "name": "CASE WHEN p_partkey % 97 = 3 THEN NULL ELSE p_name END",
+    "domain": "CASE p_partkey % 9 WHEN 0 THEN 'ml' WHEN 1 THEN ' Machine  Learning ' WHEN 2 THEN 'WEB' WHEN 3 "
+        "THEN 'web dev' WHEN 4 THEN 'Electronics' WHEN 5 THEN 'mechanical' WHEN 6 THEN NULL WHEN 7 THEN "
+        "'Biology' ELSE 'web development' END",
+    "attendance_percent": "CASE p_partkey % 8 WHEN 0 THEN concat(CAST(p_size * 2 AS {text}), '%') WHEN 1 THEN CAST(p_size + "
+        "40 AS {text}) WHEN 2 THEN '105%' WHEN 3 THEN '-10' WHEN 4 THEN 'n/a' WHEN 5 THEN NULL WHEN 6 "
+        "THEN '5d' ELSE concat(' ', CAST(p_size AS {text}), ' %') END",
+    "score": "CASE p_partkey % 7 WHEN 0 THEN 'nine' WHEN 1 THEN ' Two ' WHEN 2 THEN CAST(p_size % 11 AS "
+        "{text}) WHEN 3 THEN '7.5' WHEN 4 THEN 'eleven' WHEN 5 THEN NULL ELSE CAST(p_size % 5 AS {text}) "
+        "END",
+    "study_hours": "CASE p_partkey % 5 WHEN 0 THEN 'zero' WHEN 1 THEN 'TEN' WHEN 2 THEN CAST(p_size % 13 AS {text}) "
+        "WHEN 3 THEN '1e1' ELSE 'nan' END",
+    "height": "CASE p_partkey % 6 WHEN 0 THEN concat(CAST(150 + p_size AS {text}), ' cm') WHEN 1 THEN '1.62 m' "
+        "WHEN 2 THEN CAST(140 + p_size AS {text}) WHEN 3 THEN 'abc cm' WHEN 4 THEN '5 ft' ELSE "
+        "concat(CAST(160 + p_size AS {text}), 'CM') END",
+    "weight": "CASE p_partkey % 4 WHEN 0 THEN concat(CAST(40 + p_size AS {text}), ' kg') WHEN 1 THEN "
+        "concat(CAST(41 + p_size AS {text}), 'KG') WHEN 2 THEN NULL ELSE CAST(50 + p_size AS {text}) END",
+    "submitted": "CASE p_partkey % 6 WHEN 0 THEN 'Yes' WHEN 1 THEN ' y ' WHEN 2 THEN 'TRUE' WHEN 3 THEN 'no' WHEN "
+        "4 THEN 'maybe' ELSE NULL END",
+    "_key": "p_partkey",
+    "copies": "CASE WHEN p_partkey % 7 = 0 THEN 2 ELSE 1 END",
+}
 
 
 def messy(spark, sf):
     """Messy students; ``_rid`` numbers the rows, copies after their originals."""
-    # createOrReplaceTempView would leak a name; the text is built with selectExpr instead.
-    columns = MESSY.format(text="string")
-    body = columns[len("SELECT "): columns.rindex(" FROM part")]
-    base = table(spark, sf, "part").selectExpr(*_split_columns(body))
+    base = derive(table(spark, sf, "part"), MESSY)
     copies = base.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     return copies.select(*STUDENT_COLUMNS, (F.col("_key") * 2 + F.col("_copy")).alias("_rid"))
 
 
-def _split_columns(body: str) -> list[str]:
-    """The select list cut at its top-level commas (those that follow an alias)."""
-    parts, start = [], 0
-    names = [*STUDENT_COLUMNS, "_key", "copies"]
-    for name in names:
-        end = body.index(f" AS {name}", start) + len(f" AS {name}")
-        parts.append(body[start:end].lstrip(", \n"))
-        start = end
-    return parts
-
-
-BASE = "m0 AS (" + MESSY.format(text="VARCHAR") + "), messy AS (SELECT m0.*, _key * 2 + c AS _rid FROM m0, (SELECT unnest([0, 1]) AS c) WHERE c < copies)"
+BASE = "m0 AS (" + derive_sql(MESSY, "part") + "), messy AS (SELECT m0.*, _key * 2 + c AS _rid FROM m0, (SELECT unnest([0, 1]) AS c) WHERE c < copies)"
 
 NUM = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"
 

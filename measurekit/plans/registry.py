@@ -24,6 +24,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+def derive(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Derived input columns from engine-neutral expression texts."""
+    return df.selectExpr(*[f"{text.format(text='string')} AS {name}" for name, text in columns.items()])
+
+
+def derive_sql(columns: dict[str, str], source: str) -> str:
+    """The same derived columns as a SQL select."""
+    return "SELECT " + ", ".join(f"{text.format(text='VARCHAR')} AS {name}" for name, text in columns.items()) + f" FROM {source}"
+
+
 def load_all() -> None:
     from . import (  # noqa: F401
         calibration_queries,
