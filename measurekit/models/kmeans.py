@@ -1,34 +1,43 @@
-"""k-means on plain or array-valued features."""
+"""k-means on an array-valued feature column."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Workers get the small helpers below with the job, also where the package is not installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def array_features(vector: str, size: int) -> list[Column]:
-    return [F.element_at(vector, i + 1).cast("double") for i in range(size)]
 
+def feature_array(columns: Sequence[str]) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in columns])
 
-def squared_distance(points: Sequence[Column], centre: Sequence[float]) -> Column:
-    total = F.lit(0.0)
-    for x, c in zip(points, centre):
-        d = x - F.lit(float(c))
-        total = total + d * d
-    return total
 
+def squared_distance(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
-def nearest_centre(points: Sequence[Column], centres: np.ndarray) -> Column:
-    """struct(distance, cluster) of the closest centre, the smallest index on a tie."""
+
+def nearest_centre(vector: str, centres: np.ndarray) -> Column:
+    """struct(distance, cluster) of the closest centre, the smallest index on a tie. Native, no join."""
+    table = F.array(
+        *[
+            F.struct(F.lit(i).alias("cluster"), F.array(*[F.lit(float(x)) for x in centre]).alias("centre"))
+            for i, centre in enumerate(centres)
+        ]
+    )
     return F.array_min(
-        F.array(
-            *[
-                F.struct(squared_distance(points, c).alias("distance"), F.lit(i).alias("cluster"))
-                for i, c in enumerate(centres)
-            ]
+        F.transform(
+            table,
+            lambda c: F.struct(
+                squared_distance(F.col(vector), c.getField("centre")).alias("distance"),
+                c.getField("cluster").alias("cluster"),
+            ),
         )
     )
 
@@ -38,53 +47,88 @@ class KMeansFit:
     centres: np.ndarray
     iterations: int
 
-    def assign(self, df: DataFrame, points: Sequence[Column], out: str = "cluster") -> DataFrame:
-        return df.withColumn(out, nearest_centre(points, self.centres).getField("cluster"))
+    def assign(self, df: DataFrame, vector: str, out: str = "cluster") -> DataFrame:
+        return df.withColumn(out, nearest_centre(vector, self.centres).getField("cluster"))
 
 
-def plus_plus(df: DataFrame, points: Sequence[Column], row_id: str, k: int, seed: int = 42) -> np.ndarray:
+def plus_plus(df: DataFrame, vector: str, row_id: str, k: int, seed: int = 42) -> np.ndarray:
     """k-means++ start: each next centre is drawn with weight = squared distance to the chosen ones.
 
     The draw is a weighted race on a hash of the row id (smallest -ln(u) / weight wins), so it
     is one reproducible aggregation per centre.
     """
-    vector = F.array(*points)
     centres: list[list[float]] = []
     for step in range(k):
-        u = (F.pmod(F.xxhash64(F.col(row_id), F.lit(seed), F.lit(step)), F.lit(1 << 52)).cast("double") + 1.0) / float(
-            (1 << 52) + 1
-        )
-        weight = nearest_centre(points, np.array(centres)).getField("distance") if centres else F.lit(1.0)
+        hashed = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed), F.lit(step)), F.lit(1 << 52)).cast("double")
+        u = (hashed + 1.0) / float((1 << 52) + 1)
+        weight = nearest_centre(vector, np.array(centres)).getField("distance") if centres else F.lit(1.0)
         race = F.when(weight > 0, F.struct(-F.log(u) / weight, F.col(row_id)))
         row = df.agg(F.min_by(vector, race).alias("v")).first()
         centres.append(list(row["v"]) if row["v"] is not None else centres[-1])
     return np.array(centres, dtype=np.float64)
 
 
-def lloyd(df: DataFrame, points: Sequence[Column], start: np.ndarray, max_iter: int = 300) -> KMeansFit:
+def _labels(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.argmin(np.stack([((x - c) ** 2).sum(axis=1) for c in centres], axis=1), axis=1)
+
+
+def _iteration_sums(df: DataFrame, vector: str, centres: np.ndarray, previous: np.ndarray | None) -> DataFrame:
+    """(cluster, part, total): per cluster the component sums (part >= 0), its size (-1) and moved rows (-2).
+
+    Every Arrow batch is reduced to at most k * (features + 2) numbers in its task before the shuffle.
+    """
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, p = centres.shape
+        totals = np.zeros((k, p + 2))
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, p)
+            now = _labels(x, centres)
+            moved = np.ones(len(now)) if previous is None else (now != _labels(x, previous)).astype(float)
+            for c in range(k):
+                rows = now == c
+                totals[c, :p] += x[rows].sum(axis=0)
+                totals[c, p] += rows.sum()
+                totals[c, p + 1] += moved[rows].sum()
+        parts = np.array([*range(p), -1, -2], dtype=np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(np.arange(k, dtype=np.int32), p + 2)),
+                pa.array(np.tile(parts, k)),
+                pa.array(totals.ravel()),
+            ],
+            names=["cluster", "part", "total"],
+        )
+
+    rows = df.select(F.col(vector).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
+    partial = rows.mapInArrow(reduce, "cluster int, part int, total double")
+    return partial.groupBy("cluster", "part").agg(F.sum("total").alias("total"))
+
+
+def lloyd(df: DataFrame, vector: str, start: np.ndarray, max_iter: int = 300) -> KMeansFit:
     """Assign and update until no assignment changes; an empty cluster keeps its centre.
 
-    One aggregation per iteration returns k rows of means and the number of
-    rows whose cluster differs from the previous iteration.
+    One pass per iteration; k * (features + 2) numbers come back. Keep ``df`` persisted.
     """
     centres, previous, iterations = np.asarray(start, dtype=np.float64), None, max_iter
+    k, p = centres.shape
     for step in range(max_iter):
-        now = nearest_centre(points, centres).getField("cluster")
-        moved = F.lit(1) if previous is None else (now != nearest_centre(points, previous).getField("cluster")).cast("int")
-        means = df.groupBy(now.alias("__c")).agg(
-            F.sum(moved).alias("__moved"), *[F.avg(p).alias(f"m{i}") for i, p in enumerate(points)]
-        ).collect()  # k rows
-        if previous is not None and sum(r["__moved"] for r in means) == 0:
+        totals = np.zeros((k, p + 2))
+        for row in _iteration_sums(df, vector, centres, previous).collect():
+            totals[row["cluster"], row["part"] if row["part"] >= 0 else p - 1 - row["part"]] = row["total"]
+        if previous is not None and totals[:, p + 1].sum() == 0:
             iterations = step
             break
+        filled = totals[:, p] > 0
         previous, centres = centres, centres.copy()
-        for r in means:
-            centres[r["__c"]] = [r[f"m{i}"] for i in range(len(points))]
+        centres[filled] = totals[filled, :p] / totals[filled, p : p + 1]
     return KMeansFit(centres, iterations)
 
 
-def kmeans(df: DataFrame, points: Sequence[Column], row_id: str, k: int = 3, max_iter: int = 300, seed: int = 42) -> KMeansFit:
-    return lloyd(df, points, plus_plus(df, points, row_id, k, seed), max_iter)
+def kmeans(df: DataFrame, vector: str, row_id: str, k: int = 3, max_iter: int = 300, seed: int = 42) -> KMeansFit:
+    return lloyd(df, vector, plus_plus(df, vector, row_id, k, seed), max_iter)
 
 
 def library_kmeans(df: DataFrame, vector: str, k: int = 3, max_iter: int = 300, seed: int = 42):
@@ -94,13 +138,16 @@ def library_kmeans(df: DataFrame, vector: str, k: int = 3, max_iter: int = 300,
     return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=vector, predictionCol="cluster").fit(df)
 
 
-def inertia(df: DataFrame, points: Sequence[Column], centres: np.ndarray, digits: int = 4) -> DataFrame:
+def inertia(df: DataFrame, vector: str, centres: np.ndarray, digits: int = 4) -> DataFrame:
     """Summed squared distance to the closest centre."""
-    return df.agg(F.round(F.sum(nearest_centre(points, centres).getField("distance")), digits).alias("inertia"))
+    return df.agg(F.round(F.sum(nearest_centre(vector, centres).getField("distance")), digits).alias("inertia"))
 
 
-def step_means(df: DataFrame, points: Sequence[Column], centres: np.ndarray) -> DataFrame:
-    """(cluster, n, m0, m1, ...): one update step as a table."""
-    return df.groupBy(nearest_centre(points, centres).getField("cluster").alias("cluster")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(p).alias(f"m{i}") for i, p in enumerate(points)]
+def step_means(df: DataFrame, vector: str, centres: np.ndarray) -> DataFrame:
+    """(cluster, part, mean): the component means after one assignment, in long form."""
+    sums = _iteration_sums(df, vector, np.asarray(centres, dtype=np.float64), None)
+    sizes = sums.where("part = -1").select("cluster", F.col("total").alias("n"))
+    # k rows
+    return sums.where("part >= 0").join(F.broadcast(sizes), "cluster").where("n > 0").select(
+        "cluster", "part", F.col("n").cast("long").alias("n"), (F.col("total") / F.col("n")).alias("mean")
     )

@@ -10,12 +10,17 @@ nothing is broadcast. Hashing unique ids keeps the blocks even.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# Workers get the small helpers below with the job, also where the package is not installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUERY_BLOCK = 8_192
 BASE_BLOCK = 8_192
 CHUNK = 32
