@@ -41,8 +41,8 @@ def pairs(df: DataFrame, relationships: Sequence[Relationship]) -> DataFrame:
         member = F.col(r.group) == F.lit(r.member) if r.member is not None else F.lit(True)
         return F.when(complete & member, F.struct(F.lit(i).alias("rel"), x.alias("x"), y.alias("y")))
 
-    cells = F.array_compact(F.array(*[cell(i, r) for i, r in enumerate(relationships)]))
-    return df.select(F.inline(cells))
+    cells = F.array(*[cell(i, r) for i, r in enumerate(relationships)])
+    return df.select(F.inline(cells)).where(F.col("rel").isNotNull())
 
 
 def pearson(x: str | Column, y: str | Column) -> Column:
@@ -50,6 +50,9 @@ def pearson(x: str | Column, y: str | Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+# Every per-relationship table below has at most len(relationships) rows and may be broadcast.
+
+
 def _config(df: DataFrame, relationships: Sequence[Relationship]) -> DataFrame:
     rows = [(i, r.member if r.member is not None else "", r.label) for i, r in enumerate(relationships)]
     return df.sparkSession.createDataFrame(rows, "rel int, domain string, relationship string")
@@ -71,13 +74,15 @@ def spearman(xy: DataFrame) -> DataFrame:
 
     Equal (x, y) pairs fold into weighted rows first; ranks come from the
     part-wise running counts, so no relationship is ever sorted in one task.
+    Both axes are ranked in one plan, keyed by relationship and axis.
     """
+    sides = F.array(F.struct(F.lit("x").alias("axis"), F.col("x").alias("v")), F.struct(F.lit("y").alias("axis"), F.col("y").alias("v")))
+    ranks = average_ranks(xy.select("rel", F.inline(sides)), ["rel", "axis"], "v")
+    side = lambda axis: ranks.where(F.col("axis") == axis).select("rel", F.col("v").alias(axis), F.col("rank").alias("r" + axis))
     weighted = xy.groupBy("rel", "x", "y").agg(F.count(F.lit(1)).alias("w"))
-    rank_x = average_ranks(xy, ["rel"], "x").withColumnRenamed("rank", "rx")
-    rank_y = average_ranks(xy, ["rel"], "y").withColumnRenamed("rank", "ry")
-    w = F.col("w").cast("double")
+    ranked = weighted.join(side("x"), ["rel", "x"]).join(side("y"), ["rel", "y"])
     # Ranks have mean (n + 1) / 2 exactly, so centred sums need no second pass.
-    ranked = weighted.join(rank_x, ["rel", "x"]).join(rank_y, ["rel", "y"])
+    w = F.col("w").cast("double")
     sums = ranked.groupBy("rel").agg(
         F.sum(w).alias("n"),
         F.sum(w * F.col("rx") * F.col("ry")).alias("xy"),
@@ -108,7 +113,7 @@ def correlations(df: DataFrame, relationships: Sequence[Relationship] = RELATION
     enough = F.col("n") >= 3
     return (
         _config(df, relationships)
-        .join(lines(xy), "rel", "left").join(spearman(xy), "rel", "left")
+        .join(F.broadcast(lines(xy)), "rel", "left").join(F.broadcast(spearman(xy)), "rel", "left")
         .select(
             "domain",
             "relationship",
@@ -123,7 +128,7 @@ def fit_lines(df: DataFrame, relationships: Sequence[Relationship] = RELATIONSHI
     xy = pairs(df, relationships)
     r = lambda c: F.when(F.col("n") >= 2, F.round(c, digits)).alias(c)
     return (
-        _config(df, relationships).join(lines(xy), "rel", "left")
+        _config(df, relationships).join(F.broadcast(lines(xy)), "rel", "left")
         .select(
             "domain", "relationship", r("slope"), r("intercept"),
             r("r2").alias("r_squared"), F.coalesce("n", F.lit(0)).alias("n_samples"),
@@ -138,7 +143,9 @@ def calibrate(df: DataFrame, relationships: Sequence[Relationship] = RELATIONSHI
     r = lambda c, name: F.when(F.col("n") >= 2, F.round(c, digits)).alias(name)
     return (
         _config(df, relationships)
-        .join(fitted, "rel", "left").join(spearman(xy), "rel", "left").join(residuals(xy, fitted), "rel", "left")
+        .join(F.broadcast(fitted), "rel", "left")
+        .join(F.broadcast(spearman(xy)), "rel", "left")
+        .join(F.broadcast(residuals(xy, fitted)), "rel", "left")
         .select(
             "domain",
             "relationship",

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .quantiles import medians_row
-from .skew import HOT_ROWS
 
 ROW_ID = "_rid"
 
@@ -41,7 +40,7 @@ def mode_row(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def fill(df: DataFrame, how: Mapping[str, object], hot_rows: int = HOT_ROWS) -> DataFrame:
+def fill(df: DataFrame, how: Mapping[str, object]) -> DataFrame:
     """Replace NULLs by 'median', 'mode' or a literal; statistics come from the rows as given.
 
     The statistics are one-row aggregates used as scalar subqueries: no join, nothing collected.
@@ -49,7 +48,7 @@ def fill(df: DataFrame, how: Mapping[str, object], hot_rows: int = HOT_ROWS) ->
     medians = [c for c, rule in how.items() if rule == "median"]
     filled: dict[str, Column] = {}
     if medians:
-        row = medians_row(df, medians, hot_rows).select(F.struct(*medians).alias("m")).scalar()
+        row = medians_row(df, medians).select(F.struct(*medians).alias("m")).scalar()
         filled.update({c: F.coalesce(F.col(c), F.col(f"__medians.{c}")) for c in medians})
     for c, rule in how.items():
         if rule == "mode":
@@ -111,7 +110,6 @@ class CleanPlan:
     identity: Sequence[str] = ()
     order: Sequence[str] = ()
     dedupe: bool = True
-    hot_rows: int = HOT_ROWS
 
     def apply_rules(self, df: DataFrame) -> DataFrame:
         """The row-wise part only: no aggregates, usable on a stream."""
@@ -122,6 +120,6 @@ def run(df: DataFrame, plan: CleanPlan) -> DataFrame:
     """De-duplicate, apply the column rules, fill, drop rows without identity, order the columns."""
     rows = dedupe(df) if plan.dedupe else df
     rows = plan.apply_rules(rows)
-    rows = fill(rows, plan.fills, plan.hot_rows) if plan.fills else rows
+    rows = fill(rows, plan.fills) if plan.fills else rows
     rows = drop_missing(rows, plan.identity) if plan.identity else rows
     return keep_columns(rows, [*plan.order, ROW_ID]) if plan.order else rows

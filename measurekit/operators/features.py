@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import exprs
 from .replicates import GROUP_KEYS, replicates
-from .skew import HOT_ROWS, attach, boundaries, hot_groups, part_of, split_hot
+from .skew import HOT_ROWS, PART_ROWS, attach, boundaries, hot_groups, part_of, split_hot
 
 # ---- fixed values: columns of the model-ready table ----------------------------
 READY_COLUMNS = (
@@ -31,6 +31,7 @@ def rolling_mean(
     digits: int = 6,
     hot_rows: int = HOT_ROWS,
     time_parts: int = TIME_PARTS,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Mean over the current and the ``window - 1`` preceding rows of the series.
 
@@ -52,7 +53,8 @@ def rolling_mean(
 
     first = order[0]
     hot = hot.drop("group_rows")
-    bounds = boundaries(hot, partition, first, time_parts)
+    sizes = hot.groupBy(*partition).agg(F.approx_count_distinct(first).alias("__d"))
+    bounds = boundaries(hot.select(*partition, first), partition, first, sizes, time_parts, part_rows)
     placed = attach(hot, bounds, partition, how="left", small=True).withColumn(
         "__part", part_of(F.col(first), F.col("bounds"))
     ).drop("bounds")

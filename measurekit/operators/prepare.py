@@ -6,23 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from .quantiles import exact_quantiles
+from .quantiles import medians_row
 from .ranks import sorted_codes
-from .skew import HOT_ROWS
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """Add ``<column>_enc``: the position of the value among the sorted distinct values.
+    """Add ``<column>_enc``: the position of the value among the sorted distinct values of a text column.
 
     Codes come from ``fit_on`` (default: the same rows); unseen values get NULL.
-    The code table is joined on its measured size: broadcast while it is small,
-    shuffled with skewed keys split otherwise.
+    Each column's code table is joined on its measured size: broadcast while it
+    is small, shuffled with skewed keys split otherwise.
     """
+    codes = sorted_codes(df if fit_on is None else fit_on, columns)
     for c in columns:
-        codes = sorted_codes(df if fit_on is None else fit_on, c).select(
-            F.col("value").alias(c), F.col("code").alias(f"{c}_enc")
-        )
-        df = df.join(codes, c, "left")
+        own = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(f"{c}_enc"))
+        df = df.join(own, c, "left")
     return df
 
 
@@ -30,18 +28,13 @@ def binary_encode(df: DataFrame, column: str, positive: object, out: str) -> Dat
     return df.withColumn(out, F.coalesce(F.col(column) == F.lit(positive), F.lit(False)).cast("int"))
 
 
-def column_median(df: DataFrame, column: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    keyed = df.select(F.lit(0).alias("__g"), F.col(column))
-    return exact_quantiles(keyed, ["__g"], column, (0.5,), hot_rows).select(
-        F.element_at("quantiles", 1).alias("median")
-    )
+def column_median(df: DataFrame, column: str) -> DataFrame:
+    return medians_row(df, [column]).select(F.col(column).alias("median"))
 
 
-def threshold_label(
-    df: DataFrame, column: str, out: str, fit: str = "train", split: str = "split", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def threshold_label(df: DataFrame, column: str, out: str, fit: str = "train", split: str = "split") -> DataFrame:
     """1 where the value exceeds the median of the fitted part, else 0."""
-    median = column_median(df.where(F.col(split) == fit), column, hot_rows).scalar()
+    median = column_median(df.where(F.col(split) == fit), column).scalar()
     return df.withColumn(out, F.coalesce(F.col(column) > median, F.lit(False)).cast("int"))
 
 

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .quantiles import column_quantiles, unpivot
-from .skew import HOT_ROWS
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -78,7 +77,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max) with exact quartiles."""
     moments = unpivot(df, columns).groupBy("column").agg(
         F.count("value").alias("count"),
@@ -87,7 +86,7 @@ def describe(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_ROWS) ->
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = column_quantiles(df, columns, (0.25, 0.5, 0.75), hot_rows).select(
+    quartiles = column_quantiles(df, columns, (0.25, 0.5, 0.75)).select(
         "column", *[F.element_at("quantiles", i + 1).alias(q) for i, q in enumerate(("q25", "q50", "q75"))]
     )
     # one row per column on both sides

@@ -1,10 +1,10 @@
 """Exact quantiles that never hold one group's values in one buffer.
 
 ``percentile``/``median`` keep every distinct value of a group in a single
-aggregation buffer. That is fine for ordinary groups and impossible for a group with billions of
-rows. Hot groups are therefore resolved in two streaming passes: a mergeable
-sketch brackets the wanted rank, then the rows inside the bracket (a fixed
-small fraction) are counted by value and the exact rank is read off.
+aggregation buffer. That is fine for ordinary groups and impossible for a
+group with billions of rows. Large groups are therefore resolved in two
+streaming passes: a mergeable sketch brackets the wanted rank, then the rows
+inside the bracket (a fixed small fraction) are counted by value and the exact rank is read off.
 """
 
 from __future__ import annotations
@@ -18,72 +18,72 @@ from .skew import HOT_ROWS, attach, hot_groups, split_hot
 SKETCH_ACCURACY = 10_000
 
 
-def _hot_quantiles(hot: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], hot_rows: int) -> DataFrame:
-    # The sketch's rank error is n / accuracy; the bracket is three errors (and at least two rows) wide.
-    margin = 3.0 / SKETCH_ACCURACY + 2.0 / max(hot_rows, 1)
-    lows = [max(0.0, p - margin) for p in probs]
-    highs = [min(1.0, p + margin) for p in probs]
-    sketch = hot.groupBy(*keys).agg(
-        F.count(value).alias("__n"),
-        F.percentile_approx(value, [*lows, *highs], SKETCH_ACCURACY).alias("__b"),
-    )
+def bracketed_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """(keys, quantiles) of a non-null double column. The caller bounds the number of groups.
+
+    The sketch's rank error is n / accuracy and the bracket is three errors
+    wide on both sides. The values next to the bracket are kept too: in a small
+    group, where the sketch is exact, the neighbouring rank can fall one row outside.
+    """
+    margin = 3.0 / SKETCH_ACCURACY
     k = len(probs)
-    brackets = sketch.select(
-        *keys,
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("which"),
-                    F.element_at("__b", i + 1).alias("low"),
-                    F.element_at("__b", k + i + 1).alias("high"),
-                    ((F.col("__n") - 1) * F.lit(float(p))).alias("rank"),
-                )
-                for i, p in enumerate(probs)
-            ]
-        ).alias("__brackets"),
+    cuts = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    sketch = df.groupBy(*keys).agg(
+        F.count(value).alias("__n"), F.percentile_approx(value, cuts, SKETCH_ACCURACY).alias("__b")
     )
-    marked = (
-        attach(hot.select(*keys, value), brackets, keys, small=True)
-        .select(*keys, F.col(value), F.explode("__brackets").alias("q"))
-        .select(
-            *keys,
-            "q.which",
-            "q.rank",
-            F.when(F.col(value).between(F.col("q.low"), F.col("q.high")), F.col(value)).alias("candidate"),
-            (F.col(value) < F.col("q.low")).cast("long").alias("below"),
+    wanted = [
+        F.struct(
+            F.lit(i).alias("which"),
+            F.element_at("__b", i + 1).alias("low"),
+            F.element_at("__b", k + i + 1).alias("high"),
+            ((F.col("__n") - 1) * F.lit(float(p))).alias("rank"),
         )
+        for i, p in enumerate(probs)
+    ]
+    brackets = sketch.select(*keys, F.array(*wanted).alias("__q"))
+    v = F.col(value)
+    marked = attach(df.select(*keys, value), brackets, keys, small=True).select(*keys, v, F.explode("__q").alias("q"))
+    by_value = marked.groupBy(
+        *keys,
+        F.col("q.which").alias("which"),
+        F.col("q.rank").alias("rank"),
+        F.when(v.between(F.col("q.low"), F.col("q.high")), v).alias("candidate"),
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(v < F.col("q.low")).alias("below"),
+        F.max(F.when(v < F.col("q.low"), v)).alias("last_below"),
+        F.min(F.when(v > F.col("q.high"), v)).alias("first_above"),
     )
-    by_value = marked.groupBy(*keys, "which", "candidate").agg(
-        F.first("rank").alias("rank"), F.sum("below").alias("below"), F.count("candidate").alias("n")
-    )
-    # The NULL candidate sorts first and carries the number of rows below the bracket.
+    # One row per rank has a NULL candidate: it sorts first and stands for all rows outside the bracket.
+    outside = F.col("candidate").isNull()
     running = Window.partitionBy(*keys, "which").orderBy(F.col("candidate").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    ranked = by_value.withColumn("upto", F.sum(F.col("below") + F.col("n")).over(running)).where(
-        F.col("candidate").isNotNull()
-    )
+    ranked = by_value.withColumn("upto", F.sum(F.when(outside, F.col("below")).otherwise(F.col("n"))).over(running))
 
     def at(rank):
-        hit = (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
-        return F.max(F.when(hit, F.col("candidate")))
-
-    picked = ranked.groupBy(*keys, "which").agg(
-        F.first("rank").alias("rank"), at(F.floor("rank")).alias("lower"), at(F.ceil("rank")).alias("upper")
+        return F.max(F.when(~outside & (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto")), F.col("candidate")))
+
+    low, high = F.floor("rank"), F.ceil("rank")
+    picked = ranked.groupBy(*keys, "which", "rank").agg(
+        at(low).alias("lower"),
+        at(high).alias("upper"),
+        F.coalesce(F.sum(F.when(outside, F.col("below"))), F.lit(0)).alias("below"),
+        F.max("upto").alias("upto"),
+        F.max("last_below").alias("last_below"),
+        F.min("first_above").alias("first_above"),
     )
-    fraction = F.col("rank") - F.floor("rank")
-    resolved = picked.select(
-        *keys,
-        "which",
-        F.when(
-            F.col("lower").isNull() | F.col("upper").isNull(),
-            F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"),
-        )
-        .otherwise(F.col("lower") + (F.col("upper") - F.col("lower")) * fraction)
-        .alias("q"),
+    missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
+    lower = F.when(low == F.col("below") - 1, F.col("last_below")).otherwise(F.coalesce("lower", missed))
+    upper = (
+        F.when(high == F.col("upto"), F.col("first_above"))
+        .when(high == F.col("below") - 1, F.col("last_below"))
+        .otherwise(F.coalesce("upper", missed))
     )
-    return resolved.groupBy(*keys).agg(
-        F.array(*[F.max(F.when(F.col("which") == i, F.col("q"))) for i in range(k)]).alias("quantiles")
+    fraction = F.col("rank") - low
+    value_at = F.when(fraction == 0, lower).otherwise(lower + (upper - lower) * fraction)
+    return picked.groupBy(*keys).agg(
+        F.array(*[F.max(F.when(F.col("which") == i, value_at)) for i in range(k)]).alias("quantiles")
     )
 
 
@@ -92,12 +92,11 @@ def exact_quantiles(
 ) -> DataFrame:
     """Per group (NULL keys kept) an array of linearly interpolated quantiles of the non-null values."""
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    hot_table = hot_groups(rows, keys, hot_rows)
-    hot, cold = split_hot(rows, keys, hot_table)
+    hot, cold = split_hot(rows, keys, hot_groups(rows, keys, hot_rows))
     plain = cold.groupBy(*keys).agg(
         F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs])).alias("quantiles")
     )
-    return plain.unionByName(_hot_quantiles(hot, keys, "__v", probs, hot_rows))
+    return plain.unionByName(bracketed_quantiles(hot, keys, "__v", probs))
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -108,16 +107,15 @@ def unpivot(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) ->
     return df.select(*keys, F.inline(cells))
 
 
-def column_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.5,), hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Quantiles of several columns in one plan: (column, quantiles)."""
-    return exact_quantiles(unpivot(df, columns), ["column"], "value", probs, hot_rows)
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.5,)) -> DataFrame:
+    """Quantiles of several columns in one plan: (column, quantiles). Two scans, one group per column."""
+    cells = unpivot(df, columns).where(F.col("value").isNotNull())
+    return bracketed_quantiles(cells, ["column"], "value", probs)
 
 
-def medians_row(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def medians_row(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row holding the exact median of each column."""
-    table = column_quantiles(df, columns, (0.5,), hot_rows)
+    table = column_quantiles(df, columns)
     return table.agg(
         *[F.max(F.when(F.col("column") == c, F.element_at("quantiles", 1))).alias(c) for c in columns]
     )

@@ -6,50 +6,63 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .skew import attach, boundaries, part_of
+from .skew import PART_ROWS, attach, boundaries, part_of
 
-PARTS = 256
+PARTS = 512
 
 
 def counts_before(
-    rows: DataFrame, histogram: DataFrame, keys: Sequence[str], value: str, weight: str, parts: int = PARTS
+    histogram: DataFrame, keys: Sequence[str], value: str, weight: str, parts: int = PARTS, part_rows: int = PART_ROWS
 ) -> DataFrame:
-    """Add ``before`` to the histogram: the summed weight of all smaller values of the same key.
+    """Add ``before``: the summed weight of all smaller values of the same key.
 
-    ``histogram`` has one row per (keys, value) of ``rows``. The values are cut
-    into parts at split points sampled from ``rows``; each part is summed on
+    ``histogram`` has one row per (keys, value) with a positive weight. The
+    values are cut into parts at sampled split points; each part is summed on
     its own and the totals of the at most ``parts`` preceding parts are added.
-    ``keys`` must name few groups (a configured list of relationships or columns).
+    ``keys`` must name few groups (a configured list of relationships or
+    columns). The histogram appears three times in the plan with the same
+    columns, so its exchange runs once and is reused.
     """
-    bounds = boundaries(rows, keys, value, parts)
-    placed = attach(histogram, bounds, keys, how="left", small=True).withColumn(
-        "__part", part_of(F.col(value), F.col("bounds"))
-    ).drop("bounds")
-    totals = placed.groupBy(*keys, "__part").agg(F.sum(weight).alias("__t"))
-    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    present = F.col(weight) > 0
+    sizes = histogram.groupBy(*keys).agg(F.sum(F.when(present, 1)).alias("__d"))
+    bounds = boundaries(histogram.where(present), keys, value, sizes, parts, part_rows)
+    part = part_of(F.col(value), F.col("bounds"))
+    # One exchange by part feeds both the part totals and the running sums.
+    placed = (
+        attach(histogram, bounds, keys, how="left", small=True)
+        .withColumn("__part", part).drop("bounds").repartition(*keys, "__part")
+    )
+    totals = placed.groupBy(*keys, "__part").agg(F.sum(weight).alias("__t"), F.max(value).alias("__last"))
+    earlier = Window.partitionBy(*keys).orderBy("__last").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "__part", F.coalesce(F.sum("__t").over(earlier), F.lit(0)).alias("__offset"))
     inside = Window.partitionBy(*keys, "__part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    running = placed.withColumn("__running", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
     return (
-        attach(placed, offsets, [*keys, "__part"], small=True)
-        .withColumn("before", F.col("__offset") + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-        .drop("__part", "__offset")
+        attach(running, offsets, [*keys, "__part"], small=True)
+        .withColumn("before", F.col("__offset") + F.col("__running"))
+        .drop("__part", "__offset", "__running")
     )
 
 
-def average_ranks(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None, parts: int = PARTS) -> DataFrame:
-    """(keys, value, rank): ties share the mean of the ranks they cover, starting at 1."""
+def average_ranks(
+    df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None, part_rows: int = PART_ROWS
+) -> DataFrame:
+    """(keys, value, rank) of the non-null values: ties share the mean of the ranks they cover, starting at 1."""
     amount = F.sum(weight) if weight else F.count(F.lit(1))
-    histogram = df.groupBy(*keys, value).agg(amount.alias("__w"))
-    ranked = counts_before(df, histogram, keys, value, "__w", parts)
+    histogram = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(amount.alias("__w"))
+    ranked = counts_before(histogram, keys, value, "__w", part_rows=part_rows)
     return ranked.select(
         *keys, value, (F.col("before") + (F.col("__w") + F.lit(1)) / F.lit(2.0)).alias("rank")
     )
 
 
-def sorted_codes(df: DataFrame, column: str, parts: int = PARTS) -> DataFrame:
-    """(value, code): codes 0.. in sorted order of the distinct non-null values."""
-    values = df.select(F.lit(column).alias("column"), F.col(column).alias("value")).where(F.col("value").isNotNull())
-    distinct = values.distinct().withColumn("__one", F.lit(1))
-    return counts_before(values, distinct, ["column"], "value", "__one", parts).select(
-        "value", F.col("before").cast("int").alias("code")
+def sorted_codes(df: DataFrame, columns: Sequence[str], part_rows: int = PART_ROWS) -> DataFrame:
+    """(column, value, code): codes 0.. in sorted order of each column's distinct non-null values."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    counted = (
+        df.select(F.inline(cells)).where(F.col("value").isNotNull())
+        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("__w"))
+    )
+    return counts_before(counted.withColumn("__one", (F.col("__w") > 0).cast("int")), ["column"], "value", "__one", part_rows=part_rows).select(
+        "column", "value", F.col("before").cast("int").alias("code")
     )

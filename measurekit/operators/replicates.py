@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import exprs
 from ..functions.student_t import t_quantile
-from .quantiles import _hot_quantiles
+from .quantiles import bracketed_quantiles
 from .skew import HOT_ROWS, attach, hot_groups, split_hot
 
 # ---- fixed values: the grouping of measurements and the reported columns ------
@@ -45,7 +45,7 @@ def replicates(
     hot, cold = split_hot(rows, keys, hot_table)
     plain = cold.groupBy(*keys).agg(*_moments("__v"), F.median("__v").alias("median"))
     hot_moments = hot.groupBy(*keys).agg(*_moments("__v"))
-    hot_median = _hot_quantiles(hot.where(F.col("__v").isNotNull()), keys, "__v", (0.5,), hot_rows).select(
+    hot_median = bracketed_quantiles(hot.where(F.col("__v").isNotNull()), keys, "__v", (0.5,)).select(
         *keys, F.element_at("quantiles", 1).alias("median")
     )
     return finish(plain.unionByName(attach(hot_moments, hot_median, keys, how="left", small=True)), keys, level)

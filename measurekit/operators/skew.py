@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 MAX_HOT = 16_384
 HOT_ROWS = 1_000_000
 FAN = 16
+PART_ROWS = 50_000
 
 
 def same_keys(keys: Sequence[str], prefix: str) -> Column:
@@ -56,19 +57,26 @@ def unit_hash(value: Column) -> Column:
     return F.pmod(F.xxhash64(value), F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52))
 
 
-def boundaries(df: DataFrame, keys: Sequence[str], value: str, parts: int) -> DataFrame:
-    """About ``parts`` split points of ``value`` per key, from a hash sample of its distinct values.
+def boundaries(
+    df: DataFrame, keys: Sequence[str], value: str, sizes: DataFrame, parts: int, part_rows: int = PART_ROWS
+) -> DataFrame:
+    """Split points of ``value`` per key, from a hash sample of its distinct values.
 
-    The sample depends on the data alone, so a task that runs again (or a
-    second use of this table in the plan) sees the same split points. About
-    ``8 * parts`` values per key are drawn; the caller bounds the number of keys.
+    ``sizes`` holds one row per key with the number ``__d`` of distinct values;
+    the caller bounds the number of keys. A key gets one part per ``part_rows``
+    distinct values, at most ``parts``; keys that need a single part get no row. The sample (about
+    eight values per part) depends on the data alone, so a task that runs again
+    or a second use of this table in the plan sees the same split points.
     """
-    sizes = df.groupBy(*keys).agg(F.approx_count_distinct(value).alias("__d"))
-    drawn = attach(df.select(*keys, value).where(F.col(value).isNotNull()), sizes, keys, small=True).where(
-        unit_hash(F.col(value)) < F.lit(8.0 * parts) / F.col("__d")
+    wanted = F.least(F.lit(float(parts)), F.ceil(F.col("__d") / F.lit(float(part_rows))).cast("double"))
+    large = sizes.withColumn("__parts", wanted).where("__parts > 1")
+    drawn = attach(df.where(F.col(value).isNotNull()), large, keys, small=True).where(
+        unit_hash(F.col(value)) < F.lit(8.0) * F.col("__parts") / F.col("__d")
     )
-    sample = drawn.groupBy(*keys).agg(F.sort_array(F.collect_set(value)).alias("__s"))
-    step = F.greatest(F.lit(1), F.ceil(F.size("__s") / F.lit(float(parts))).cast("int"))
+    sample = drawn.groupBy(*keys).agg(
+        F.sort_array(F.collect_set(value)).alias("__s"), F.first("__parts").alias("__parts")
+    )
+    step = F.greatest(F.lit(1), F.ceil(F.size("__s") / F.col("__parts")).cast("int"))
     fine = F.filter("__s", lambda v, i: (i + 1) % step == 0)
     return sample.select(*keys, fine.alias("fine")).select(
         *keys,
@@ -83,5 +91,6 @@ def part_of(value: Column, bounds: Column) -> Column:
     instead of one over all split points.
     """
     below = lambda points: F.size(F.filter(points, lambda b: b < value))
-    start = below(bounds.getField("coarse")) * F.lit(FAN)
-    return F.coalesce(start + below(F.slice(bounds.getField("fine"), start + 1, F.lit(FAN))), F.lit(0))
+    start = F.array(below(bounds.getField("coarse")) * F.lit(FAN))
+    place = F.transform(start, lambda s: s + below(F.slice(bounds.getField("fine"), s + 1, F.lit(FAN))))
+    return F.when(bounds.isNull(), F.lit(0)).otherwise(F.element_at(place, 1))

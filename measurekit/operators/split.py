@@ -121,8 +121,8 @@ def _ordered_split(df: DataFrame, ids: Sequence[str], fractions: Sequence[float]
     """Parts in the order of the first id column, which must be numeric and unique."""
     from .ranks import counts_before
 
-    rows = df.select(F.lit(0).alias("__g"), F.col(ids[0]))
-    ranked = counts_before(rows, rows.withColumn("__one", F.lit(1)), ["__g"], ids[0], "__one")
+    rows = df.groupBy(F.lit(0).alias("__g"), F.col(ids[0])).agg(F.count(F.lit(1)).alias("__w"))
+    ranked = counts_before(rows, ["__g"], ids[0], "__w")
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     first, second = _sizes(total, fractions)
     placed = ranked.select(

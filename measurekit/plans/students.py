@@ -5,13 +5,12 @@ from __future__ import annotations
 from ..functions import exprs
 from ..operators.clean import CleanPlan
 from ..operators.profile import Rule, member_rule, number_rule, present_rules
-from ..operators.skew import HOT_ROWS
 from ..sources.records import CLEANED_COLUMNS, CLEANED_NUMBERS
 
 DOMAINS = ("ML", "Web", "Electronics", "Mechanical")
 
 
-def student_plan(hot_rows: int = HOT_ROWS) -> CleanPlan:
+def student_plan() -> CleanPlan:
     return CleanPlan(
         rules={
             "domain": exprs.canonical("domain"),
@@ -26,7 +25,6 @@ def student_plan(hot_rows: int = HOT_ROWS) -> CleanPlan:
         drop=("height", "weight"),
         identity=("name", "student_id"),
         order=CLEANED_COLUMNS,
-        hot_rows=hot_rows,
     )
 
 

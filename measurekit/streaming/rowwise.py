@@ -23,7 +23,7 @@ def fitted_fills(plan: CleanPlan, reference: DataFrame) -> dict[str, object]:
     medians = [c for c, rule in plan.fills.items() if rule == "median"]
     values: dict[str, object] = dict(plan.fills)
     if medians:
-        values.update(medians_row(typed, medians, plan.hot_rows).first().asDict())
+        values.update(medians_row(typed, medians).first().asDict())
     for c, rule in plan.fills.items():
         if rule == "mode":
             values[c] = mode_row(typed, c).first()[c]
