@@ -60,7 +60,8 @@ def classifiers(n_train: int, trees: int = FOREST_TREES, depth: int = MAX_DEPTH)
 
 
 def regressors(label: str, n_train: int, label_std: float, trees: int = FOREST_TREES, depth: int = MAX_DEPTH) -> dict:
-    """The compared regressors. Spark divides the L2 penalty by the label deviation, hence the ridge factor."""
+    """The compared regressors. Spark's normal solver divides the L2 penalty by the
+    population deviation of the label, hence the ridge factor."""
     common = {"featuresCol": "features", "labelCol": label}
     return {
         "Linear Regression": LinearRegression(regParam=0.0, solver="normal", **common),
@@ -83,7 +84,7 @@ class Sweep:
 
 def sweep_regressors(train: DataFrame, validation: DataFrame, features: Sequence[str], label: str, trees: int = FOREST_TREES, depth: int = MAX_DEPTH) -> Sweep:
     """Fit every regressor, score it on the validation part, order by R2 (first wins on a tie)."""
-    facts = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(label).alias("s")).first()
+    facts = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("s")).first()
     stages = scaling_stages(train, features)
     fitted = {
         name: Pipeline(stages=[*stages, model]).fit(train)

@@ -78,14 +78,17 @@ def read_text_table(
         .option("enforceSchema", True)
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
+        .option("columnPruning", False)  # a row's width is judged on all columns, whichever are selected
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
     numbered = with_row_id(raw)
-    cells = {c: exprs.null_tokens(c, null_tokens) if null_tokens else F.trim(c) for c in columns}
+    clean = lambda c: exprs.null_tokens(F.col(f"`{c}`"), null_tokens) if null_tokens else F.trim(F.col(f"`{c}`"))
     rows = numbered.where(F.col(CORRUPT).isNull()) if strict_width else numbered
-    rejected = numbered.where(F.col(CORRUPT).isNotNull()).select("_rid", F.col(CORRUPT).alias("line"))
-    return rows.withColumns(cells).drop(CORRUPT), rejected
+    # The reader refuses queries on the corrupt column alone, hence the (always true) second condition.
+    parsed = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in columns])) >= 0
+    rejected = numbered.where(F.col(CORRUPT).isNotNull() & parsed).select("_rid", F.col(CORRUPT).alias("line"))
+    return rows.select("_rid", *[clean(c).alias(c) for c in columns]), rejected
 
 
 def read_submissions(
