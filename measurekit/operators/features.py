@@ -125,8 +125,11 @@ def readiness(
     return flagged.withColumn("ml_ready", ready)
 
 
-def engineer(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All features of the calibration table plus stability flag and readiness."""
+def engineer(df: DataFrame, hot_rows: int = HOT_ROWS, summary: DataFrame | None = None) -> DataFrame:
+    """All features of the calibration table plus stability flag and readiness.
+
+    ``summary`` takes replicate statistics that were computed before.
+    """
     with_ratios = rolling_mean(df, hot_rows=hot_rows).withColumns(
         {
             "normalized_signal": normalized(),
@@ -135,7 +138,7 @@ def engineer(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             "stress_ratio": stress_ratio(),
         }
     )
-    return readiness(with_ratios, replicates(df, hot_rows=hot_rows))
+    return readiness(with_ratios, replicates(df, hot_rows=hot_rows) if summary is None else summary)
 
 
 def ml_ready(df: DataFrame, columns: Sequence[str] = READY_COLUMNS) -> DataFrame:

@@ -162,9 +162,8 @@ def large_error_count(df: DataFrame, y: str = "y_true", p: str = "y_pred", times
     """One row: mean absolute error and the number of rows above ``times`` that mean."""
     errors = with_abs_error(df, y, p)
     mean = errors.agg(F.avg("abs_error").alias("m")).scalar()
-    return errors.agg(
-        F.avg("abs_error").alias("mean_abs_error"),
-        F.count_if(F.col("abs_error") > mean * F.lit(times)).alias("large_errors"),
+    return errors.withColumn("__large", F.col("abs_error") > mean * F.lit(times)).agg(
+        F.avg("abs_error").alias("mean_abs_error"), F.count_if("__large").alias("large_errors")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import exprs
 from ..models import baseline, kmeans, library, linear, logistic
+from ..session import cut_lineage
 from ..operators import calibrate, charts, clean, features, metrics, pairwise, prepare, profile, replicates, split, summary
 from ..sources import records, sinks
 from .students import student_plan, student_rules
@@ -73,8 +74,8 @@ def compare_readers(spark: SparkSession, source: str) -> DataFrame:
 
 def clean_students(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Cleaned table, profiles before and after, validation results."""
-    raw = records.require_rows(records.read_students(spark, source), source)
-    cleaned = clean.run(raw, student_plan())
+    raw = cut_lineage(records.require_rows(records.read_students(spark, source), source))
+    cleaned = cut_lineage(clean.run(raw, student_plan()))
     sinks.write_table(cleaned.drop("_rid"), f"{target}/cleaned", "csv")
     for name, rows in (("before", raw), ("after", cleaned)):
         sinks.write_table(profile.profile(rows), f"{target}/profile_{name}", "json")
@@ -94,15 +95,15 @@ def student_charts(spark: SparkSession, source: str, target: str) -> None:
 
 def calibration(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Replicate statistics, correlations, calibration lines, engineered features, model-ready rows."""
-    rows = records.require_rows(records.read_measurements(spark, source), source)
-    groups = replicates.replicates(rows)
+    rows = cut_lineage(records.require_rows(records.read_measurements(spark, source), source))
+    groups = cut_lineage(replicates.replicates(rows))
     sinks.write_table(groups, f"{target}/replicate_summary", "csv")
     sinks.write_table(replicates.highlights(groups), f"{target}/replicate_highlights", "csv")
     sinks.write_table(calibrate.correlations(rows), f"{target}/correlation_summary", "csv")
     sinks.write_table(calibrate.calibrate(rows), f"{target}/calibration_summary", "csv")
     sinks.write_table(charts.error_bars(groups), f"{target}/calibration_points", "csv")
     sinks.write_table(charts.fit_line(rows, calibrate.RELATIONSHIPS), f"{target}/calibration_lines", "csv")
-    engineered = features.engineer(rows)
+    engineered = cut_lineage(features.engineer(rows, summary=groups))
     sinks.write_table(engineered.drop("_rid"), f"{target}/engineered_features", "csv")
     ready = features.ml_ready(engineered)
     sinks.write_table(ready, f"{target}/ml_ready_dataset", "csv")
@@ -112,7 +113,7 @@ def calibration(spark: SparkSession, source: str, target: str) -> DataFrame:
 def linear_study(rows: DataFrame, names: Sequence[str], label: str, ids: Sequence[str]) -> dict[str, DataFrame]:
     """Mean baseline against gradient-descent regression on rows with a split column."""
     scaler = prepare.fit_scaler(split.part(rows, "train"), names)
-    scaled = prepare.apply_scaler(rows, scaler, names)
+    scaled = cut_lineage(prepare.apply_scaler(rows, scaler, names))
     sums = linear.grams(scaled, names, label, split="split")
     model = sums["train"].descend(LINEAR_RATE, LINEAR_STEPS, watch=sums["validation"])
     mean = sums["train"].xy[-1] / sums["train"].n
@@ -133,6 +134,7 @@ def logistic_study(rows: DataFrame, names: Sequence[str], label: str, ids: Seque
     """Majority baseline against gradient-descent logistic regression on rows with a split column."""
     train = split.part(rows, "train")
     scaled = prepare.apply_scaler(rows, prepare.fit_scaler(train, names), names)
+    scaled = cut_lineage(scaled)
     fit_rows = scaled.where("split <> 'test'").select("split", *names, label).persist()
     model = logistic.descend(
         fit_rows, names, label, LOGISTIC_RATE, LOGISTIC_STEPS, watch=F.col("split") == "validation"
@@ -158,7 +160,7 @@ def logistic_study(rows: DataFrame, names: Sequence[str], label: str, ids: Seque
 def cluster_study(rows: DataFrame, names: Sequence[str], row_id: str) -> dict[str, DataFrame]:
     """k-means on the train part; all rows are assigned, quality is measured on the train part."""
     scaled = prepare.apply_scaler(rows, prepare.fit_scaler(split.part(rows, "train"), names), names)
-    vectors = scaled.select(row_id, "split", kmeans.feature_array(names).alias("v"))
+    vectors = cut_lineage(scaled.select(row_id, "split", kmeans.feature_array(names).alias("v")))
     train = split.part(vectors, "train").persist()
     fitted = kmeans.kmeans(train, "v", row_id, CLUSTERS)
     labelled = fitted.assign(train, "v")
@@ -185,8 +187,8 @@ def read_air_quality(spark: SparkSession, source: str, columns: Sequence[str] =
 
 def air_quality(spark: SparkSession, source: str, target: str) -> dict[str, dict[str, DataFrame]]:
     """Regression, classification and clustering on one shuffled split."""
-    rows = split.shuffle_split(read_air_quality(spark, source), ["_rid"])
-    rows = prepare.threshold_label(rows, AIR_LABEL_SOURCE, "high_co").persist()
+    rows = cut_lineage(split.shuffle_split(cut_lineage(read_air_quality(spark, source)), ["_rid"]))
+    rows = cut_lineage(prepare.threshold_label(rows, AIR_LABEL_SOURCE, "high_co"))
     studies = {
         "regression": linear_study(rows, AIR_FEATURES, AIR_TARGET, ["_rid"]),
         "classification": logistic_study(rows, AIR_FEATURES, "high_co", ["_rid"]),
@@ -204,10 +206,10 @@ def _write_studies(studies: dict[str, dict[str, DataFrame]], target: str) -> Non
 
 def oil_sales(spark: SparkSession, source: str, target: str) -> dict[str, DataFrame]:
     """Encoded categories and bracket midpoints, then the linear study on volume_sales."""
-    raw = clean.with_row_id(spark.read.option("header", True).csv(source))
+    raw = cut_lineage(clean.with_row_id(spark.read.option("header", True).csv(source)))
     numbers = records.with_numbers(raw, ("year", "month", "value_sales", "volume_sales"))
     rows = prepare.label_encode(numbers.withColumn("price_mid", exprs.bracket_midpoint("price_bracket")), OIL_CATEGORIES)
-    rows = split.shuffle_split(rows, ["_rid"]).persist()
+    rows = cut_lineage(split.shuffle_split(cut_lineage(rows), ["_rid"]))
     study = linear_study(rows, OIL_FEATURES, "volume_sales", ["_rid"])
     study["correlations"] = calibrate.target_correlations(rows, OIL_FEATURES, "volume_sales")
     study["describe"] = profile.describe(rows, ["volume_sales"])
@@ -225,7 +227,7 @@ def heart_disease(spark: SparkSession, source: str, target: str) -> dict[str, Da
     rows = prepare.binary_encode(rows, "sex", "Male", "sex_enc")
     rows = prepare.label_encode(rows, ["chest_pain_type", "smoker_status"])
     plain = [c for c in HEART_FEATURES if c in raw.columns and c not in flags]
-    rows = split.shuffle_split(records.with_numbers(rows, plain), ["patient_id"]).persist()
+    rows = cut_lineage(split.shuffle_split(cut_lineage(records.with_numbers(rows, plain)), ["patient_id"]))
     study = logistic_study(rows, HEART_FEATURES, "has_heart_disease", ["patient_id"])
     study["top_weights"] = charts.weight_bars(study["weights"])
     _write_studies({"heart_disease": study}, target)
@@ -234,9 +236,9 @@ def heart_disease(spark: SparkSession, source: str, target: str) -> dict[str, Da
 
 def temperature(spark: SparkSession, source: str, target: str, label: str = "Temperature", trees: int = library.FOREST_TREES) -> DataFrame:
     """Regressor leaderboard by validation R2 and test metrics of the best model."""
-    raw = clean.with_row_id(spark.read.option("header", True).csv(source))
+    raw = cut_lineage(clean.with_row_id(spark.read.option("header", True).csv(source)))
     names = [c for c in raw.columns if c not in (label, "_rid")]
-    rows = split.shuffle_split(records.with_numbers(raw, [*names, label]).dropna(), ["_rid"]).persist()
+    rows = cut_lineage(split.shuffle_split(records.with_numbers(raw, [*names, label]).dropna(), ["_rid"]))
     train, validation, test = (split.part(rows, p) for p in split.NAMES)
     sweep = library.sweep_regressors(train, validation, names, label, trees)
     sinks.write_table(sweep.leaderboard.orderBy(F.desc("r2")), f"{target}/model_comparison", "csv")
@@ -252,9 +254,9 @@ def temperature(spark: SparkSession, source: str, target: str, label: str = "Tem
 
 def train_crops(spark: SparkSession, source: str, target: str, label: str = "label", trees: int = library.FOREST_TREES) -> DataFrame:
     """Stratified split, classifier leaderboard, test report of the forest, saved bundle."""
-    raw = clean.with_row_id(spark.read.option("header", True).csv(source))
+    raw = cut_lineage(clean.with_row_id(spark.read.option("header", True).csv(source)))
     rows = records.with_numbers(raw, CROP_FEATURES).dropna()
-    rows = split.shuffle_split(rows, ["_rid"], stratify=[label]).persist()
+    rows = cut_lineage(split.shuffle_split(rows, ["_rid"], stratify=[label]))
     train, validation, test = (split.part(rows, p) for p in split.NAMES)
     sweep = library.sweep_classifiers(train, validation, CROP_FEATURES, label, trees)
     sinks.write_table(sweep.leaderboard, f"{target}/model_comparison", "csv")
@@ -262,7 +264,8 @@ def train_crops(spark: SparkSession, source: str, target: str, label: str = "lab
     sinks.write_table(metrics.averages(neighbours), f"{target}/knn_validation", "csv")
     final = sweep.models["Random Forest"]
     scored = library.score(final, test, CROP_FEATURES).withColumnsRenamed({label: "actual", "predicted_class": "predicted"})
-    scored = scored.withColumn("correct", F.col("actual") == F.col("predicted")).persist()
+    scored = scored.withColumn("correct", F.col("actual") == F.col("predicted"))
+    scored = cut_lineage(scored)
     report = {
         "test_predictions": scored,
         "misclassified": metrics.misclassified(scored),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "measurekit", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -31,3 +31,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="measurekit-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder and read back from there.
+
+    Multi-step jobs call this after ingest and after preparation: later steps
+    plan against stored rows, generated row ids are fixed for good, and a lost executor costs a
+    re-read instead of a recomputation.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
