@@ -14,7 +14,7 @@ from .cleaning_queries import WITH_CLEAN, cleaned
 from .model_queries import E, SIZE, _assign_sql, embeddings, start_centres
 from .quality_queries import PER_CLASS, WITH_B, WITH_C, WITH_F, binary_rows, class_rows, fitted_rows
 from .record_queries import RECORDS, records
-from .registry import query
+from .registry import derive, derive_sql, query
 
 
 @query(
@@ -66,15 +66,34 @@ def signal_scatter(spark, sf):
     return charts.scatter(measured(spark, sf), "input_value", "signal", "domain")
 
 
-@query("CHT6_loss_curves")
+CURVE = {
+    "quantity": "l_quantity / 50",
+    "discount": "l_discount * 10",
+    "tax": "l_tax * 10",
+    "split": "CASE WHEN l_linenumber % 4 = 0 THEN 'validation' ELSE 'train' END",
+}
+CURVE_RATE, CURVE_STEPS = 0.05, 1000
+SUMS = (
+    "SELECT count(*)::DOUBLE AS n, sum(quantity) AS s1, sum(discount) AS s2, sum(quantity * quantity) AS q11, sum(quantity * discount) AS q12, "
+    "sum(discount * discount) AS q22, sum(tax) AS sy, sum(quantity * tax) AS y1, sum(discount * tax) AS y2, sum(tax * tax) AS yy FROM d WHERE split = "
+)
+
+
+@query(
+    "CHT6_loss_curves",
+    "WITH RECURSIVE d AS (" + derive_sql(CURVE, "lineitem") + f"), g AS ({SUMS} 'train'), h AS ({SUMS} 'validation')"
+    ", steps AS (SELECT 0 AS iteration, 0::DOUBLE AS w1, 0::DOUBLE AS w2, 0::DOUBLE AS b UNION ALL "
+    f"SELECT iteration + 1, w1 + {2 * CURVE_RATE!r}::DOUBLE / n * (y1 - q11 * w1 - q12 * w2 - s1 * b), w2 + {2 * CURVE_RATE!r}::DOUBLE / n * (y2 - q12 * w1 - q22 * w2 - s2 * b), "
+    f"b + {2 * CURVE_RATE!r}::DOUBLE / n * (sy - s1 * w1 - s2 * w2 - n * b) FROM steps, g WHERE iteration < {CURVE_STEPS}) "
+    "SELECT iteration, round((yy - 2 * (w1 * y1 + w2 * y2 + b * sy) + w1 * w1 * q11 + w2 * w2 * q22 + b * b * n + 2 * (w1 * w2 * q12 + w1 * b * s1 + w2 * b * s2)) / n, 6) AS loss "
+    "FROM steps, h WHERE iteration > 0",
+)
 def loss_curves(spark, sf):
     """Validation loss of the linear model over 1000 steps, from one pass over the data."""
-    rows = table(spark, sf, "lineitem").select(
-        (F.col("l_quantity") / 50).alias("quantity"), F.col("l_discount").alias("discount"), F.col("l_tax"),
-        F.when(F.pmod(F.xxhash64("l_orderkey"), F.lit(5)) == 0, "validation").otherwise("train").alias("split"),
-    )
-    sums = linear.grams(rows, ["quantity", "discount"], "l_tax", split="split")
-    return linear.history_table(rows, sums["train"].descend(0.05, 1000, watch=sums["validation"]).history)
+    rows = derive(table(spark, sf, "lineitem"), CURVE)
+    sums = linear.grams(rows, ["quantity", "discount"], "tax", split="split")
+    model = sums["train"].descend(CURVE_RATE, CURVE_STEPS, watch=sums["validation"])
+    return linear.history_table(rows, model.history).select("iteration", F.round("loss", 6).alias("loss"))
 
 
 @query("CHT7_actual_vs_predicted", WITH_F + " SELECT y_true AS actual, y_pred AS predicted, round(y_true - y_pred, 6) AS residual FROM f")
