@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs
 from ..operators import clean, profile
-from ..sources import records
+from ..session import shared_folder
+from ..sources import records, sinks
 from ..sources.records import CLEANED_COLUMNS, CLEANED_NUMBERS, STUDENT_COLUMNS, table
 from .registry import derive, derive_sql, query
 from .students import DOMAINS, student_plan, student_rules
@@ -164,6 +165,42 @@ def scoring_input(spark, sf):
     return rows.select(*[F.col(c).cast("double").alias(c) for c in ("p_size", "p_retailprice")])
 
 
+WIDTHS = {
+    "line": "CASE p_partkey % 11 WHEN 3 THEN concat(CAST(p_partkey AS {text}), ',short') "
+    "WHEN 5 THEN concat(CAST(p_partkey AS {text}), ',too,many,fields') "
+    "ELSE concat(CAST(p_partkey AS {text}), ' , ', p_name, ',', CAST(p_size AS {text})) END",
+}
+
+
+def _strict(spark, sf):
+    """Lines of three fields with short and long rows among them, written to the shared folder and read strictly."""
+    folder = shared_folder(spark, "lines")
+    derive(table(spark, sf, "part"), WIDTHS).write.text(folder)
+    return records.read_text_table(spark, folder, ("key", "name", "size"), null_tokens=(), strict_width=True, header=False)
+
+
+@query("SRC2_strict_width", "SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS name, CAST(p_size AS VARCHAR) AS size FROM part WHERE p_partkey % 11 NOT IN (3, 5)")
+def strict_width(spark, sf):
+    return _strict(spark, sf)[0].drop("_rid")
+
+
+@query("SRC2_rejected_lines", "WITH l AS (" + derive_sql({"p_partkey": "p_partkey", **WIDTHS}, "part") + ") SELECT line FROM l WHERE p_partkey % 11 IN (3, 5)")
+def rejected_lines(spark, sf):
+    return _strict(spark, sf)[1].select("line")
+
+
+@query("SRC5_reload_cleaned", WITH_CLEAN + f" SELECT {OUT} FROM cleaned")
+def reload_cleaned(spark, sf):
+    folder = shared_folder(spark, "cleaned")
+    sinks.write_table(cleaned(spark, sf).drop("_rid"), folder, "csv")
+    return records.read_cleaned(spark, folder).drop("_rid")
+
+
+@query("SCL1_trimmed_flag", WITH_MESSY + " SELECT _rid, lower(trim(submitted)) = 'yes' AS flag FROM messy")
+def trimmed_flag(spark, sf):
+    return messy(spark, sf).select("_rid", exprs.equals_text("submitted", "yes").alias("flag"))
+
+
 @query("SET1_dedupe", WITH_FIRST + " SELECT * FROM firsts")
 def dedupe(spark, sf):
     return clean.dedupe(messy(spark, sf))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import functions as F
 
 from ..models import baseline, kmeans, library, linear, logistic
 from ..operators import metrics, pairwise, prepare, split
-from ..session import ensure_checkpoint_dir
+from ..session import shared_folder
 from ..sources import sinks
 from ..sources.records import table
 from .quality_queries import JUDGED
@@ -322,6 +320,22 @@ def class_table(spark, sf):
     return split.shuffle_split(wide, ["vec_id"], stratify=["label"]), names
 
 
+@query(
+    "MDL12_scaled_vector",
+    "WITH s AS (SELECT avg(l_quantity) AS m1, stddev_pop(l_quantity) AS s1, avg(l_discount) AS m2, stddev_pop(l_discount) AS s2 FROM lineitem) "
+    "SELECT l_orderkey, round((l_quantity - m1) / s1, 6) AS quantity, round((l_discount - m2) / s2, 6) AS discount FROM lineitem, s",
+)
+def scaled_vector(spark, sf):
+    """The scaling stages every compared model starts with."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_discount")
+    model = Pipeline(stages=library.scaling_stages(rows, ["l_quantity", "l_discount"])).fit(rows)
+    scaled = model.transform(rows).withColumn("a", vector_to_array("features"))
+    return scaled.select("l_orderkey", F.round(F.col("a")[0], 6).alias("quantity"), F.round(F.col("a")[1], 6).alias("discount"))
+
+
 @query("MDL13_classifier_leaderboard")
 def classifier_leaderboard(spark, sf):
     rows, names = class_table(spark, sf)
@@ -370,11 +384,6 @@ def random_forest(spark, sf):
     return metrics.averages(fitted.transform(test), "label", "predicted")
 
 
-def shared_folder(spark, name: str) -> str:
-    """A fresh path under the shared checkpoint folder of the session."""
-    return f"{ensure_checkpoint_dir(spark)}/measurekit-{name}-{uuid.uuid4().hex}"
-
-
 @query("MDL14_saved_model_scoring")
 def saved_scoring(spark, sf):
     """Save the fitted model, load it again and score the test part (SNK3)."""

@@ -66,6 +66,7 @@ def read_text_table(
     sep: str = ",",
     null_tokens: Sequence[str] = exprs.NULL_TOKENS,
     strict_width: bool = False,
+    header: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected): all columns as trimmed text with missing tokens as NULL, plus ``_rid``.
 
@@ -74,7 +75,7 @@ def read_text_table(
     """
     raw = (
         spark.read.schema(text_schema(columns, corrupt=True))
-        .option("header", True)
+        .option("header", header)
         .option("enforceSchema", True)
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
