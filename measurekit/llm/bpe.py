@@ -29,10 +29,13 @@ from pyspark.sql import DataFrame
 
 from .common import map_column
 
-#: Words remembered by a worker between texts, and texts handled together. Both bound memory, not results.
-WORD_CACHE = 400_000
+#: Words remembered by a worker between texts, and characters of text handled together (one text at least). Both bound memory,
+#: not results.
+WORD_CACHE = 600_000
 PAIR_CACHE = 1_500_000
-BLOCK = 512
+BLOCK_CHARS = 6_000_000
+#: Tokens are looked up by the lengths that occur with their last letters.
+TAIL = 3
 
 #: The characters that the vocabulary's split treats as white space below U+0300.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0"
@@ -88,6 +91,19 @@ class Splitter:
         return [bytes(map(self._bytes.__getitem__, word)).decode() for word, _ in pieces]
 
 
+def _lengths(tokens: Iterable[str]) -> dict[str, tuple[int, ...]]:
+    """Tail of a spelling (its last ``TAIL`` letters or fewer) -> lengths of the tokens that may end there, longest first."""
+    exact: dict[str, set[int]] = {}
+    for token in tokens:
+        if token:
+            exact.setdefault(token[-TAIL:], set()).add(len(token))
+    tails = {tail: set(found) for tail, found in exact.items()}
+    for tail, found in tails.items():
+        for cut in range(1, len(tail)):  # shorter tokens that are an end of the tail
+            found |= exact.get(tail[cut:], set())
+    return {tail: tuple(sorted(found, reverse=True)) for tail, found in tails.items()}
+
+
 class TrieEncoder:
     """Encodes sets of distinct words; ``vocabulary`` and ``merges`` as in the tokenizer file."""
 
@@ -98,7 +114,7 @@ class TrieEncoder:
         # pieces end a word or not; tokens that end a word are looked up without the suffix
         self.inner = {t: i for t, i in vocabulary.items() if not (suffix and t.endswith(suffix))}
         self.final = {t[: len(t) - len(suffix)]: i for t, i in vocabulary.items() if t.endswith(suffix)} if suffix else self.inner
-        self.longest = max((len(t) for t in [*self.inner, *self.final]), default=1)
+        self.inner_lengths, self.final_lengths = _lengths(self.inner), _lengths(self.final)
         self.letters = byte_letters()
         self.pairs: dict[int, bool] = {}
 
@@ -133,7 +149,8 @@ class TrieEncoder:
 
     def encode(self, words: Iterable[str]) -> dict[str, bytes]:
         """Word -> its ids as little-endian int32."""
-        letters, inner, final, pairs, follows, longest = self.letters, self.inner, self.final, self.pairs, self.follows, self.longest
+        letters, pairs, follows = self.letters, self.pairs, self.follows
+        inner, final, inner_lengths, final_lengths = self.inner, self.final, self.inner_lengths, self.final_lengths
         spelled = sorted((w if w.isascii() and w.isprintable() else "".join(letters[b] for b in w.encode()), w) for w in words)
         found: dict[str, bytes] = {}
         last: list[int] = [-1]  # last token of each prefix on the path
@@ -147,9 +164,13 @@ class TrieEncoder:
             del last[shared + 1 :], since[shared + 1 :]
             path = spelling
             for end in range(shared + 1, n + 1):
-                lookup = final if end == n else inner
-                for begin in range(end - longest if end > longest else 0, end):
-                    token = lookup.get(spelling[begin:end])
+                lookup, lengths = (final, final_lengths) if end == n else (inner, inner_lengths)
+                near = end - TAIL if end > TAIL else 0
+                while (ends := lengths.get(spelling[near:end])) is None and near < end - 1:
+                    near += 1
+                for length in ends or ():
+                    begin = end - length
+                    token = lookup.get(spelling[begin:end]) if begin >= 0 else None
                     if token is not None:
                         left = last[begin]
                         known = pairs.get((left + 1) << 32 | token)
@@ -183,8 +204,14 @@ class Encoder:
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text as little-endian int32."""
         out: list[bytes] = []
-        for start in range(0, len(texts), BLOCK):
-            split = [self.splitter.words(t) if t else [] for t in texts[start : start + BLOCK]]
+        start = 0
+        while start < len(texts):
+            split, size = [], 0
+            while start < len(texts) and size < BLOCK_CHARS:
+                text = texts[start] or ""
+                split.append(self.splitter.words(text))
+                size += len(text)
+                start += 1
             if len(self.cache) > WORD_CACHE:
                 self.cache = dict(self.fixed)
             missing = set().union(*split).difference(self.cache)
