@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe
+from . import bpe, token_file
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,9 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     )
     decoded = bpe.decode(digests, vocabulary_path(), keep=["doc_id", "n_tokens", "ids_sha256"])
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op6_token_file")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    archive = token_file.write(table(spark, folder, "documents"), vocabulary_path(), end_id=1)
+    return token_file.read(spark, archive, ("doc_id", "start", "n_tokens", "ids_crc32"))
