@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, token_file
+from . import bpe, token_file, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,16 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     archive = token_file.write(table(spark, folder, "documents"), vocabulary_path(), end_id=1)
     return token_file.read(spark, archive, ("doc_id", "start", "n_tokens", "ids_crc32"))
+
+
+@query(
+    "op9_warc",
+    "WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), "
+    "d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p), "
+    "f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest) "
+    "SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type, "
+    "CASE WHEN first IS NOT NULL AND page_id <> first THEN first END AS refers_to FROM d LEFT JOIN f USING (payload_digest)",
+)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    archive = warc.write(table(spark, folder, "pages"))
+    return warc.read(spark, archive, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -93,7 +93,7 @@ class Writer:
 
     def __init__(self, uri: str, bits: int) -> None:
         system, path = place(uri)
-        self.out = system.open_output_stream(path)
+        self.out = system.open_output_stream(path, compression=None)
         self.bits, self.pending, self.waiting = bits, [], 0
         self.offsets: list[int] = []
         self.docs: list[int | None] = []
