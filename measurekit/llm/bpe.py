@@ -31,9 +31,9 @@ from .common import map_column
 
 #: Words remembered by a worker between texts, and characters of text handled together (one text at least). Both bound memory,
 #: not results.
-WORD_CACHE = 600_000
-PAIR_CACHE = 1_500_000
-BLOCK_CHARS = 6_000_000
+WORD_CACHE = 250_000
+PAIR_CACHE = 500_000
+BLOCK_CHARS = 3_000_000
 #: Tokens are looked up by the lengths that occur with their last letters.
 TAIL = 3
 

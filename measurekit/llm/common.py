@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import measurekit
 
+#: Rows of a batch that a worker function handles at once.
+SLICE_ROWS = 1_000
+
 
 def ship(spark: SparkSession) -> None:
     """Give the workers this package, once per Spark context, also where it is not installed."""
@@ -57,8 +60,10 @@ def map_column(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, work(batch.column(batch.num_columns - 1))], names=[*kept, out])
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                columns = [part.column(i) for i in range(part.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*columns, work(part.column(part.num_columns - 1))], names=[*kept, out])
 
     return rows.mapInArrow(run, schema)
 
