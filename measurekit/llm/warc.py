@@ -303,7 +303,9 @@ def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
         yield from _batches(found())
 
     places = parts.mapInArrow(entries, "uri string, offset long, length long")
-    return places.repartitionByRange("uri", "offset").sortWithinPartitions("uri", "offset").mapInArrow(records, RECORD_DDL)
+    # as many tasks as archives: the places themselves are small, what they stand for is not
+    files = max(1, spark.read.parquet(f"{folder}/captures").select("uri").distinct().count())
+    return places.repartitionByRange(files, "uri", "offset").sortWithinPartitions("uri", "offset").mapInArrow(records, RECORD_DDL)
 
 
 def lookup(spark: SparkSession, folder: str, urls: DataFrame, url: str = "url") -> DataFrame:
