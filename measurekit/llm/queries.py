@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, token_file, warc
+from . import bpe, decontaminate, preference, token_file, url_rules, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,79 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     archive = warc.write(table(spark, folder, "pages"))
     return warc.read(spark, archive, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The stated rules of the URL query.
+URL_RULES = (
+    url_rules.Rule("allow", "org", "/"),
+    url_rules.Rule("block", "example.org", "/es/"),
+    url_rules.Rule("block", "example.org", "/en/1"),
+    url_rules.Rule("allow", "com", "/fr/"),
+    url_rules.Rule("block", "com", "/de/"),
+)
+
+
+@query("op4_url_rules")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    # the first number of a path is the id of the document that the page shows
+    shown = F.expr("try_cast(nullif(regexp_extract(url, '://[^/?#]*/[^0-9?#]*([0-9]+)', 1), '') AS bigint)")
+    labels = table(spark, folder, "labels").select("doc_id", (F.col("quality") == 0).alias("block"))
+    mined = url_rules.mine(pages.withColumn("doc_id", shown).join(labels, "doc_id"))
+    return url_rules.judge(pages, URL_RULES, mined).select("page_id", "host", "path", "rule", "verdict", "mined_confidence", "mined_rule")
+
+
+@query(
+    "op8_decontaminate",
+    r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    bw AS (SELECT DISTINCT item_id, array_to_string(w[i : i + 9], ' ') AS win, least(len(w), 10) AS n
+           FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+    sizes AS (SELECT DISTINCT n FROM bw),
+    dw AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS win
+           FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+    hit AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
+    words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+    items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query(
+    "op10_preference_pairs",
+    """
+    WITH t AS (SELECT conv_id, turn, role, text, '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) AS shown FROM conversations),
+    last AS (SELECT conv_id, max(turn) AS place, arg_max(text, turn) AS answer FROM t WHERE role = 'assistant' GROUP BY conv_id),
+    pair AS (SELECT c.conv_id, last.place, last.answer, o.answer AS other, o.conv_id IS NOT NULL AS found
+             FROM (SELECT DISTINCT conv_id FROM t) c LEFT JOIN last ON c.conv_id = last.conv_id LEFT JOIN last o ON o.conv_id = xor(c.conv_id, 1)),
+    cut AS (SELECT *, CASE WHEN place IS NULL THEN 1152921504606846976 WHEN found AND answer IS NOT DISTINCT FROM other THEN place ELSE place - 1 END AS until FROM pair),
+    prompts AS (SELECT t.conv_id, coalesce(string_agg(shown, '' ORDER BY turn) FILTER (turn <= until), '') AS prompt, count(*) FILTER (turn <= until) AS n_prompt_turns,
+                       coalesce(string_agg(shown, '' ORDER BY turn) FILTER (turn > until), '') AS chosen_text FROM t JOIN cut USING (conv_id) GROUP BY t.conv_id),
+    rest AS (SELECT t.conv_id, turn, role, length(shown) AS n, coalesce(sum(length(shown)) OVER (PARTITION BY t.conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior
+             FROM t JOIN cut USING (conv_id) WHERE turn > until),
+    marks AS (SELECT conv_id, string_agg((prior + 14) || ':' || (prior + n), ',' ORDER BY turn) AS chosen_spans FROM rest WHERE role = 'assistant' GROUP BY conv_id),
+    foreign_answer AS (SELECT conv_id, CASE WHEN place IS NULL OR NOT found OR answer IS NOT DISTINCT FROM other THEN '' ELSE '<|assistant|>' || chr(10) || coalesce(other, '') || '<|end|>' || chr(10) END AS rejected_text FROM cut)
+    SELECT conv_id, prompt, n_prompt_turns, chosen_text, coalesce(chosen_spans, '') AS chosen_spans, rejected_text,
+           CASE WHEN rejected_text = '' THEN '' ELSE '14:' || length(rejected_text) END AS rejected_spans
+    FROM prompts JOIN foreign_answer USING (conv_id) LEFT JOIN marks USING (conv_id)
+    """,
+)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = preference.assemble(table(spark, folder, "conversations"))
+    found = preference.format_pairs(preference.with_foreign_answers(conversations))
+    shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
+    return found.withColumn("chosen_spans", shown(F.col("chosen_spans"))).withColumn("rejected_spans", shown(F.col("rejected_spans")))
