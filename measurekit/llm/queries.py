@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, preference, token_file, url_rules, warc
+from . import bpe, decontaminate, ngram_join, preference, token_file, url_rules, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,13 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(spark, archive, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op3_ngram_join")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = ngram_join.join(docs.select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 #: The stated rules of the URL query.
 URL_RULES = (
     url_rules.Rule("allow", "org", "/"),
