@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, ngram_join, preference, token_file, url_rules, warc
+from . import bpe, decontaminate, embedding_dedup, ngram_join, preference, token_file, url_rules, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,12 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(spark, archive, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op2_embedding_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 @query("op3_ngram_join")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
