@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, embedding_dedup, ngram_join, preference, token_file, url_rules, warc
+from . import bpe, decontaminate, embedding_dedup, ngram_join, preference, quality, token_file, url_rules, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,18 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def remainder(doc_id: str, by: int) -> F.Column:
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(by))
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labelled = table(spark, folder, "labels").where(remainder("doc_id", 3) != 1)
+    scored = quality.score(docs, quality.fit(docs, labelled))
+    return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op6_token_file")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     archive = token_file.write(table(spark, folder, "documents"), vocabulary_path(), end_id=1)
