@@ -29,9 +29,9 @@ from .ngram_join import slices
 
 FEATURES = 1 << 18
 SAMPLE = 20_000
-SHARDS, ROUNDS = 8, 3
+SHARDS, ROUNDS = 8, 4
 #: Learning rate, its smoothing, and the two penalties.
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.0
 #: Letters (and all bytes beyond ASCII), digits, white space; the rest are marks.
 MARK, LETTER, DIGIT = 1, 2, 3
 
