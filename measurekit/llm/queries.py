@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, embedding_dedup, ngram_join, preference, quality, token_file, url_rules, warc
+from . import bpe, decontaminate, embedding_dedup, language_crf, ngram_join, preference, quality, token_file, url_rules, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,14 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query("op7_language_crf")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_crf.fit(docs.where(remainder("doc_id", 4) != 2).select("doc_id", "text", "lang"))
+    predicted = language_crf.predict(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return predicted.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 #: The stated rules of the URL query.
 URL_RULES = (
     url_rules.Rule("allow", "org", "/"),
