@@ -1,21 +1,65 @@
-"""The corpus pipeline: filters, near-duplicate removal, decontamination and token ids over ``documents``."""
+"""The corpus pipeline over ``documents``: quality, language, near duplicates, benchmark passages, token ids.
+
+Every stage takes the rows that its predecessor kept, as stored, and decides on each of them. A filtering stage keeps a
+document unless its operator speaks against it, so rows without labels, languages or ids are kept where nothing can be said.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from measurekit.llm import bpe
-from measurekit.llm.common import fresh_folder
+from measurekit.llm import bpe, decontaminate, language_crf, ngram_join, quality
+from measurekit.llm.common import fresh_folder, table
 from measurekit.llm.queries import vocabulary_path
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Below these a document goes: likelihood of good quality, and share of its words in the predicted language.
+MIN_QUALITY, MIN_LANGUAGE = 0.5, 0.5
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones among them, does not reject."""
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score(docs, model, out="measurekit_score").where(F.col("measurekit_score") >= MIN_QUALITY).select(*COLUMNS)
+
+
+def one_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents in which a language is recognised: they have letters, and one language holds enough of the words."""
+    model = language_crf.fit(docs)
+    known = (F.col("lang_pred") != language_crf.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE)
+    return language_crf.predict(docs, model).where(known).select(*COLUMNS)
+
+
+def first_of_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The document with the smallest id of every group of near duplicates; of rows with one id one stays, rows without id all."""
+    groups = ngram_join.join(docs.select("doc_id", "text")).select("doc_id", "component_id")
+    others = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    kept = docs.join(others, "doc_id", "left_anti")
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    single = kept.join(repeated, "doc_id", "left_anti")
+    return single.select(*COLUMNS).union(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    found = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
+    return found.where(~F.col("contaminated")).select(*COLUMNS)
+
 
 def token_ids(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Each document with its token ids and the text they decode to."""
     path = vocabulary_path()
-    return bpe.decode(bpe.encode(docs, path, keep=["doc_id", "lang", "source"]), path)
+    encoded = bpe.encode(docs, path, keep=["doc_id", "lang", "source"])
+    return bpe.decode(encoded.withColumn("n_tokens", F.size("ids").cast("long")), path)
 
 
-STAGES = [("bpe encoding and decoding", token_ids)]
+STAGES = [
+    ("quality classifier", good_quality),
+    ("language id", one_language),
+    ("n-gram jaccard join", first_of_group),
+    ("benchmark decontamination", without_benchmark),
+    ("bpe encoding and decoding", token_ids),
+]
 
 #: The models of the first stages and the trie have no SQL form.
 ORACLE_SQL = None
@@ -23,7 +67,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages in order, each written to the shared folder and read again by the next."""
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = table(spark, folder, "documents")
     for name, stage in STAGES:
         path = fresh_folder(spark, "stage-" + name.replace(" ", "-"))
         stage(spark, docs, folder).write.parquet(path)
