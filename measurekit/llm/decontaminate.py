@@ -30,6 +30,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW_WORDS = 10
 #: Words of a shingle; windows with fewer words use shingles of their own length.
 SHINGLE_WORDS = 3
+#: Stands for the shingle of the place after the last word; what meets it is tested, so a hash may have this value.
+CLOSING = 0
 #: Windows copied to every task at once, about 30 MB of words.
 BLOCK_WINDOWS = 200_000
 
@@ -49,24 +51,50 @@ def windows_of(items: DataFrame, item_id: str = "item_id", text: str = "text", s
     return words.select("item", starts.alias("window")).distinct().withColumn("n", F.size("window"))
 
 
-def shingle(words: Column, at: Column, n: int) -> Column:
-    """Hash of ``n`` words from place ``at`` (0-based); missing words do not count."""
-    return F.xxhash64(*[F.get(words, at + i) for i in range(n)])
+def shingle(words: Column, at: Column, n: int, first: Column | None = None) -> Column:
+    """Hash of ``n`` words from place ``at`` (0-based)."""
+    return F.xxhash64(F.get(words, at) if first is None else first, *[F.get(words, at + i) for i in range(1, n)])
 
 
-def shingled(windows: DataFrame, n: int) -> DataFrame:
-    """Windows with every shingle of ``n`` words and its place in the window."""
-    places = F.posexplode(F.transform(F.sequence(F.lit(0), F.col("n") - n), lambda i: shingle(F.col("window"), i, n)))
-    return windows.select("item", "window", "n", places.alias("place", "shingle"))
+def places(docs: DataFrame, sizes: list[int], carried: list[str]) -> DataFrame:
+    """``carried``, ``words, at, seen``: every place of a document with its shingle; the place after the last word has ``CLOSING``.
 
+    Plain rows instead of functions over arrays, so that one generated loop cuts, hashes and joins them; the
+    words travel along by reference and are written out for matches only. The outer explode is
+    taken because the inner one adds a filter that cuts the text a second time.
+    """
+    closed = F.concat("words", F.array(F.lit(None).cast("string")))
+    rows = docs.select(*carried, "words", F.posexplode_outer(closed).alias("at", "first"))
+    end, words, at = F.size("words"), F.col("words"), F.col("at")
+    if len(sizes) == 1:
+        n = sizes[0]
+        seen = F.when(at == end, F.lit(CLOSING)).otherwise(shingle(words, at, n, F.col("first")))
+        return rows.where((at <= end - n) | (at == end)).select(*carried, "words", "at", seen.alias("seen"))
+    # items with fewer words than a shingle bring shorter shingles with them
+    some = F.array_compact(F.array(F.when(at == end, F.lit(CLOSING)), *[F.when(at <= end - n, shingle(words, at, n, F.col("first"))) for n in sizes]))
+    return rows.select(*carried, "words", "at", F.explode(some).alias("seen"))
 
-def prefixes(docs: DataFrame, windows: DataFrame, n: int) -> DataFrame:
+
+def shingled(windows: DataFrame, most: int) -> DataFrame:
+    """Windows with every shingle and its place in the window."""
+
+    def hashed(n: int) -> Column:
+        return F.posexplode(F.transform(F.sequence(F.lit(0), F.col("n") - n), lambda i: shingle(F.col("window"), i, n)))
+
+    parts = []
+    for n in range(1, most + 1):
+        found = hashed(n)
+        parts.append(windows.where(F.least(F.lit(most), F.col("n")) == n).select("item", "window", "n", found.alias("place", "shingle")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def prefixes(docs: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
     """``(shingle, place, item, window, n)``: of each window the shingle rarest in ``docs`` (column ``words``)."""
-    held = shingled(windows, n)
+    held = shingled(windows, SHINGLE_WORDS)
     wanted = held.select("shingle").distinct()
     found = (
-        docs.select(F.explode(_shingles("words", n)).alias("shingle"))
-        .join(F.broadcast(wanted), "shingle", "left_semi")
+        places(docs, sizes, [])
+        .join(F.broadcast(wanted), F.col("seen") == F.col("shingle"))
         .groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("often"))
     )
@@ -75,20 +103,35 @@ def prefixes(docs: DataFrame, windows: DataFrame, n: int) -> DataFrame:
     return best.select(F.col("r.shingle").alias("shingle"), F.col("r.place").alias("place"), "item", "window", "n")
 
 
-def _shingles(words: str, n: int) -> Column:
-    places = F.sequence(F.lit(0), F.size(words) - n)
-    return F.when(F.size(words) >= n, F.transform(places, lambda i: shingle(F.col(words), i, n))).otherwise(F.array().cast("array<bigint>"))
-
+def occurrences(docs: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """``docs`` (with ``id`` and ``words``) met with the windows: one closing row a document without ``item``, one row an occurrence.
 
-def occurrences(docs: DataFrame, windows: DataFrame, n: int) -> DataFrame:
-    """``(id, item, start, n)`` for every window of ``windows`` that occurs in the words of a document."""
-    index = F.broadcast(prefixes(docs, windows, n).withColumnRenamed("n", "size"))
-    places = docs.select("id", "words", F.posexplode(_shingles("words", n)).alias("at", "seen"))
-    start = F.col("at") - F.col("place")
+    Columns ``id, n_words, item, start, n`` and, on the closing row only, those of the document.
+    """
+    spark = docs.sparkSession
+    index = prefixes(docs, windows, sizes).select("shingle", "place", "item", "window", F.col("n").alias("size"))
+    closing = spark.range(1).select(
+        F.lit(CLOSING).alias("shingle"), F.lit(0).alias("place"), F.lit(None).cast("string").alias("item"), F.lit(None).cast("array<string>").alias("window"), F.lit(0).alias("size")
+    )
+    carried = [c for c in docs.columns if c != "words"]
+    start, end = F.col("at") - F.col("place"), F.size("words")
     # inside the document, then word by word
-    inside = (start >= 0) & (start + F.col("size") <= F.size("words"))
-    met = places.join(index, (F.col("seen") == F.col("shingle")) & inside & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("size")) == F.col("window")))
-    return met.select("id", "item", start.alias("start"), F.col("size").alias("n"))
+    inside = (start >= 0) & (start + F.col("size") <= end)
+    held = inside & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("size")) == F.col("window"))
+    fits = F.when(F.col("item").isNull(), F.col("at") == end).otherwise(held)
+    met = places(docs, sizes, carried).join(F.broadcast(index.union(closing)), (F.col("seen") == F.col("shingle")) & fits)
+    last = F.col("item").isNull()
+    return met.select(
+        "id", "item", F.when(~last, start).alias("start"), F.col("size").alias("n"), end.alias("n_words"), *[F.when(last, F.col(c)).alias(c) for c in carried if c != "id"]
+    )
+
+
+def covered(spans: Column) -> Column:
+    """Number of places in the union of sorted ``struct<start, n>``."""
+    step = lambda s, x: F.struct(
+        (s["total"] + F.greatest(x["start"] + x["n"] - F.greatest(x["start"], s["until"]), F.lit(0))).alias("total"), F.greatest(s["until"], x["start"] + x["n"]).alias("until")
+    )
+    return F.aggregate(spans, F.struct(F.lit(0).alias("total"), F.lit(0).alias("until")), step, lambda s: s["total"]).cast("long")
 
 
 def contamination(
@@ -97,32 +140,27 @@ def contamination(
     """``docs`` with ``n_words``, ``n_hit`` (words inside an occurrence), ``items`` (sorted ids as strings) and ``contaminated``."""
     outputs = ["n_words", "n_hit", "items", "contaminated"]
     kept = [c for c in docs.columns if c not in outputs]
-    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row") if kept else F.lit(0).alias("row")
-    rows = docs.select(F.monotonically_increasing_id().alias("id"), row, words_of(F.col(f"`{text}`").cast("string")).alias("words"))
+    inner = [f"kept{i}" for i in range(len(kept))]
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("id"), words_of(F.col(f"`{text}`").cast("string")).alias("words"), *[F.col(f"`{c}`").alias(i) for c, i in zip(kept, inner)]
+    )
     windows = stored(windows_of(items, item_id, item_text, window_words))
-    sizes = {r["n"]: r["count"] for r in windows.groupBy("n").count().collect()}  # at most window_words rows
-    hits = []
-    for n in sorted({min(SHINGLE_WORDS, size) for size in sizes}):
-        these = windows.where(F.least(F.lit(SHINGLE_WORDS), F.col("n")) == n)
-        total = sum(count for size, count in sizes.items() if min(SHINGLE_WORDS, size) == n)
-        blocks = -(-total // BLOCK_WINDOWS)
-        for block in range(blocks):
-            some = these if blocks == 1 else these.where(F.pmod(F.hash("window", "item"), F.lit(blocks)) == block)
-            hits.append(occurrences(rows, some, n))
-    if not hits:
-        return rows.select(
-            *[F.col(f"row.`{c}`") for c in kept], F.size("words").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
-            F.array().cast("array<string>").alias("items"), F.lit(False).alias("contaminated"),
-        )
-    met = reduce(DataFrame.unionByName, hits)
-    covered = met.select("id", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("word")).distinct()
-    counted = covered.groupBy("id").agg(F.count(F.lit(1)).alias("n_hit"))
-    found = met.select("id", "item").distinct().groupBy("id").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    hit = counted.join(found, "id")
-    return rows.select("id", "row", F.size("words").cast("long").alias("n_words")).join(hit, "id", "left").select(
-        *[F.col(f"row.`{c}`") for c in kept],
-        "n_words",
-        F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+    lengths = {r["n"]: r["count"] for r in windows.groupBy("n").count().collect()}  # at most window_words rows
+    sizes = sorted({min(SHINGLE_WORDS, n) for n in lengths}) or [SHINGLE_WORDS]
+    blocks = max(1, -(-sum(lengths.values()) // BLOCK_WINDOWS))
+    if blocks > 1:
+        rows = stored(rows)  # several passes need the ids to be fixed
+    met = []
+    for block in range(blocks):
+        some = windows if blocks == 1 else windows.where(F.pmod(F.hash("window", "item"), F.lit(blocks)) == block)
+        met.append(occurrences(rows, some, sizes))
+    spans = F.array_sort(F.collect_set(F.when(F.col("item").isNotNull(), F.struct("start", "n"))))
+    found = reduce(DataFrame.unionByName, met).groupBy("id").agg(
+        F.max("n_words").cast("long").alias("n_words"),
+        spans.alias("spans"),
+        F.sort_array(F.collect_set("item")).alias("items"),
+        *[F.first(i, ignorenulls=True).alias(i) for i in inner],
+    )
+    return found.select(
+        *[F.col(i).alias(c) for c, i in zip(kept, inner)], "n_words", covered(F.col("spans")).alias("n_hit"), "items", (F.size("items") > 0).alias("contaminated")
     )
