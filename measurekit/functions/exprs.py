@@ -54,6 +54,13 @@ def integer(c: str | Column) -> Column:
     return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("int"))
 
 
+def whole_or_zero(c: str | Column) -> Column:
+    """The number without its decimals; 0 for anything that is not a number or is too large for a whole one."""
+    value = number(c)
+    whole = F.when(value < 0, F.ceil(value).cast("double")).otherwise(F.floor(value).cast("double"))
+    return F.coalesce(F.when(F.abs(value) < 2.0**31, whole).try_cast("int"), F.lit(0))
+
+
 def null_tokens(c: str | Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     """Trimmed text with missing-value tokens turned into NULL."""
     raw = col(c)

@@ -128,7 +128,7 @@ def null_tokens(spark, sf):
     WITH_MESSY + f" SELECT _rid, CAST(trunc(coalesce({num('score')}, 0)) AS INTEGER) AS score FROM messy",
 )
 def coerced(spark, sf):
-    return messy(spark, sf).select("_rid", F.coalesce(exprs.number("score"), F.lit(0.0)).cast("int").alias("score"))
+    return messy(spark, sf).select("_rid", exprs.whole_or_zero("score").alias("score"))
 
 
 @query(

@@ -14,6 +14,7 @@ from ..functions import exprs
 from ..operators.clean import drop_empty_columns, with_row_id
 
 CORRUPT = "_corrupt"
+LINE = "_line"
 
 # ---- fixed values: column names of the known inputs --------------------------
 SUBMISSION_COLUMNS = ("name", "domain", "task", "score", "submitted")
@@ -67,31 +68,56 @@ def read_text_table(
     null_tokens: Sequence[str] = exprs.NULL_TOKENS,
     strict_width: bool = False,
     header: bool = True,
+    multiline: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected): all columns as trimmed text with missing tokens as NULL, plus ``_rid``.
 
-    Rows with too few or too many fields are rejected when ``strict_width`` is
-    set; ``rejected`` holds their raw text.
+    With a header the columns are found by its names, in whatever order the file has them; a missing one
+    is an error and further ones are left out. Quotes inside a quoted field are doubled. Rows with too few
+    or too many fields are rejected when ``strict_width`` is set; ``rejected`` holds their raw text.
+    ``multiline`` lets quoted fields hold line breaks, and a file is then read by one task; without it
+    a line with an unbalanced quote is rejected. All files of a folder have the same header line.
     """
-    raw = (
-        spark.read.schema(text_schema(columns, corrupt=True))
-        .option("header", header)
-        .option("enforceSchema", True)
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-        .option("columnPruning", False)  # a row's width is judged on all columns, whichever are selected
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
+    found = file_header(spark, path, sep) if header else list(columns)
+    names = {name.strip().lstrip("\ufeff").strip(): name for name in found}
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    schema = text_schema(found, corrupt=True)
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if multiline:
+        # a row's width is judged on all columns, whichever are selected
+        reader = spark.read.schema(schema).options(**options).option("columnPruning", False)
+        raw = reader.option("header", header).option("multiLine", True).csv(path).withColumn(LINE, F.lit(None).cast("string"))
+    else:
+        lines = spark.read.text(path).where(F.trim("value") != "")
+        first = lines.first() if header else None
+        if first is not None:
+            lines = lines.where(F.col("value") != first["value"])
+        ddl = ", ".join(f"`{f.name}` string" for f in schema)
+        raw = lines.select(F.from_csv("value", ddl, options).alias("r"), F.col("value").alias(LINE)).select("r.*", LINE)
     numbered = with_row_id(raw)
-    clean = lambda c: exprs.null_tokens(F.col(f"`{c}`"), null_tokens) if null_tokens else F.trim(F.col(f"`{c}`"))
-    rows = numbered.where(F.col(CORRUPT).isNull()) if strict_width else numbered
+    cell = {c: F.col(f"`{names[c]}`") for c in columns}
+    clean = lambda c: exprs.null_tokens(cell[c], null_tokens) if null_tokens else F.trim(cell[c])
     # The reader refuses queries on the corrupt column alone, hence the (always true) second condition.
-    parsed = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in columns])) >= 0
-    rejected = numbered.where(F.col(CORRUPT).isNotNull() & parsed).select("_rid", F.col(CORRUPT).alias("line"))
+    parsed = F.length(F.concat_ws("", *cell.values())) >= 0
+    broken = F.col(CORRUPT).isNotNull()
+    cut = F.length(F.regexp_replace(F.coalesce(LINE, F.lit("")), '[^"]', "")) % 2 == 1
+    rows = numbered.where(~(broken | cut) if strict_width else ~cut)
+    rejected = numbered.where((broken | cut) & parsed).select("_rid", F.coalesce(CORRUPT, LINE).alias("line"))
     return rows.select("_rid", *[clean(c).alias(c) for c in columns]), rejected
 
 
+def file_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
+    """The names in the first line."""
+    return spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').csv(path).columns
+
+
+def read_plain(spark: SparkSession, path: str) -> DataFrame:
+    """A comma-separated table with a header, all columns as text."""
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
 def read_submissions(
     spark: SparkSession, path: str, on_invalid: str = "skip", strict_width: bool = False
 ) -> tuple[DataFrame, DataFrame]:
@@ -105,7 +131,7 @@ def read_submissions(
     )
     flag = F.coalesce(exprs.equals_text("submitted", "yes"), F.lit(False))
     if on_invalid == "zero":
-        score = F.coalesce(exprs.number("score"), F.lit(0.0)).cast("int")
+        score = exprs.whole_or_zero("score")
     else:
         score = exprs.integer("score")
     typed = rows.withColumns({"__raw": F.col("score"), "score": score, "submitted": flag})
@@ -146,8 +172,15 @@ def read_european(
     """Semicolon-separated table with decimal commas.
 
     Columns without any value and rows whose measured columns are all empty
-    are dropped. Names are made safe for column expressions.
+    are dropped; such files end their lines with unnamed columns, so that many names may be missing from the header.
+    Names are made safe for column expressions.
     """
+    found = {name.strip() for name in file_header(spark, path, ";")}
+    unnamed = sum(name.startswith("_c") and name[2:].isdigit() for name in found)
+    missing = [c for c in columns if c not in found]
+    if len(missing) > unnamed:
+        raise ValueError(f"missing columns: {missing}")
+    columns = [c for c in columns if c in found]
     rows, _ = read_text_table(spark, path, columns, sep=";")
     rows = rows.select("_rid", *[F.col(f"`{c}`").alias(safe_name(c)) for c in columns])
     numbers = [safe_name(c) for c in columns if c not in text]
@@ -158,7 +191,7 @@ def read_european(
 
 def read_scoring_input(spark: SparkSession, path: str, features: Sequence[str]) -> DataFrame:
     """Feature columns as doubles; fails with the list of missing columns."""
-    raw = spark.read.option("header", True).csv(path)
+    raw = read_plain(spark, path)
     require_columns(raw, features)
     return raw.select(*[exprs.number(c).alias(c) for c in features])
 

@@ -10,7 +10,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     elif fmt == "json":

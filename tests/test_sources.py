@@ -70,3 +70,36 @@ def test_table_sinks_round_trip(spark, tmp_path):
         assert sorted(map(tuple, reader.format(fmt).load(path).select("id", "name", "x").collect())) == sorted(map(tuple, rows.collect()))
     with pytest.raises(ValueError):
         sinks.write_table(rows, str(tmp_path / "x"), "xml")
+
+
+def test_columns_follow_the_header(spark, write):
+    text = "domain,name,extra,task,submitted,score\nML,Aarav,x,Task1,yes,7\nWeb,Meera,x,Task1,no,4\n"
+    valid, rejected = records.read_submissions(spark, write(text))
+    assert [(r["name"], r["domain"], r["score"], r["submitted"]) for r in valid.orderBy("_rid").collect()] == [("Aarav", "ML", 7, True), ("Meera", "Web", 4, False)]
+    assert rejected.collect() == []
+    with pytest.raises(ValueError, match="score"):
+        records.read_submissions(spark, write("name,domain,task,submitted\na,b,c,yes\n", "short.csv"))
+
+
+def test_doubled_quotes_and_line_breaks(spark, write):
+    head = "name,domain,task,score,submitted\n"
+    valid, _ = records.read_submissions(spark, write(head + '"Aa ""x"", v",ML,T,5,yes\n'))
+    assert names(valid) == ['Aa "x", v']
+    broken = write(head + '"Aa\nv",ML,T,5,yes\nBe,ML,T,6,yes\n', "broken.csv")
+    valid, rejected = records.read_submissions(spark, broken)
+    assert names(valid) == ["Be"] and rejected.count() == 2
+    whole, _ = records.read_text_table(spark, broken, records.SUBMISSION_COLUMNS, null_tokens=(), multiline=True)
+    assert names(whole) == ["Aa\nv", "Be"]
+
+
+def test_huge_numbers_do_not_fail(spark, write):
+    text = "name,domain,task,score,submitted\na,ML,T,1e12,yes\nb,ML,T,-3.9,yes\nc,ML,T,99999999999,no\n"
+    valid, _ = records.read_submissions(spark, write(text), "zero")
+    assert [r["score"] for r in valid.orderBy("_rid").collect()] == [0, -3, 0]
+    assert records.read_submissions(spark, write(text))[0].count() == 0
+
+
+def test_quotes_survive_a_written_table(spark, tmp_path):
+    rows = spark.createDataFrame([('a "b", c',), ("back\\slash",)], "name string")
+    sinks.write_table(rows, str(tmp_path / "q"), "csv")
+    assert sorted(r["name"] for r in records.read_plain(spark, str(tmp_path / "q")).collect()) == sorted(r["name"] for r in rows.collect())
