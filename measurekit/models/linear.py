@@ -1,8 +1,9 @@
 """Linear models from one pass over the data.
 
 Batch gradient descent, least squares and ridge all depend on the data only
-through n, the column sums and the cross products. One Spark aggregation
-builds these sums; the rest works on a (features + 1)-sized matrix.
+through n, the column means and the covariances. One Spark aggregation
+builds them; they are merged without cancellation, so columns far from zero (times, ids) keep
+their precision. The rest works on a (features + 1)-sized matrix.
 """
 
 from __future__ import annotations
@@ -32,13 +33,33 @@ class LinearModel:
 
 @dataclass
 class Gram:
-    """Sums of one part of the data; the last row and column belong to the constant 1."""
+    """Means and population covariances of one part of the data."""
 
     features: tuple[str, ...]
     n: int
-    xx: np.ndarray
-    xy: np.ndarray
-    yy: float
+    mean: np.ndarray
+    covariance: np.ndarray
+    mean_y: float
+    covariance_y: np.ndarray
+    variance_y: float
+
+    @property
+    def xx(self) -> np.ndarray:
+        """Cross products; the last row and column belong to the constant 1."""
+        p = len(self.features)
+        out = np.empty((p + 1, p + 1))
+        out[:p, :p] = self.covariance + np.outer(self.mean, self.mean)
+        out[p, :p] = out[:p, p] = self.mean
+        out[p, p] = 1.0
+        return self.n * out
+
+    @property
+    def xy(self) -> np.ndarray:
+        return self.n * np.append(self.covariance_y + self.mean * self.mean_y, self.mean_y)
+
+    @property
+    def yy(self) -> float:
+        return self.n * (self.variance_y + self.mean_y**2)
 
     def ols(self) -> LinearModel:
         return self.ridge(0.0)
@@ -46,46 +67,51 @@ class Gram:
     def ridge(self, alpha: float = 1.0) -> LinearModel:
         """Penalty on the weights, not on the intercept: solved on centred sums."""
         p = len(self.features)
-        mean_x, mean_y = self.xx[:p, p] / self.n, self.xy[p] / self.n
-        cxx = self.xx[:p, :p] - self.n * np.outer(mean_x, mean_x)
-        cxy = self.xy[:p] - self.n * mean_x * mean_y
-        weights = np.linalg.lstsq(cxx + alpha * np.eye(p), cxy, rcond=None)[0]
-        return LinearModel(self.features, weights, float(mean_y - weights @ mean_x), [])
+        # columns are brought to one scale, so that a small one is not taken for a dependent one
+        scale = np.sqrt(np.diag(self.covariance))
+        scale = np.where(scale > 0, scale, 1.0)
+        squares = self.n * self.covariance / np.outer(scale, scale) + alpha * np.diag(1.0 / scale**2)
+        weights = np.linalg.lstsq(squares, self.n * self.covariance_y / scale, rcond=None)[0] / scale if p else np.zeros(0)
+        return LinearModel(self.features, weights, float(self.mean_y - weights @ self.mean), [])
 
     def loss(self, beta: np.ndarray) -> float:
-        """Mean squared error of the coefficients (weights..., bias) on this part."""
-        return float((self.yy - 2.0 * beta @ self.xy + beta @ self.xx @ beta) / self.n)
+        """Mean squared error of the coefficients (weights..., bias) on this part, from centred sums."""
+        weights, bias = beta[:-1], beta[-1]
+        off = self.mean_y - weights @ self.mean - bias
+        return float(self.variance_y - 2.0 * weights @ self.covariance_y + weights @ self.covariance @ weights + off * off)
 
     def descend(self, rate: float = 0.01, steps: int = 1000, watch: Gram | None = None) -> LinearModel:
         """Batch gradient descent from zero. The history holds the loss on ``watch`` after
         each step, or the loss on this part before each step."""
         beta = np.zeros(len(self.features) + 1)
         history = []
+        xx, xy = self.xx, self.xy
         for _ in range(steps):
             if watch is None:
                 history.append(self.loss(beta))
-            beta = beta + rate * (2.0 / self.n) * (self.xy - self.xx @ beta)
+            beta = beta + rate * (2.0 / self.n) * (xy - xx @ beta)
             if watch is not None:
                 history.append(watch.loss(beta))
         return LinearModel(self.features, beta[:-1], float(beta[-1]), history)
 
 
 def grams(df: DataFrame, features: Sequence[str], label: str, split: str | None = None) -> dict[str, Gram]:
-    """Sums per part ('all' without a split column) from a single aggregation."""
-    columns = [F.col(c).cast("double") for c in features] + [F.lit(1.0)]
+    """Means and covariances per part ('all' without a split column) from a single aggregation."""
+    columns = [F.col(c).cast("double") for c in features]
     y = F.col(label).cast("double")
     p = len(columns)
     cells = [(i, j) for i in range(p) for j in range(i, p)]
-    sums = [F.sum(columns[i] * columns[j]).alias(f"x{i}_{j}") for i, j in cells]
-    sums += [F.sum(columns[i] * y).alias(f"y{i}") for i in range(p)] + [F.sum(y * y).alias("yy")]
+    sums = [F.covar_pop(columns[i], columns[j]).alias(f"x{i}_{j}") for i, j in cells]
+    sums += [F.covar_pop(columns[i], y).alias(f"y{i}") for i in range(p)] + [F.var_pop(y).alias("yy"), F.avg(y).alias("my")]
+    sums += [F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)] + [F.count(F.lit(1)).alias("n")]
     key = F.col(split) if split else F.lit("all")
     result = {}
     for row in df.groupBy(key.alias("__part")).agg(*sums).collect():  # one row per part
         xx = np.zeros((p, p))
         for i, j in cells:
             xx[i, j] = xx[j, i] = row[f"x{i}_{j}"]
-        xy = np.array([row[f"y{i}"] for i in range(p)])
-        result[row["__part"]] = Gram(tuple(features), int(round(xx[-1, -1])), xx, xy, float(row["yy"]))
+        mean, xy = (np.array([row[f"{k}{i}"] for i in range(p)], dtype=float) for k in "my")
+        result[row["__part"]] = Gram(tuple(features), row["n"], mean, xx, float(row["my"]), xy, float(row["yy"]))
     return result
 
 

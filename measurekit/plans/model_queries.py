@@ -79,7 +79,7 @@ def ridge(spark, sf):
     return _weights(spark, linear.grams(linear_rows(spark, sf), FEATURES, "price")["all"].ridge(1.0))
 
 
-GD_STEPS, GD_RATE = 50, 0.05
+GD_STEPS, GD_RATE = 1_000, 0.05
 
 
 @query(
