@@ -15,24 +15,35 @@ def _ratio(a: Column, b: Column) -> Column:
 
 
 def regression(df: DataFrame, y: str = "y_true", p: str = "y_pred", digits: int = 6) -> DataFrame:
-    """One row: mae, mse, rmse, r2, n. R2 is 0 when the target is constant."""
+    """One row: mae, mse, rmse, r2, n, missing. R2 is 0 when the target is constant.
+
+    ``n`` rows have both numbers; ``missing`` rows lack one and count in nothing else.
+    """
     error = F.col(y) - F.col(p)
     mse = F.avg(error * error)
-    r2 = F.coalesce(F.lit(1.0) - F.try_divide(mse, F.var_pop(y)), F.lit(0.0))
+    r2 = F.coalesce(F.lit(1.0) - F.try_divide(mse, F.var_pop(F.when(error.isNotNull(), F.col(y)))), F.lit(0.0))
     r = lambda c: F.round(c, digits)
     return df.agg(
         r(F.avg(F.abs(error))).alias("mae"),
         r(mse).alias("mse"),
         r(F.sqrt(mse)).alias("rmse"),
         r(r2).alias("r2"),
-        F.count(F.lit(1)).alias("n"),
+        F.count(error).alias("n"),
+        F.count_if(error.isNull()).alias("missing"),
     )
 
 
 def confusion(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataFrame:
-    """One row: tp, fp, fn, tn."""
-    cell = lambda a, b: F.count_if((F.col(y) == a) & (F.col(p) == b))
-    return df.agg(cell(1, 1).alias("tp"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"), cell(0, 0).alias("tn"))
+    """One row: tp, fp, fn, tn, missing.
+
+    A row without a prediction is wrong: it counts as a false negative or a false positive. A row without a
+    label counts as ``missing`` only.
+    """
+    truth, guess = F.col(y), F.coalesce(F.col(p), F.lit(1) - F.col(y))
+    cell = lambda a, b: F.count_if((truth == a) & (guess == b))
+    return df.agg(
+        cell(1, 1).alias("tp"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"), cell(0, 0).alias("tn"), F.count_if(truth.isNull()).alias("missing")
+    )
 
 
 def binary(df: DataFrame, y: str = "y_true", p: str = "y_pred", digits: int = 6) -> DataFrame:
@@ -47,6 +58,7 @@ def binary(df: DataFrame, y: str = "y_true", p: str = "y_pred", digits: int = 6)
         r(_ratio(tp * 2, tp * 2 + fp + fn)).alias("f1_score"),
         "tp", "fp", "fn", "tn",
         n.alias("n"),
+        "missing",
     )
 
 
@@ -119,7 +131,8 @@ def log_loss(df: DataFrame, y: str = "y_true", probability: str = "proba") -> Da
 
 
 def misclassified(df: DataFrame, y: str = "actual", p: str = "predicted") -> DataFrame:
-    return df.where(F.col(y) != F.col(p))
+    """Rows with a label whose prediction differs or is missing."""
+    return df.where(F.col(y).isNotNull() & ~F.col(y).eqNullSafe(F.col(p)))
 
 
 def mistake_pairs(df: DataFrame, y: str = "actual", p: str = "predicted", top: int = 10) -> DataFrame:
@@ -137,7 +150,7 @@ def false_positives(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> Data
 
 def confidence_by_outcome(df: DataFrame, confidence: str, y: str = "actual", p: str = "predicted", digits: int = 4) -> DataFrame:
     """One row: mean confidence and count of correct and wrong predictions; NULL mean when there are none."""
-    right = F.col(y) == F.col(p)
+    right = F.when(F.col(y).isNotNull(), F.col(y).eqNullSafe(F.col(p)))
     return df.agg(
         F.round(F.avg(F.when(right, F.col(confidence))), digits).alias("mean_correct"),
         F.round(F.avg(F.when(~right, F.col(confidence))), digits).alias("mean_wrong"),

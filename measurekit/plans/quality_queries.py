@@ -16,17 +16,24 @@ BINARY = {
     "proba": "CAST(n_chars AS DOUBLE) / (n_chars + 1000)",
     "y_pred": "CASE WHEN n_chars >= 1000 THEN 1 ELSE 0 END",
 }
+# some rows lack the label, some the prediction
+BINARY_GAPS = BINARY | {
+    "y_true": "CASE WHEN doc_id % 29 <> 3 THEN quality END",
+    "y_pred": "CASE WHEN doc_id % 31 = 5 THEN NULL WHEN n_chars >= 1000 THEN 1 ELSE 0 END",
+}
 
 
-def binary_rows(spark, sf):
+def binary_rows(spark, sf, columns=BINARY):
     docs = table(spark, sf, "documents").select("doc_id", "n_chars")
-    return derive(table(spark, sf, "labels").join(docs, "doc_id"), BINARY)
+    return derive(table(spark, sf, "labels").join(docs, "doc_id"), columns)
 
 
+WITH_GAPS = "WITH b AS (" + derive_sql(BINARY_GAPS, JUDGED) + ")"
 WITH_B = "WITH b AS (" + derive_sql(BINARY, JUDGED) + ")"
 CELLS = (
-    ", c AS (SELECT count(*) FILTER (WHERE y_true = 1 AND y_pred = 1) AS tp, count(*) FILTER (WHERE y_true = 0 AND y_pred = 1) AS fp, "
-    "count(*) FILTER (WHERE y_true = 1 AND y_pred = 0) AS fn, count(*) FILTER (WHERE y_true = 0 AND y_pred = 0) AS tn FROM b)"
+    ", c AS (SELECT count(*) FILTER (WHERE y_true = 1 AND y_pred = 1) AS tp, count(*) FILTER (WHERE y_true = 0 AND (y_pred = 1 OR y_pred IS NULL)) AS fp, "
+    "count(*) FILTER (WHERE y_true = 1 AND (y_pred = 0 OR y_pred IS NULL)) AS fn, count(*) FILTER (WHERE y_true = 0 AND y_pred = 0) AS tn, "
+    "count(*) FILTER (WHERE y_true IS NULL) AS missing FROM b)"
 )
 
 CLASSES = {
@@ -51,10 +58,14 @@ PER_CLASS = (
 )
 
 FIT = {"_id": "l_orderkey * 8 + l_linenumber", "y_true": "l_discount", "y_pred": "l_tax"}
+FIT_GAPS = FIT | {
+    "y_true": "CASE WHEN l_partkey % 101 <> 7 THEN l_discount END",
+    "y_pred": "CASE WHEN l_partkey % 103 <> 9 THEN l_tax END",
+}
 
 
-def fitted_rows(spark, sf):
-    return derive(table(spark, sf, "lineitem"), FIT)
+def fitted_rows(spark, sf, columns=FIT):
+    return derive(table(spark, sf, "lineitem"), columns)
 
 
 WITH_F = "WITH f AS (" + derive_sql(FIT, "lineitem") + ")"
@@ -62,26 +73,27 @@ WITH_F = "WITH f AS (" + derive_sql(FIT, "lineitem") + ")"
 
 @query(
     "MET1_regression",
-    WITH_F + " SELECT round(avg(abs(y_true - y_pred)), 6) AS mae, round(avg(pow(y_true - y_pred, 2)), 6) AS mse, round(sqrt(avg(pow(y_true - y_pred, 2))), 6) AS rmse, "
-    "round(CASE WHEN var_pop(y_true) = 0 THEN 0 ELSE 1 - avg(pow(y_true - y_pred, 2)) / var_pop(y_true) END, 6) AS r2, count(*) AS n FROM f",
+    "WITH f AS (" + derive_sql(FIT_GAPS, "lineitem") + ")" " SELECT round(avg(abs(y_true - y_pred)), 6) AS mae, round(avg(pow(y_true - y_pred, 2)), 6) AS mse, round(sqrt(avg(pow(y_true - y_pred, 2))), 6) AS rmse, "
+    "round(CASE WHEN var_pop(y_true) FILTER (y_pred IS NOT NULL) = 0 THEN 0 ELSE 1 - avg(pow(y_true - y_pred, 2)) / var_pop(y_true) FILTER (y_pred IS NOT NULL) END, 6) AS r2, "
+    "count(*) FILTER (y_true IS NOT NULL AND y_pred IS NOT NULL) AS n, count(*) FILTER (y_true IS NULL OR y_pred IS NULL) AS missing FROM f",
 )
 def regression(spark, sf):
-    return metrics.regression(fitted_rows(spark, sf))
+    return metrics.regression(fitted_rows(spark, sf, FIT_GAPS))
 
 
-@query("MET2_confusion_counts", WITH_B + CELLS + " SELECT * FROM c")
+@query("MET2_confusion_counts", WITH_GAPS + CELLS + " SELECT * FROM c")
 def confusion_counts(spark, sf):
-    return metrics.confusion(binary_rows(spark, sf))
+    return metrics.confusion(binary_rows(spark, sf, BINARY_GAPS))
 
 
 @query(
     "MET3_binary_metrics",
-    WITH_B + CELLS + " SELECT round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision, "
+    WITH_GAPS + CELLS + " SELECT round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision, "
     "round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall, round(CASE WHEN tp > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1_score, "
-    "tp, fp, fn, tn, tp + fp + fn + tn AS n FROM c",
+    "tp, fp, fn, tn, tp + fp + fn + tn AS n, missing FROM c",
 )
 def binary_metrics(spark, sf):
-    return metrics.binary(binary_rows(spark, sf))
+    return metrics.binary(binary_rows(spark, sf, BINARY_GAPS))
 
 
 @query("MET4_confusion_cells", WITH_C + " SELECT actual, predicted, count(*) AS n FROM k GROUP BY actual, predicted")

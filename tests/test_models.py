@@ -101,11 +101,36 @@ def test_metrics_without_positives(spark):
 
 def test_regression_metrics(spark):
     rows = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (3.0, 1.0)], "y_true double, y_pred double")
-    assert metrics.regression(rows).first().asDict() == {"mae": 1.0, "mse": 1.666667, "rmse": 1.290994, "r2": -1.5, "n": 3}
+    assert metrics.regression(rows).first().asDict() == {"mae": 1.0, "mse": 1.666667, "rmse": 1.290994, "r2": -1.5, "n": 3, "missing": 0}
     constant = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "y_true double, y_pred double")
     assert metrics.regression(constant).first()["r2"] == 0.0
 
 
+def test_rows_without_label_or_prediction_are_counted(spark):
+    rows = spark.createDataFrame([(1, 1), (1, None), (0, None), (None, 1)], "y_true int, y_pred int")
+    row = metrics.binary(rows).first()
+    assert (row["tp"], row["fn"], row["fp"], row["tn"], row["n"], row["missing"]) == (1, 1, 1, 0, 3, 1)
+    assert row["accuracy"] == 0.333333
+    numbers = spark.createDataFrame([(1.0, 2.0), (None, 2.0), (3.0, None)], "y_true double, y_pred double")
+    found = metrics.regression(numbers).first()
+    assert (found["n"], found["missing"], found["mae"]) == (1, 2, 1.0)
+    named = rows.selectExpr("y_true AS actual", "y_pred AS predicted")
+    assert metrics.misclassified(named).count() == 2
+
+
+def test_columns_far_from_zero_keep_their_weights(spark):
+    from measurekit.models import linear
+
+    rows = spark.createDataFrame([(1e8 + i, float(i * i % 5), 2.0 * i + 1.0 + 3.0 * (i * i % 5)) for i in range(40)], "x double, z double, y double")
+    model = linear.grams(rows.repartition(5), ["x", "z"], "y")["all"].ols()
+    assert np.allclose(model.weights, [2.0, 3.0], rtol=1e-9)
+    ridge = linear.grams(rows, ["x", "z"], "y")["all"].ridge(1.0)
+    data = np.array([tuple(r) for r in rows.collect()])
+    centred = data - data.mean(axis=0)
+    expected = np.linalg.solve(centred[:, :2].T @ centred[:, :2] + np.eye(2), centred[:, :2].T @ centred[:, 2])
+    assert np.allclose(ridge.weights, expected, rtol=1e-9)
+
+
 def test_majority_takes_the_smallest_class_on_a_tie(spark):
     rows = spark.createDataFrame([(1,), (0,), (1,), (0,)], "y int")
     assert tuple(baseline.majority_class(rows, "y").first()) == (0, 2)
