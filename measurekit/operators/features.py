@@ -18,7 +18,6 @@ READY_COLUMNS = (
 )
 # --------------------------------------------------------------------------------
 TIME_PARTS = 256
-MAX_HOT_SERIES = 4_096
 
 
 def rolling_mean(
@@ -46,7 +45,7 @@ def rolling_mean(
     tracked = df.where(keyed)
     untracked = df.where(~keyed).withColumn(out, F.lit(None).cast("double"))
 
-    hot_table = hot_groups(tracked, partition, hot_rows, MAX_HOT_SERIES)
+    hot_table = hot_groups(tracked, partition, hot_rows)
     hot, cold = split_hot(tracked, partition, hot_table)
     frame = Window.partitionBy(*partition).orderBy(*order).rowsBetween(1 - window, 0)
     cold = cold.withColumn(out, F.round(F.avg(value).over(frame), digits))
@@ -55,7 +54,7 @@ def rolling_mean(
     hot = hot.drop("group_rows")
     sizes = hot.groupBy(*partition).agg(F.approx_count_distinct(first).alias("__d"))
     bounds = boundaries(hot.select(*partition, first), partition, first, sizes, time_parts, part_rows)
-    placed = attach(hot, bounds, partition, how="left", small=True).withColumn(
+    placed = attach(hot, bounds, partition, how="left").withColumn(
         "__part", part_of(F.col(first), F.col("bounds"))
     ).drop("bounds")
     # The last window-1 rows of every part; the rank limit prunes before the shuffle.

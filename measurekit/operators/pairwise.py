@@ -145,13 +145,13 @@ def distance_sums(
 
 
 def silhouette(
-    df: DataFrame, row_id: str, vector: str, cluster: str, sample: int | None = 2000, digits: int = 6
+    df: DataFrame, row_id: str, vector: str, cluster: str, sample: int | None = None, digits: int = 6
 ) -> DataFrame:
-    """One row (silhouette, n): mean of (b - a) / max(a, b) with Euclidean distances.
+    """One row (silhouette, n): mean of (b - a) / max(a, b) with Euclidean distances over all rows.
 
-    A row alone in its cluster counts 0; fewer than two clusters give 0. Above
-    ``sample`` rows the metric is defined on a sample, drawn here by the hash of the id; None
-    uses all rows.
+    A row alone in its cluster counts 0; fewer than two clusters give 0. The work grows with the square of the
+    rows; a caller who wants the metric of a sample names its size, and ``n`` shows it. The sample is drawn
+    by the hash of the id.
     """
     rows = df.select(row_id, vector, cluster)
     if sample is not None:

@@ -48,7 +48,7 @@ def replicates(
     hot_median = bracketed_quantiles(hot.where(F.col("__v").isNotNull()), keys, "__v", (0.5,)).select(
         *keys, F.element_at("quantiles", 1).alias("median")
     )
-    return finish(plain.unionByName(attach(hot_moments, hot_median, keys, how="left", small=True)), keys, level)
+    return finish(plain.unionByName(attach(hot_moments, hot_median, keys, how="left")), keys, level)
 
 
 def finish(stats: DataFrame, keys: Sequence[str], level: float = 0.95) -> DataFrame:

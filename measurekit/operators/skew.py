@@ -1,10 +1,8 @@
 """Hot groups: the few keys that hold a large share of all rows.
 
-A group is hot when it has more than ``min_rows`` rows and more than one
-``MAX_HOT``-th of all rows. By counting, at most ``MAX_HOT`` groups can be hot,
-so the table of hot keys has a proven size bound and may be broadcast. Cold
-groups are small enough for one task by the same rule. Everything is part of
-the lazy plan; nothing is collected.
+A group is hot when it has more than ``min_rows`` rows, however large the table is, so a
+cold group always fits one task. A table of n rows has at most n / ``min_rows`` hot keys; how
+they are joined is left to their measured size. Everything is part of the lazy plan; nothing is collected.
 """
 
 from __future__ import annotations
@@ -14,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_HOT = 16_384
 HOT_ROWS = 1_000_000
 FAN = 16
 PART_ROWS = 50_000
@@ -40,16 +37,15 @@ def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inn
     return joined.drop(*["__r_" + k for k in keys])
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, max_hot: int = MAX_HOT) -> DataFrame:
-    """The keys of hot groups and their row counts: at most ``max_hot`` rows."""
+def hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys of hot groups and their row counts."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
-    total = counts.agg((F.sum("group_rows") / F.lit(max_hot)).alias("share")).scalar()
-    return counts.where(F.col("group_rows") > F.greatest(F.lit(float(min_rows)), F.coalesce(total, F.lit(0.0))))
+    return counts.where(F.col("group_rows") > F.lit(min_rows))
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of hot groups (with ``group_rows``) and rows of all other groups."""
-    return attach(df, hot, keys, small=True), attach(df, hot.select(*keys), keys, how="left_anti", small=True)
+    return attach(df, hot, keys), attach(df, hot.select(*keys), keys, how="left_anti")
 
 
 def unit_hash(value: Column) -> Column:

@@ -108,11 +108,11 @@ def shuffle_split(
     if not stratify:
         cuts = _cuts(keyed, [], order, fractions).select(F.struct("__cut1", "__cut2").alias("c")).scalar()
         return keyed.withColumn(out, _place(order, cuts.getField("__cut1"), cuts.getField("__cut2"))).drop("__key")
-    hot_table = hot_groups(keyed, stratify, hot_rows, max_hot=1024)
+    hot_table = hot_groups(keyed, stratify, hot_rows)
     hot, cold = split_hot(keyed, stratify, hot_table)
     hot = hot.drop("group_rows")
     cold = _by_rank(cold, stratify, order, fractions, out)
-    placed = attach(hot, _cuts(hot, stratify, order, fractions), stratify, how="left", small=True)
+    placed = attach(hot, _cuts(hot, stratify, order, fractions), stratify, how="left")
     placed = placed.withColumn(out, _place(order, F.col("__cut1"), F.col("__cut2"))).drop("__cut1", "__cut2")
     return cold.unionByName(placed).drop("__key")
 

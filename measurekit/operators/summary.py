@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-LIST_LIMIT = 100_000
-
 
 def submitted(df: DataFrame, flag: str = "submitted") -> DataFrame:
     return df.where(F.col(flag))
@@ -60,11 +58,6 @@ def summarize(
     ).where(F.col("total_students") > 0)
 
 
-def _bounded(table: DataFrame, limit: int) -> None:
-    if table.limit(limit + 1).count() > limit:
-        raise ValueError(f"more than {limit} entries: keep the list as a table instead of a document field")
-
-
 def document(
     df: DataFrame,
     name: str = "name",
@@ -73,16 +66,12 @@ def document(
     flag: str = "submitted",
     threshold: float = 5,
     row_id: str = "_rid",
-    limit: int = LIST_LIMIT,
 ) -> DataFrame:
-    """The one-row summary with its group map and name lists, for small reports.
+    """The one-row summary with its group map and name lists, for reports whose lists fit one cell.
 
-    Lists longer than ``limit`` do not belong in one row; the function refuses
-    them. ``not_submitted``, ``below`` and ``group_means`` give the same content as tables of any size.
+    ``tables`` gives the same content as tables of any size.
     """
     missing, low, means = not_submitted(df, flag), below(df, score, threshold), group_means(df, group, score)
-    for table in (missing, low, means):
-        _bounded(table, limit)
 
     def names(rows: DataFrame) -> Column:
         ordered = F.sort_array(F.collect_list(F.struct(row_id, name)))
@@ -94,6 +83,24 @@ def document(
     )
 
 
+def tables(
+    df: DataFrame,
+    name: str = "name",
+    group: str = "domain",
+    score: str = "score",
+    flag: str = "submitted",
+    threshold: float = 5,
+    row_id: str = "_rid",
+) -> dict[str, DataFrame]:
+    """The content of ``document`` as tables: the scalars, the group means and the name lists with their row ids."""
+    return {
+        "summary": summarize(df, name, group, score, flag, row_id),
+        "domain_wise_average": group_means(df, group, score),
+        "missing_submissions": not_submitted(df, flag).select(row_id, name),
+        "students_below_5": below(df, score, threshold).select(row_id, name),
+    }
+
+
 def diff(a: DataFrame, b: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """(keys, field, a, b) for every value that differs between two keyed tables, or is missing in one."""
     left = a.select(*keys, *[F.col(v).cast("string").alias("a_" + v) for v in values])

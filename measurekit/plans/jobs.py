@@ -38,13 +38,16 @@ CLUSTERS = 3
 
 
 def submissions(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Summary document, name lists and rejected rows of a submissions file."""
+    """Summary scalars, group means, name lists and rejected rows of a submissions file, each as a table of any size."""
     valid, rejected = records.read_submissions(spark, source)
     records.require_rows(valid, source)
-    document = summary.document(valid)
-    sinks.write_summary_json(document, f"{target}/summary")
+    valid = cut_lineage(valid)
+    found = summary.tables(valid)
+    sinks.write_summary_json(found["summary"], f"{target}/summary")
+    for name in ("domain_wise_average", "missing_submissions", "students_below_5"):
+        sinks.write_table(found[name].drop("_rid"), f"{target}/{name}", "csv")
     sinks.write_table(rejected, f"{target}/rejected", "csv")
-    return document
+    return found["summary"]
 
 
 def compare_readers(spark: SparkSession, source: str) -> DataFrame:
@@ -206,7 +209,7 @@ def _write_studies(studies: dict[str, dict[str, DataFrame]], target: str) -> Non
 
 def oil_sales(spark: SparkSession, source: str, target: str) -> dict[str, DataFrame]:
     """Encoded categories and bracket midpoints, then the linear study on volume_sales."""
-    raw = cut_lineage(clean.with_row_id(spark.read.option("header", True).csv(source)))
+    raw = cut_lineage(clean.with_row_id(records.read_plain(spark, source)))
     numbers = records.with_numbers(raw, ("year", "month", "value_sales", "volume_sales"))
     rows = prepare.label_encode(numbers.withColumn("price_mid", exprs.bracket_midpoint("price_bracket")), OIL_CATEGORIES)
     rows = cut_lineage(split.shuffle_split(cut_lineage(rows), ["_rid"]))
@@ -220,7 +223,7 @@ def oil_sales(spark: SparkSession, source: str, target: str) -> dict[str, DataFr
 
 def heart_disease(spark: SparkSession, source: str, target: str) -> dict[str, DataFrame]:
     """Encoded flags and categories, then the logistic study on has_heart_disease."""
-    raw = spark.read.option("header", True).csv(source)
+    raw = records.read_plain(spark, source)
     flags = ("exercise_induced_angina", "family_history", "wearable_owner")
     truth = lambda c: exprs.yes_no(c).isin("yes").cast("int")
     rows = raw.withColumns({c: truth(c) for c in flags}).withColumn("has_heart_disease", exprs.integer("has_heart_disease"))
@@ -236,7 +239,7 @@ def heart_disease(spark: SparkSession, source: str, target: str) -> dict[str, Da
 
 def temperature(spark: SparkSession, source: str, target: str, label: str = "Temperature", trees: int = library.FOREST_TREES) -> DataFrame:
     """Regressor leaderboard by validation R2 and test metrics of the best model."""
-    raw = cut_lineage(clean.with_row_id(spark.read.option("header", True).csv(source)))
+    raw = cut_lineage(clean.with_row_id(records.read_plain(spark, source)))
     names = [c for c in raw.columns if c not in (label, "_rid")]
     rows = cut_lineage(split.shuffle_split(records.with_numbers(raw, [*names, label]).dropna(), ["_rid"]))
     train, validation, test = (split.part(rows, p) for p in split.NAMES)
@@ -254,7 +257,7 @@ def temperature(spark: SparkSession, source: str, target: str, label: str = "Tem
 
 def train_crops(spark: SparkSession, source: str, target: str, label: str = "label", trees: int = library.FOREST_TREES) -> DataFrame:
     """Stratified split, classifier leaderboard, test report of the forest, saved bundle."""
-    raw = cut_lineage(clean.with_row_id(spark.read.option("header", True).csv(source)))
+    raw = cut_lineage(clean.with_row_id(records.read_plain(spark, source)))
     rows = records.with_numbers(raw, CROP_FEATURES).dropna()
     rows = cut_lineage(split.shuffle_split(rows, ["_rid"], stratify=[label]))
     train, validation, test = (split.part(rows, p) for p in split.NAMES)

@@ -26,10 +26,12 @@ def build_session(app: str = "measurekit", cpus: int | str = "*", shuffle_partit
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a temporary one only where nothing is set (tests)."""
+    """The shared folder the session names, else one in its warehouse; a temporary one only on a single machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    if not folder and spark.sparkContext.master.startswith("local["):
         folder = tempfile.mkdtemp(prefix="measurekit-checkpoint-")
+    elif not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/measurekit"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
