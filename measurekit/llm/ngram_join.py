@@ -4,7 +4,7 @@
 2. A count sketch of fixed size finds frequent n-grams. The global order is rare first (count band, then hash): two sets
    that reach the similarity share an n-gram among the first few of either, so only those prefixes are shuffled, and
    common passages stand at the end of the order.
-3. Classes that share a prefix n-gram with others form candidate groups. A group's sets travel once, in blocks of bounded size; a task
+3. Classes that share enough prefix n-grams form candidate groups. A group's sets travel once, in blocks of bounded size; a task
    stores a block's sets in a prefix tree, frequent n-grams first, and walks the tree with each
    set of the other block. Sets with a common beginning share their overlap so far; a subtree is left as soon as the overlap and
    what remains of either side cannot reach the similarity, and when all of it is linked already.
@@ -22,6 +22,7 @@ column are replaced; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +36,15 @@ from .hashing import lower_table, mix, ngram_hashes, space_classes, word_hashes
 
 #: Counters of the sketch: 16 MB in a task, at most one byte each in the order that is handed to the tasks.
 SLOTS = 1 << 22
+#: Bits of the filter that spares the texts of other documents a shuffle: 2 MB, whatever the number of documents.
+FILTER_BITS = 1 << 24
+COUNTER_BLOCKS = 64
 #: Bytes of text hashed at once (one text at least).
 HASH_BYTES = 1 << 21
 #: N-grams of a block of sets (one set at least), about 32 MB.
 BLOCK_GRAMS = 2_000_000
+#: Classes that hold an n-gram and are still compared in pairs; beyond it they hang on one of them.
+SMALL_GROUP = 32
 #: N-grams of a tree node.
 RUN = 16
 
@@ -82,23 +88,36 @@ def slots_of(grams: np.ndarray) -> np.ndarray:
 def frequent_slots(docs: DataFrame, n: int) -> np.ndarray:
     """Band (rounded logarithm of the count, 0 for the rest) of every counter: which n-grams stand late in the order.
 
-    A task reports the counters that stand out from its own mean load, so what is summed and handed out is bounded by
-    ``SLOTS`` whatever the number of documents.
+    A task counts into ``SLOTS`` small counters and hands them on in blocks; a block is summed where it meets its like. Counters
+    that stand out from the mean load are frequent. Everything is bounded by ``SLOTS`` for each task, and
+    what reaches the driver and goes back to the tasks by ``SLOTS`` at all.
     """
+    size = SLOTS // COUNTER_BLOCKS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(SLOTS, dtype=np.uint32)
         for batch in batches:
             for grams in gram_sets(batch.column(0), n):
-                counters[slots_of(grams)] += 1  # counters of one set are hit once even where its n-grams collide
-        mean = counters.mean()
-        high = np.flatnonzero(counters > mean + 6 * np.sqrt(mean) + 2)
-        yield pa.RecordBatch.from_arrays([pa.array(high.astype(np.int32)), pa.array(counters[high].astype(np.int64))], names=["slot", "n"])
+                counters[slots_of(grams)] += 1  # a set hits a counter once even where its n-grams collide
+        small = np.minimum(counters, 255).astype(np.uint8)
+        blocks = [small[i * size : (i + 1) * size].tobytes() for i in range(COUNTER_BLOCKS)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(COUNTER_BLOCKS), pa.int32()), pa.array(blocks, pa.binary())], names=["block", "counts"])
 
-    rows = docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    found = rows.select("slot", F.log2("n").cast("int").alias("band")).toPandas()
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = sums.setdefault(block, np.zeros(size, dtype=np.int64))
+                found += np.frombuffer(counts.as_py(), dtype=np.uint8)
+        for block, found in sums.items():
+            mean = found.mean()
+            bands = np.where(found > mean + 6 * np.sqrt(mean) + 2, np.log2(np.maximum(found, 1)), 0).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bands.tobytes()], pa.binary())], names=["block", "bands"])
+
+    parts = docs.select("text").mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, bands binary")
     bands = np.zeros(SLOTS, dtype=np.uint8)
-    bands[found["slot"].to_numpy()] = found["band"].to_numpy()
+    for row in parts.collect():  # COUNTER_BLOCKS rows, SLOTS bytes
+        bands[row["block"] * size : (row["block"] + 1) * size] = np.frombuffer(row["bands"], dtype=np.uint8)
     return bands
 
 
@@ -107,11 +126,6 @@ def ordered(grams: np.ndarray, bands: np.ndarray) -> np.ndarray:
     return grams[np.argsort(bands[slots_of(grams)], kind="stable")]
 
 
-def needed(a: int, b: int, percent: int) -> int:
-    """Smallest overlap of sets of these sizes with 100 * overlap >= percent * union."""
-    return -(-percent * (a + b) // (100 + percent))
-
-
 class Tree:
     """Prefix tree of sets, a node holding up to ``RUN`` n-grams (as codes in tree order); walked by levels."""
 
@@ -218,21 +232,6 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
     return links
 
 
-def sets_of(docs: DataFrame, n: int) -> DataFrame:
-    """``(id, grams array<long>)`` of the rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                found = list(gram_sets(part.column(1), n))
-                offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-                grams = pa.array(np.concatenate(found).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), grams)], names=["id", "grams"])
-
-    return docs.select("id", "text").mapInArrow(run, "id long, grams array<long>")
-
-
 def prefixes_of(docs: DataFrame, n: int, percent: int, bands: np.ndarray) -> DataFrame:
     """``(id, size, digest, prefix array<long>)``: size and digest of each set and the beginning of it that must meet a similar set."""
     kind = pa.list_(pa.int64())
@@ -255,24 +254,66 @@ def prefixes_of(docs: DataFrame, n: int, percent: int, bands: np.ndarray) -> Dat
     return docs.select("id", "text").mapInArrow(run, "id long, size int, digest binary, prefix array<long>")
 
 
-def candidate_groups(classes: DataFrame) -> DataFrame:
-    """``(node, component)`` of the classes ``(rep, size, prefix)`` that may be similar to another."""
-    entries = classes.select("rep", "size", F.posexplode("prefix").alias("at", "gram"))
-    shared = stored(
-        entries.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("at", "rep", "size")).alias("pivot")).where("n > 1").select("gram", "pivot")
-    )
-    # every member of an n-gram's group hangs on the member that has it earliest: linear in the entries
-    met = entries.join(shared, "gram").where(F.col("rep") != F.col("pivot.rep"))
-    return components(met.select(F.col("rep").alias("a"), F.col("pivot.rep").alias("b")))
+def candidate_groups(classes: DataFrame, percent: int) -> DataFrame:
+    """``(node, component)`` of the classes ``(rep, size, prefix)`` that may be similar to another.
+
+    Members of an n-gram held by up to ``SMALL_GROUP`` classes are compared in pairs: similar sets hold so many n-grams of
+    their prefixes in common that the rest of either can make up for what is missing. Members of a more frequent n-gram all hang
+    on one of them, which is linear and keeps every pair together.
+    """
+    entries = classes.select("rep", "size", F.explode("prefix").alias("gram"))
+    counted = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    shared = stored(entries.join(counted, "gram"))
+    wide = shared.where(F.col("held") > SMALL_GROUP)
+    pivots = wide.groupBy("gram").agg(F.min("rep").alias("pivot"))
+    stars = wide.join(pivots, "gram").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+    small = shared.where(F.col("held") <= SMALL_GROUP).select("gram", "rep", "size")
+    other = small.select("gram", F.col("rep").alias("other_rep"), F.col("size").alias("other_size"))
+    sizes = (100 * F.col("size") >= percent * F.col("other_size")) & (100 * F.col("other_size") >= percent * F.col("size"))
+    met = small.join(other, "gram").where((F.col("rep") < F.col("other_rep")) & sizes)
+    pairs = met.groupBy("rep", "size", "other_rep", "other_size").agg(F.count(F.lit(1)).alias("both"))
+    # what stands behind the prefix of a set: one n-gram less than it needs in common with any similar set
+    behind = lambda size: F.ceil(F.lit(percent) * size / F.lit(100)) - 1
+    rest = F.greatest(behind(F.col("size")), behind(F.col("other_size")))
+    enough = (100 + percent) * (F.col("both") + rest) >= percent * (F.col("size") + F.col("other_size"))
+    return components(pairs.where(enough).select(F.col("rep").alias("a"), F.col("other_rep").alias("b")).union(stars))
+
+
+def id_filter(ids: DataFrame, column: str) -> bytes:
+    """Bits of the hashes of the ids: a document without its bit is none of them. Bounded by ``FILTER_BITS``."""
+    slots = ids.select(F.pmod(F.hash(column), F.lit(FILTER_BITS)).alias("slot"))
+    words = slots.selectExpr("slot DIV 32 AS word", "shiftleft(1, slot % 32) AS bit")
+    bits = np.zeros(FILTER_BITS // 32, dtype=np.uint32)
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int32).view(np.uint32)
+    return zlib.compress(bits.tobytes(), 1)
+
+
+def sets_of(docs: DataFrame, ids: DataFrame, column: str, n: int) -> DataFrame:
+    """``(id, grams array<long>)`` of the documents that may be among ``ids``; the caller joins with those."""
+    packed = id_filter(ids, column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(zlib.decompress(packed), dtype=np.uint32)
+        for batch in batches:
+            slot = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((bits[slot // 32] >> (slot % 32).astype(np.uint32)) & 1 == 1))
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                found = list(gram_sets(part.column(1), n))
+                offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+                grams = pa.array(np.concatenate(found).view(np.int64))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), grams)], names=["id", "grams"])
+
+    slot = F.pmod(F.hash("id"), F.lit(FILTER_BITS)).alias("slot")
+    return docs.select("id", "text", slot).mapInArrow(run, "id long, grams array<long>")
 
 
 def linked(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> DataFrame:
-    """Edges ``(a, b)`` that connect what is similar inside the candidate groups ``(node, component)``."""
-    members = docs.join(groups, docs["id"] == groups["node"]).select("id", "text", "component")
-    keyed = sets_of(members, n).join(groups, F.col("id") == F.col("node")).select("id", "component", "grams", F.size("grams").alias("size"))
-    keyed = stored(keyed)
-    totals = keyed.groupBy("component").agg(F.sum("size").alias("total")).select("component", F.ceil(F.col("total") / BLOCK_GRAMS).cast("int").alias("blocks"))
-    placed = keyed.join(totals, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    """Edges ``(a, b)`` that connect what is similar inside the candidate groups ``(node, component, size)``."""
+    totals = groups.groupBy("component").agg(F.ceil(F.sum("size") / BLOCK_GRAMS).cast("int").alias("blocks"))
+    cut = stored(groups.join(totals, "component").select("node", "component", F.col("blocks"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")))
+    placed = sets_of(docs, cut, "node", n).join(cut, F.col("id") == F.col("node"))
     # every pair of blocks of a group meets in one tile; a set goes to as many tiles as its group has blocks
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tiled = placed.select("id", "component", "grams", "block", other).select(
@@ -316,7 +357,8 @@ def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4,
     classes = stored(
         sets.where("size > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     )
-    groups = stored(candidate_groups(classes))
+    sizes = classes.groupBy("rep").agg(F.max("size").alias("size"))
+    groups = stored(candidate_groups(classes, percent).join(sizes, F.col("node") == F.col("rep")).select("node", "component", "size"))
     found = components(linked(docs, groups, n, percent))
     labelled = classes.select("digest", "rep").join(found, F.col("rep") == F.col("node"), "left").select(
         F.col("digest").alias("of"), F.coalesce("component", "rep").alias("label")
