@@ -98,8 +98,8 @@ def sweep_regressors(train: DataFrame, validation: DataFrame, features: Sequence
             F.lit(name).alias("model"), "mae", "mse", "rmse", "r2"
         )
         table = row if table is None else table.unionByName(row)
-    ranked = [r["model"] for r in table.orderBy(F.desc("r2")).collect()]  # one row per model
-    return Sweep(table, fitted, ranked[0])
+    rows = table.orderBy(F.desc("r2")).collect()  # one row per model, evaluated once
+    return Sweep(train.sparkSession.createDataFrame(rows, table.schema), fitted, rows[0]["model"])
 
 
 def index_labels(train: DataFrame, label: str) -> StringIndexerModel:
@@ -138,8 +138,8 @@ def sweep_classifiers(train: DataFrame, validation: DataFrame, features: Sequenc
         )
         table = row if table is None else table.unionByName(row)
     table = table.withColumn("fit_flag", exprs.overfit(F.col("train_accuracy"), F.col("val_accuracy")))
-    ranked = [r["model"] for r in table.orderBy(F.desc("val_f1")).collect()]  # one row per model
-    return Sweep(table, fitted, ranked[0])
+    rows = table.orderBy(F.desc("val_f1")).collect()  # one row per model, evaluated once
+    return Sweep(train.sparkSession.createDataFrame(rows, table.schema), fitted, rows[0]["model"])
 
 
 def save_bundle(model: PipelineModel, folder: str, metadata: Mapping, spark: SparkSession) -> None:

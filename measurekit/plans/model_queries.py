@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..models import baseline, kmeans, library, linear, logistic
 from ..operators import metrics, pairwise, prepare, split
-from ..session import shared_folder
+from ..session import cut_lineage, shared_folder
 from ..sources import sinks
 from ..sources.records import table
 from .quality_queries import JUDGED
@@ -118,7 +118,7 @@ def linear_evaluation(spark, sf):
 # ---- logistic regression ----------------------------------------------------------
 
 LOGIT = {"x1": "CAST(n_chars AS DOUBLE) / 1000", "x2": "CAST(toxic AS DOUBLE)", "y": "CAST(quality AS DOUBLE)"}
-LOGIT_STEPS, LOGIT_RATE = 5, 0.1
+LOGIT_STEPS, LOGIT_RATE = 500, 0.1
 
 
 def logit_rows(spark, sf):
@@ -128,36 +128,32 @@ def logit_rows(spark, sf):
 
 def _logit_sql() -> str:
     p = "1 / (1 + exp(-greatest(least(w1 * x1 + w2 * x2 + b, 500), -500)))"
-    text = "WITH d AS (" + derive_sql(LOGIT, JUDGED) + "), s0 AS (SELECT 0::DOUBLE AS w1, 0::DOUBLE AS w2, 0::DOUBLE AS b)"
-    for i in range(LOGIT_STEPS):
-        text += (
-            f", s{i + 1} AS (SELECT any_value(w1) - {LOGIT_RATE!r}::DOUBLE * avg((p - y) * x1) AS w1, any_value(w2) - {LOGIT_RATE!r}::DOUBLE * avg((p - y) * x2) AS w2, "
-            f"any_value(b) - {LOGIT_RATE!r}::DOUBLE * avg(p - y) AS b FROM (SELECT *, {p} AS p FROM d, s{i}))"
-        )
-    losses = " UNION ALL ".join(
-        f"SELECT {i + 1} AS iteration, round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 6) AS loss FROM (SELECT y, greatest(least({p}, 1 - 1e-12), 1e-12) AS p FROM d, s{i})"
-        for i in range(LOGIT_STEPS)
+    move = lambda w, x: f"{w} - {LOGIT_RATE!r}::DOUBLE * avg(({p} - y) * {x})"
+    return (
+        "WITH RECURSIVE d AS (" + derive_sql(LOGIT, JUDGED) + "), s AS (SELECT 0 AS i, 0::DOUBLE AS w1, 0::DOUBLE AS w2, 0::DOUBLE AS b UNION ALL "
+        f"SELECT i + 1, {move('w1', 'x1')}, {move('w2', 'x2')}, {move('b', '1')} FROM s, d WHERE i < {LOGIT_STEPS} - 1 GROUP BY i, w1, w2, b) "
+        "SELECT i + 1 AS iteration, round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 6) AS loss "
+        f"FROM (SELECT i, y, greatest(least({p}, 1 - 1e-12), 1e-12) AS p FROM s, d) GROUP BY i"
     )
-    return f"{text} {losses}"
 
 
 @query("MDL6_logistic_descent", _logit_sql())
 def logistic_descent(spark, sf):
-    rows = logit_rows(spark, sf)
+    rows = cut_lineage(logit_rows(spark, sf))  # every step reads them again
     model = logistic.descend(rows, ["x1", "x2"], "y", LOGIT_RATE, LOGIT_STEPS)
     return linear.history_table(rows, model.history).select("iteration", F.round("loss", 6).alias("loss"))
 
 
 @query("MDL6_logistic_optimum")
 def logistic_optimum(spark, sf):
-    rows = logit_rows(spark, sf)
+    rows = cut_lineage(logit_rows(spark, sf))  # every step reads them again
     model = logistic.optimum(rows, ["x1", "x2"], "y")
     return metrics.binary(model.predict(rows), "y", "y_pred", 4)
 
 
 @query("MDL15_feature_weights")
 def feature_weights(spark, sf):
-    rows = logit_rows(spark, sf)
+    rows = cut_lineage(logit_rows(spark, sf))  # every step reads them again
     model = logistic.optimum(rows, ["x1", "x2"], "y")
     return linear.weights_table(rows, model.features, model.weights)
 
@@ -234,7 +230,7 @@ def cluster_counts(spark, sf):
 @query("MDL8_kmeans_fit")
 def kmeans_fit(spark, sf):
     """k-means++ start, iterated until no row changes its cluster."""
-    rows = embeddings(spark, sf)
+    rows = cut_lineage(embeddings(spark, sf))  # every draw and iteration reads them again
     fitted = kmeans.kmeans(rows, "v", "vec_id", k=3)
     counts = metrics.cluster_counts(fitted.assign(rows, "v"))
     return counts.withColumn("iterations", F.lit(fitted.iterations))
@@ -309,9 +305,6 @@ def knn_classifier(spark, sf):
 
 # ---- library models (rows-only checks: histogram trees and iterative optima) ----------
 
-QUERY_TREES, QUERY_DEPTH = 20, 10
-
-
 def class_table(spark, sf):
     """Embedding components as feature columns, the label as text."""
     rows = embeddings(spark, sf)
@@ -339,8 +332,8 @@ def scaled_vector(spark, sf):
 @query("MDL13_classifier_leaderboard")
 def classifier_leaderboard(spark, sf):
     rows, names = class_table(spark, sf)
-    rows = rows.persist()
-    sweep = library.sweep_classifiers(split.part(rows, "train"), split.part(rows, "validation"), names, "label", QUERY_TREES, QUERY_DEPTH)
+    rows = cut_lineage(rows)
+    sweep = library.sweep_classifiers(split.part(rows, "train"), split.part(rows, "validation"), names, "label")
     return sweep.leaderboard
 
 
@@ -353,15 +346,16 @@ def price_table(spark, sf):
 @query("MDL13_regressor_leaderboard")
 def regressor_leaderboard(spark, sf):
     rows, names = price_table(spark, sf)
-    rows = rows.persist()
-    sweep = library.sweep_regressors(split.part(rows, "train"), split.part(rows, "validation"), names, "p_retailprice", QUERY_TREES, QUERY_DEPTH)
+    rows = cut_lineage(rows)
+    sweep = library.sweep_regressors(split.part(rows, "train"), split.part(rows, "validation"), names, "p_retailprice")
     return sweep.leaderboard.orderBy(F.desc("r2"))
 
 
 def _scored(spark, sf, name: str):
     rows, names = class_table(spark, sf)
-    train = split.part(rows, "train").persist()
-    model = library.classifiers(train.count(), QUERY_TREES, QUERY_DEPTH)[name]
+    rows = cut_lineage(rows)
+    train = split.part(rows, "train")
+    model = library.classifiers(train.count())[name]
     fitted = library.fit_classifier(train, names, library.index_labels(train, "label"), model)
     return fitted, split.part(rows, "test"), names
 
