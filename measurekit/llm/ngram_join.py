@@ -40,11 +40,11 @@ SLOTS = 1 << 22
 FILTER_BITS = 1 << 24
 COUNTER_BLOCKS = 64
 #: Bytes of text hashed at once (one text at least).
-HASH_BYTES = 1 << 21
+HASH_BYTES = 1 << 20
 #: N-grams of a block of sets (one set at least), about 32 MB.
 BLOCK_GRAMS = 2_000_000
 #: Classes that hold an n-gram and are still compared in pairs; beyond it they hang on one of them.
-SMALL_GROUP = 32
+SMALL_GROUP = 128
 #: N-grams of a tree node.
 RUN = 16
 
