@@ -48,9 +48,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 def token_ids(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Each document with its token ids and the text they decode to."""
-    path = vocabulary_path()
-    encoded = bpe.encode(docs, path, keep=["doc_id", "lang", "source"])
-    return bpe.decode(encoded.withColumn("n_tokens", F.size("ids").cast("long")), path)
+    found = bpe.round_trip(docs, vocabulary_path(), keep=["doc_id", "lang", "source"])
+    return found.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [

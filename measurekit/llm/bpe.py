@@ -27,13 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_column
+from .common import map_column, map_columns
 
 #: Words remembered by a worker between texts, and characters of text handled together (one text at least). Both bound memory,
 #: not results.
-WORD_CACHE = 250_000
-PAIR_CACHE = 500_000
-BLOCK_CHARS = 3_000_000
+WORD_CACHE = 150_000
+PAIR_CACHE = 300_000
+BLOCK_CHARS = 2_000_000
 #: Tokens are looked up by the lengths that occur with their last letters.
 TAIL = 3
 
@@ -222,12 +222,6 @@ class Encoder:
         return out
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One per worker process and vocabulary."""
-    return Encoder(path)
-
-
 @functools.lru_cache(maxsize=2)
 def id_texts(path: str) -> list[str]:
     from tokenizers import Tokenizer
@@ -247,31 +241,49 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", keep:
     """``out array<int>``: the ids of ``text``, no special tokens added; texts of special tokens become their ids."""
 
     def make():
-        known = encoder(path)
+        known = Encoder(path)  # one a task: an idle worker keeps no words
         return lambda texts: id_lists(known.encode(texts.to_pylist()))
 
     return map_column(df, text, out, "array<int>", make, keep)
 
 
+def decoder(path: str):
+    """Worker function: id lists to texts."""
+    texts = id_texts(path)
+    size = len(texts)
+
+    def work(column: pa.ListArray) -> pa.Array:
+        rows = []
+        for row in column:
+            found = row.values.to_numpy(zero_copy_only=False) if row.is_valid else np.zeros(0, dtype=np.int32)
+            if len(found) and (found.min() < 0 or found.max() >= size):
+                found = found[(found >= 0) & (found < size)]
+            rows.append(" ".join(map(texts.__getitem__, found.tolist())))
+        return pa.array(rows, type=pa.string())
+
+    return work
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", keep: Sequence[str] | None = None) -> DataFrame:
     """``out string``: the vocabulary's texts of ``ids`` joined by blanks, special tokens included, ids outside the vocabulary left out.
 
     That is how the library decodes with a vocabulary file that names no decoder; word ends stay visible.
     """
+    return map_column(df, ids, out, "string", lambda: decoder(path), keep)
+
+
+def round_trip(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Both: the ids of ``text`` and what they decode to, by one worker a task."""
 
     def make():
-        texts = id_texts(path)
-        size = len(texts)
-
-        def work(column: pa.Array) -> pa.Array:
-            rows = []
-            for row in column:
-                found = row.values.to_numpy(zero_copy_only=False) if row.is_valid else np.zeros(0, dtype=np.int32)
-                if len(found) and (found.min() < 0 or found.max() >= size):
-                    found = found[(found >= 0) & (found < size)]
-                rows.append(" ".join(map(texts.__getitem__, found.tolist())))
-            return pa.array(rows, type=pa.string())
+        known, back = Encoder(path), decoder(path)
+
+        def work(texts: pa.Array) -> list[pa.Array]:
+            lists = id_lists(known.encode(texts.to_pylist()))
+            return [lists, back(lists)]
 
         return work
 
-    return map_column(df, ids, out, "string", make, keep)
+    return map_columns(df, text, {ids: "array<int>", decoded: "string"}, make, keep)

@@ -38,24 +38,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def map_column(
+def map_columns(
     df: DataFrame,
     source: str,
-    out: str,
-    kind: str,
-    make: Callable[[], Callable[[pa.Array], pa.Array]],
+    outs: dict[str, str],
+    make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``df`` with column ``out`` computed from ``source`` by Arrow batches.
+    """``df`` with the columns ``outs`` (name to type) computed from ``source`` by Arrow batches.
 
     ``make`` builds the worker function once per task. ``keep`` names the columns that travel along
-    (all by default). An existing column ``out`` is replaced.
+    (all by default). Existing columns called like an output are replaced.
     """
     ship(df.sparkSession)
-    kept = [c for c in (df.columns if keep is None else keep) if c != out]
+    kept = [c for c in (df.columns if keep is None else keep) if c not in outs]
+    names = [*kept, *outs]
     place = "measurekit_in"
     rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias(place))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]), f"`{out}` {kind}"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]), *(f"`{c}` {kind}" for c, kind in outs.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -63,18 +63,30 @@ def map_column(
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
                 columns = [part.column(i) for i in range(part.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*columns, work(part.column(part.num_columns - 1))], names=[*kept, out])
+                yield pa.RecordBatch.from_arrays([*columns, *work(part.column(part.num_columns - 1))], names=names)
 
     return rows.mapInArrow(run, schema)
 
 
+def map_column(
+    df: DataFrame, source: str, out: str, kind: str, make: Callable[[], Callable[[pa.Array], pa.Array]], keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``map_columns`` for a single output."""
+
+    def one():
+        work = make()
+        return lambda column: [work(column)]
+
+    return map_columns(df, source, {out: kind}, one, keep)
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a temporary one only where it is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark.sparkContext, "_measurekit_folder", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="measurekit-shared-")
-        spark.sparkContext._measurekit_folder = folder
-    return folder
+    """The shared folder named in ``spark.checkpoint.dir``, else one in the warehouse; a temporary one only on a single machine."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_measurekit_folder", None)
+    if not folder and context.master.startswith("local["):
+        folder = context._measurekit_folder = "file://" + tempfile.mkdtemp(prefix="measurekit-shared-")
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/measurekit"
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:

@@ -37,15 +37,13 @@ def vocabulary_path() -> str:
 @query("op1_bpe")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, vocabulary_path(), keep=["doc_id"])
-    digests = encoded.select(
+    found = bpe.round_trip(docs, vocabulary_path(), keep=["doc_id"])
+    return found.select(
         "doc_id",
-        "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    decoded = bpe.decode(digests, vocabulary_path(), keep=["doc_id", "n_tokens", "ids_sha256"])
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def remainder(doc_id: str, by: int) -> F.Column:
