@@ -15,6 +15,8 @@ from measurekit.llm.queries import vocabulary_path
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Below these a document goes: likelihood of good quality, and share of its words in the predicted language.
 MIN_QUALITY, MIN_LANGUAGE = 0.5, 0.5
+#: Near duplicates share this percentage of their shingles of so many words. (op3 has the values of its own contract.)
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -32,7 +34,7 @@ def one_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 def first_of_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document with the smallest id of every group of near duplicates; of rows with one id one stays, rows without id all."""
-    groups = ngram_join.join(docs.select("doc_id", "text")).select("doc_id", "component_id")
+    groups = ngram_join.join(docs.select("doc_id", "text"), n=NEAR_WORDS, percent=NEAR_PERCENT).select("doc_id", "component_id")
     others = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     kept = docs.join(others, "doc_id", "left_anti")
     repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")

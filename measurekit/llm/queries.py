@@ -86,7 +86,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_ngram_join")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    found = ngram_join.join(docs.select("doc_id", "text"))
+    found = ngram_join.join(docs.select("doc_id", "text"), n=4, percent=85)
     return found.select("doc_id", "n_shingles", "component_id")
 
 

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as contract
 import corpus_pipeline
 from measurekit.llm import quality, queries
-from tests.llm.test_near_duplicates import brute as groups_of
+from tests.llm.test_near_duplicates import brute as groups_of, gram_set, roots as roots_of
 from tests.llm.test_pages_and_talks import brute as windows_of
 
 FOLDER = "/root/testdata/sf0.001"
@@ -98,6 +98,24 @@ def test_stages(spark, tmp_path):
         assert row["ids"] == library.encode(texts[row["doc_id"]] or "", add_special_tokens=False).ids and row["n_tokens"] == len(row["ids"])
 
 
+def near_copies_of(texts, n, percent):
+    sets = [gram_set(t, n) for t in texts]
+    close = lambda a, b: a and 100 * len(a & b) >= percent * len(a | b)
+    return roots_of(len(sets), [(i, j) for i in range(len(sets)) for j in range(i) if close(sets[i], sets[j])])
+
+
+def test_near_duplicate_stage_takes_five_words_and_eighty_percent(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(words))]
+    for k in range(1, 8):  # k words of the first text exchanged, far from each other
+        rows.append((k + 1, " ".join(f"x{k}" if i % 20 == 10 and i // 20 < k else w for i, w in enumerate(words))))
+    expected = near_copies_of([t for _, t in rows], 5, 80)
+    assert expected != near_copies_of([t for _, t in rows], 4, 85)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r["doc_id"] for r in corpus_pipeline.first_of_group(spark, docs, FOLDER).collect()}
+    assert found == {rows[i][0] for i in range(len(rows)) if expected[i] == i}
+
+
 def test_quality_stage_keeps_documents_labelled_good(spark):
     docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
     kept = {r["doc_id"] for r in corpus_pipeline.good_quality(spark, docs, FOLDER).select("doc_id").collect()}
