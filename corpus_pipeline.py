@@ -22,12 +22,16 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled ones among them, does not reject."""
     model = quality.fit(docs, table(spark, folder, "labels"))
+    if model.share is not None:  # no two labels to tell apart
+        return docs.select(*COLUMNS)
     return quality.score(docs, model, out="measurekit_score").where(F.col("measurekit_score") >= MIN_QUALITY).select(*COLUMNS)
 
 
 def one_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents in which a language is recognised: they have letters, and one language holds enough of the words."""
     model = language_crf.fit(docs)
+    if not model.languages:
+        return docs.select(*COLUMNS)
     known = (F.col("lang_pred") != language_crf.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE)
     return language_crf.predict(docs, model).where(known).select(*COLUMNS)
 

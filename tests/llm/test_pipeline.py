@@ -122,3 +122,12 @@ def test_quality_stage_keeps_documents_labelled_good(spark):
     good = [r["doc_id"] for r in labels.where("quality = 1").collect()]
     assert sum(d in kept for d in good) > 0.95 * len(good)
     assert quality.fit(docs, labels.limit(0)).share == 0.5
+
+
+def test_stages_that_learned_nothing_keep_all(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(1, "one two three", None, "s", 13), (2, "", None, "s", 0), (3, None, None, "s", None)], schema)
+    spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    for stage in (corpus_pipeline.good_quality, corpus_pipeline.one_language):
+        found = stage(spark, docs, str(tmp_path))
+        assert found.columns == corpus_pipeline.COLUMNS and sorted(r["doc_id"] for r in found.collect()) == [1, 2, 3]
