@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from measurekit.llm import bpe, decontaminate, language_crf, ngram_join, quality
-from measurekit.llm.common import fresh_folder, table
+from measurekit.llm.common import fresh_folder, stored, table
 from measurekit.llm.queries import vocabulary_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -37,13 +37,25 @@ def one_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def first_of_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates; of rows with one id one stays, rows without id all."""
-    groups = ngram_join.join(docs.select("doc_id", "text"), n=NEAR_WORDS, percent=NEAR_PERCENT).select("doc_id", "component_id")
-    others = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti")
-    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
-    single = kept.join(repeated, "doc_id", "left_anti")
-    return single.select(*COLUMNS).union(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
+    """The row with the smallest id of every group of near duplicates (a row without id only where none has one).
+
+    Rows are known by a 64-bit hash of id and text, so what shares an id but not its text is decided on by itself. Of rows
+    equal in id and text one stays; rows without id and words all do.
+    """
+    rows = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row"))
+    joined = ngram_join.join(rows.select("row", "doc_id", "text"), "row", n=NEAR_WORDS, percent=NEAR_PERCENT)
+    found = stored(joined.select("row", "doc_id", "n_shingles", "component_id"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    # equal rows count once: a group has a second row
+    firsts = found.groupBy("component_id").agg(F.min(order)["row"].alias("first"), F.min("row").alias("low"), F.max("row").alias("high"))
+    firsts = stored(firsts.where("low < high").select("component_id", "first"))
+    others = found.join(firsts, "component_id").where(F.col("row") != F.col("first")).select("row").distinct()
+    kept = rows.join(others, "row", "left_anti")
+    repeated = found.where("doc_id IS NOT NULL OR n_shingles > 0").groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row")
+    single = kept.join(repeated, "row", "left_anti")
+    rest = F.min(F.struct("lang", "source", "n_chars")).alias("rest")
+    one = kept.join(repeated, "row", "left_semi").groupBy("row", "doc_id", "text").agg(rest).select("doc_id", "text", "rest.*")
+    return single.select(*COLUMNS).union(one.select(*COLUMNS))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -131,3 +131,11 @@ def test_stages_that_learned_nothing_keep_all(spark, tmp_path):
     for stage in (corpus_pipeline.good_quality, corpus_pipeline.one_language):
         found = stage(spark, docs, str(tmp_path))
         assert found.columns == corpus_pipeline.COLUMNS and sorted(r["doc_id"] for r in found.collect()) == [1, 2, 3]
+
+
+def test_near_duplicate_stage_decides_on_rows(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, one), (1, two), (1, two), (2, one + " more"), (None, two + " more"), (None, three), (None, three + " more"), (5, three), (4, None), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = [(r["doc_id"], r["text"]) for r in corpus_pipeline.first_of_group(spark, docs, FOLDER).collect()]
+    assert sorted(found, key=str) == sorted([(1, one), (1, two), (5, three), (4, None), (None, None), (None, None)], key=str)
