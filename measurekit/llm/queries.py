@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, embedding_dedup, language_crf, ngram_join, preference, quality, token_file, url_rules, warc
+from . import bpe, decontaminate, embedding_dedup, html_text, language_crf, ngram_join, preference, quality, token_file, url_rules, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +172,18 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = preference.format_pairs(preference.with_foreign_answers(conversations))
     shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
     return found.withColumn("chosen_spans", shown(F.col("chosen_spans"))).withColumn("rejected_spans", shown(F.col("rejected_spans")))
+
+
+@query(
+    "op11_html_text",
+    # the pages of the table mark their article, so SQL can cut it out by its tags
+    r"""
+    WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '<br>', ' ', 'g') AS part FROM pages),
+    b AS (SELECT page_id, url, unnest(regexp_split_to_array(regexp_replace(part, '</?b>', '', 'g'), '</?(?:p|h1)>')) AS block, generate_subscripts(regexp_split_to_array(regexp_replace(part, '</?b>', '', 'g'), '</?(?:p|h1)>'), 1) AS i FROM a),
+    c AS (SELECT page_id, url, i, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(block, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS block FROM b),
+    t AS (SELECT page_id, url, coalesce(string_agg(block, chr(10) ORDER BY i) FILTER (block <> ''), '') AS text FROM c GROUP BY page_id, url)
+    SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
