@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, embedding_dedup, html_text, language_crf, ngram_join, preference, quality, token_file, url_rules, warc
+from . import bpe, decontaminate, embedding_dedup, html_text, language_crf, ngram_join, periodic, preference, quality, token_file, url_rules, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,3 +188,33 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def repeated_words(words: list[bytes], doc_id: object) -> list[bytes]:
+    """The words of a document as the query changes them: every tenth document repeats a piece from some word on."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [*words[:a], *(words[a + (i - a) % p] for i in range(a, n))]
+
+
+@query("op13_periodic")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.find(table(spark, folder, "documents").select("doc_id", "text"), edit=repeated_words)
+    # greatest length, then smallest start, then smallest period
+    best = F.expr("array_max(transform(runs, r -> named_struct('length', r.length, 'start', -r.start, 'period', -r.period)))")
+    lines = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
