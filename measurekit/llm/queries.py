@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, embedding_dedup, html_text, language_crf, ngram_join, periodic, preference, quality, token_file, url_rules, warc
+from . import bpe, decontaminate, embedding_dedup, html_text, language_crf, ngram_join, periodic, preference, quality, token_file, url_rules, variants, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,3 +218,41 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+#: Upper and lower case of the letters that the queries fold.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(
+    "op12_variants",
+    # crc32 byte by byte from a table that a list comprehension makes; near words by the words that are left when one code point goes
+    rf"""
+    WITH RECURSIVE crc AS (SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS i))),
+    runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+    low AS (SELECT doc_id, translate(run, '{UPPER}', '{LOWER}') AS w, count(*) AS k FROM runs GROUP BY ALL),
+    hashed AS (SELECT w, k, CASE WHEN doc_id IS NULL THEN 1 ELSE xor(list_reduce(
+        list_prepend(4294967295, flatten(list_transform(string_split(doc_id || ':' || w, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) AS BIGINT) - 64] END))),
+        lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) END AS h FROM low, crc),
+    words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 97 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, k FROM hashed) WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+    cut AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+    near AS (SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+             UNION SELECT cut.word, cut.n, w.word, w.n FROM cut JOIN words w ON rest = w.word
+             UNION SELECT w.word, w.n, cut.word, cut.n FROM cut JOIN words w ON rest = w.word),
+    best AS (SELECT word, n, count(*) AS n_near, min(struct_pack(less := -other_n, other := other)) AS b FROM near GROUP BY word, n),
+    formed AS (SELECT word, n_near, CASE WHEN -b.less >= 2 * n THEN b.other END AS form, CASE WHEN -b.less >= 2 * n THEN -b.less END AS form_n FROM best),
+    walk(word, last) AS (SELECT word, word FROM words UNION ALL SELECT walk.word, form FROM walk JOIN formed ON last = formed.word WHERE form IS NOT NULL)
+    SELECT w.word, form, last AS root, w.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, form_n
+    FROM words w LEFT JOIN formed f ON w.word = f.word JOIN walk ON walk.word = w.word
+    WHERE last NOT IN (SELECT word FROM formed WHERE form IS NOT NULL)
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", F.explode(F.expr(r"regexp_extract_all(text, '[A-Za-z\\u00C0-\\u00FF]+', 0)")).alias("run"))
+    lowered = docs.select("doc_id", F.translate("run", UPPER, LOWER).alias("run"))
+    hashed = lowered.withColumn("h", F.expr("crc32(cast(concat(cast(doc_id as string), ':', run) as binary))"))
+    place = "cast(h % char_length(run) as int)"
+    word = F.expr(f"if(coalesce(h % 97 = 0, false), concat(left(run, {place}), substring(run, {place} + 2)), run)")
+    return variants.variants(variants.counts(hashed, F.array(word)))
