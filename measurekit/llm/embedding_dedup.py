@@ -13,8 +13,8 @@ Pivots decide only which tiles are skipped, and every bound is conservative, so
 
 Defined results: null vectors, vectors without components, with null or non-finite components or of length zero have no links and
 are components of their own; vectors of different dimension never link; rows with an equal id count as vectors of
-their own but share component and the sum of their links; a null id counts as a neighbour and gets null results; other columns stay, those called like an
-output column are replaced; an empty table gives an empty table.
+their own but share component and the sum of their links; a vector without id links and joins components like any other, but its row gets null results and
+its component the smallest id that it has; other columns stay, those called like an output column are replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -23,19 +23,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import ship, stored
 from .components import components
 
-#: Directions that cut the space, drawn from the vectors by the smallest hash; bounds what is handed to the tasks.
-PIVOTS = 256
+#: Directions that cut the space, drawn from the vectors by the smallest hash: so many of each dimension, and of all dimensions together
+#: (but one of each); bounds what is handed to the tasks.
+PIVOTS, ALL_PIVOTS = 256, 4_096
 #: Vectors of a block: with 64 components a tile takes about 8 MB of vectors.
 BLOCK = 8_192
 #: Rows of a tile multiplied at once.
 STRIP = 256
-#: Room for the rounding of single-precision scales and of angles.
-SLACK = 1e-5
+#: Components whose products of codes a single-precision sum holds exactly, in whatever order: 1,040 * 127 * 127 < 2^24.
+EXACT = 1_040
+#: Relative error of a scaled product (scale and product are rounded to 24 bits each), and of the sums in double precision a component.
+ROUNDED, DOUBLED = 3.0 * 2.0**-24, 8.0 * 2.0**-53
 ANGLE_SLACK = 1e-6
 
 
@@ -54,25 +57,41 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return codes.astype(np.float32), scale, np.sqrt((coded * coded).sum(axis=1)), np.sqrt(((x - coded) ** 2).sum(axis=1))
 
 
+def products(codes_a: np.ndarray, codes_b: np.ndarray) -> np.ndarray:
+    """Exact products of codes: slices of components that single precision holds, summed in double precision where there are several."""
+    if codes_a.shape[1] <= EXACT:
+        return codes_a @ codes_b
+    total = np.zeros((len(codes_a), codes_b.shape[1]))
+    for at in range(0, codes_a.shape[1], EXACT):
+        total += codes_a[:, at : at + EXACT] @ codes_b[at : at + EXACT]
+    return total
+
+
 def links(left: np.ndarray, right: np.ndarray, threshold: float, same: bool) -> np.ndarray:
-    """Boolean matrix of the pairs with cosine >= threshold."""
+    """Boolean matrix of the pairs with cosine >= threshold.
+
+    With codes c, errors e and vectors x = c + e, a product differs from that of the codes by at most
+    (|ca| + |ea|)(|cb| + |eb|) - |ca||cb|; roundings of the scaled product add ``ROUNDED`` of |ca||cb|, those of norms and sums ``DOUBLED`` a component.
+    """
     codes_a, scale_a, norm_a, error_a = quantised(left)
     codes_b, scale_b, norm_b, error_b = quantised(right)
     out = np.zeros((len(left), len(right)), dtype=bool)
-    reach_b, widest, least = norm_b + error_b, (norm_b + error_b).max(), norm_b.min()
+    reach_a, reach_b = norm_a + error_a, norm_b + error_b
+    widest, least = reach_b.max(), norm_b.min()
+    double = DOUBLED * left.shape[1] * max(1.0, reach_a.max() * widest)
     transposed, scales = np.ascontiguousarray(codes_b.T), scale_b.astype(np.float32)
     for begin in range(0, len(left), STRIP):
         end = min(begin + STRIP, len(left))
-        # products of codes stay below 2^24, so single precision holds them exactly
-        rough = (codes_a[begin:end] @ transposed) * scales
-        loose = (norm_a[begin:end] + error_a[begin:end]) * widest - norm_a[begin:end] * least
-        floor = ((threshold - loose - SLACK) / scale_a[begin:end]).astype(np.float32)
+        rough = products(codes_a[begin:end], transposed) * scales
+        loose = reach_a[begin:end] * widest - norm_a[begin:end] * least + ROUNDED * norm_a[begin:end] * widest + double
+        floor = np.nextafter(((threshold - loose) / scale_a[begin:end]).astype(np.float32), np.float32(-np.inf))
         rows, cols = np.nonzero(rough >= floor[:, None])
         if same:
             apart = rows + begin != cols
             rows, cols = rows[apart], cols[apart]
         near = rough[rows, cols].astype(np.float64) * scale_a[begin + rows]
-        bound = (norm_a[begin + rows] + error_a[begin + rows]) * reach_b[cols] - norm_a[begin + rows] * norm_b[cols] + SLACK
+        both = norm_a[begin + rows] * norm_b[cols]
+        bound = reach_a[begin + rows] * reach_b[cols] - both + ROUNDED * both + double
         sure = near - bound >= threshold
         open_ = ~sure & (near + bound >= threshold)
         out[begin + rows[sure], cols[sure]] = True
@@ -124,16 +143,25 @@ def _in_cells(classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells), pa.array(angles)], names=[*batch.schema.names, "cell", "angle"])
 
     kind = classes.schema["vector"].dataType.simpleString()
-    return classes.mapInArrow(run, f"vector {kind}, rep long, n long, dim int, key long, cell int, angle double")
+    return classes.mapInArrow(run, f"vector {kind}, n long, dim int, key long, cell int, angle double")
 
 
 def _pivots(classes: DataFrame) -> dict[int, np.ndarray]:
-    """Up to ``PIVOTS`` unit vectors a dimension, those with the smallest hash: a bounded draw that does not depend on the order of rows."""
-    out: dict[int, np.ndarray] = {}
-    for row in classes.select("dim").distinct().collect():
-        drawn = classes.where(F.col("dim") == row["dim"]).orderBy(F.xxhash64("rep"), "rep").limit(PIVOTS).select("vector").collect()
-        out[row["dim"]] = unit_rows(pa.array([r["vector"] for r in drawn], type=pa.list_(pa.float64())))
-    return out
+    """Unit vectors of each dimension, those with the smallest hash: a bounded draw that does not depend on the order of rows.
+
+    Only vectors whose hash lies below a share are ordered, about four times the draw, so no task or driver merges a draw of every partition.
+    """
+    sizes = classes.groupBy("dim").agg(F.count(F.lit(1)).alias("rows"))
+    known = sizes.agg(F.count(F.lit(1))).first()[0]
+    each = max(1, min(PIVOTS, ALL_PIVOTS // max(known, 1)))
+    share = F.least(F.lit(1.0), F.lit(4.0 * each + 64.0) / F.col("rows"))
+    hashed = classes.select("dim", "vector", F.xxhash64("vector").alias("hash")).join(sizes, "dim")
+    few = hashed.where(F.pmod(F.col("hash"), F.lit(1 << 30)) <= share * float(1 << 30))
+    place = F.row_number().over(Window.partitionBy("dim").orderBy("hash", "vector"))
+    out: dict[int, list] = {}
+    for row in few.withColumn("place", place).where(F.col("place") <= each).select("dim", "vector").collect():
+        out.setdefault(row["dim"], []).append(row["vector"])
+    return {dim: unit_rows(pa.array(drawn, type=pa.list_(pa.float64()))) for dim, drawn in sorted(out.items())}
 
 
 def _chain(centres: np.ndarray) -> list[int]:
@@ -174,33 +202,33 @@ def _packs(sizes: list, pivots: dict[int, np.ndarray], threshold: float) -> tupl
 
 
 def tile_results(rows: list[tuple], threshold: float) -> pa.RecordBatch:
-    """``(key, id, other, links)`` of a tile whose rows are ``(low, high, side, key, rep, n, vector)``."""
+    """``(key, other, links)`` of a tile whose rows are ``(low, high, side, key, n, vector)``: numbers of links, and edges without one."""
     low, high = rows[0][:2]
     left, right = [r for r in rows if r[2] == low], [r for r in rows if r[2] != low]
-    out: list[list] = [[], [], [], []]
+    out: list[list] = [[], [], []]
     if low == high:
         right = left
     if left and right:
-        a = unit_rows(pa.array([r[6] for r in left]))
-        b = a if low == high else unit_rows(pa.array([r[6] for r in right]))
+        a = unit_rows(pa.array([r[5] for r in left]))
+        b = a if low == high else unit_rows(pa.array([r[5] for r in right]))
         found = links(a, b, threshold, low == high)
-        weight_a, weight_b = np.array([r[5] for r in left], dtype=np.int64), np.array([r[5] for r in right], dtype=np.int64)
+        weight_a, weight_b = np.array([r[4] for r in left], dtype=np.int64), np.array([r[4] for r in right], dtype=np.int64)
         totals = [(left, [int(weight_b[row].sum()) for row in found])]
         if low != high:
             totals.append((right, [int(weight_a[column].sum()) for column in found.T]))
         for side, counts in totals:
             for r, count in zip(side, counts):
                 if count:
-                    for values, x in zip(out, (r[3], None, None, count)):
+                    for values, x in zip(out, (r[3], None, count)):
                         values.append(x)
-        for x, y in spread(found, np.array([r[4] for r in left]), np.array([r[4] for r in right])):
-            for values, v in zip(out, (None, x, y, 0)):
+        for x, y in spread(found, np.array([r[3] for r in left]), np.array([r[3] for r in right])):
+            for values, v in zip(out, (x, y, None)):
                 values.append(v)
-    return pa.RecordBatch.from_arrays([pa.array(v, type=pa.int64()) for v in out], names=["key", "id", "other", "links"])
+    return pa.RecordBatch.from_arrays([pa.array(v, type=pa.int64()) for v in out], names=["key", "other", "links"])
 
 
 def tiled(placed: DataFrame, cells: list[tuple], near: list[tuple], threshold: float) -> DataFrame:
-    """``(key, id, other, links)``: numbers of links of classes, and edges between ids."""
+    """``(key, other, links)``: numbers of links of classes, and edges between classes."""
     spark = placed.sparkSession
     # both tables are bounded by the number of pivots
     where = F.broadcast(spark.createDataFrame(cells, "dim int, cell int, pack int, blocks int"))
@@ -209,13 +237,13 @@ def tiled(placed: DataFrame, cells: list[tuple], near: list[tuple], threshold: f
     rows = placed.join(where, ["dim", "cell"]).withColumn("side", side).join(pairs, "pack")
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)))
     facing = F.col("other") * F.lit(1 << 32) + F.col("block")
-    rows = rows.select(F.least("side", facing).alias("low"), F.greatest("side", facing).alias("high"), "side", "key", "rep", "n", "vector")
+    rows = rows.select(F.least("side", facing).alias("low"), F.greatest("side", facing).alias("high"), "side", "key", "n", "vector")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            keys = zip(*(batch.column(i).to_pylist() for i in range(6)))
-            for key, vector in zip(keys, batch.column(6)):
+            keys = zip(*(batch.column(i).to_pylist() for i in range(5)))
+            for key, vector in zip(keys, batch.column(5)):
                 if held and held[0][:2] != key[:2]:
                     yield tile_results(held, threshold)
                     held = []
@@ -224,7 +252,7 @@ def tiled(placed: DataFrame, cells: list[tuple], near: list[tuple], threshold: f
             yield tile_results(held, threshold)
 
     dealt = rows.repartition("low", "high").sortWithinPartitions("low", "high")
-    return dealt.mapInArrow(run, "key long, id long, other long, links long")
+    return dealt.mapInArrow(run, "key long, other long, links long")
 
 
 def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95) -> DataFrame:
@@ -235,20 +263,25 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
     kind = "array<float>" if df.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"
     rows = df.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.col(f"`{vector}`").cast(kind).alias("vector"))
     good = rows.where(usable("vector"))
-    # null ids count as neighbours, but a class needs an id to be named
-    classes = good.groupBy("vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")).where("rep IS NOT NULL")
+    # a class is known by its key; it has the smallest id of its rows, or none
+    classes = good.groupBy("vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     classes = stored(classes.select("vector", "rep", "n", F.size("vector").alias("dim"), F.monotonically_increasing_id().alias("key")))
     pivots = _pivots(classes)
-    placed = stored(_in_cells(classes, pivots))
+    placed = stored(_in_cells(classes.drop("rep"), pivots))
     sizes = placed.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("rows"), F.max("angle").alias("radius")).collect()
     cells, near = _packs(sizes, pivots, threshold)
     found = stored(tiled(placed, cells, near, threshold))
-    counted = found.where("key IS NOT NULL").groupBy("key").agg(F.sum("links").alias("links"))
-    joined = components(found.where("id IS NOT NULL").select("id", "other"), "id", "other")
+    counted = found.where("links IS NOT NULL").groupBy("key").agg(F.sum("links").alias("links"))
+    joined = components(found.where("links IS NULL").select("key", "other"), "key", "other").withColumnRenamed("node", "key")
+    # components are named by the smallest id in them
+    joined = stored(classes.select("key", "rep").join(joined, "key"))
+    labels = joined.groupBy("component").agg(F.min("rep").alias("label"))
+    labelled = joined.select("key", "component").join(labels, "component").select("key", "label")
     named = (
-        classes.join(counted, "key", "left")
-        .join(joined, F.col("rep") == F.col("node"), "left")
-        .select(F.col("vector").alias("of"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "rep").alias("label"))
+        classes.where("rep IS NOT NULL")
+        .join(counted, "key", "left")
+        .join(labelled, "key", "left")
+        .select(F.col("vector").alias("of"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("label", "rep").alias("label"))
     )
     marked = rows.where("id IS NOT NULL").withColumn("ok", F.coalesce(usable("vector"), F.lit(False)))
     answers = marked.where("ok").join(named, F.col("vector") == F.col("of")).select("id", "links", "label").union(

@@ -10,6 +10,7 @@ import pytest
 
 from measurekit.llm import embedding_dedup, ngram_join
 from measurekit.llm.components import components
+from measurekit.llm.queries import QUERIES
 
 
 def roots(n, links):
@@ -89,6 +90,63 @@ def test_vectors_of_an_empty_table_and_null_ids(spark):
     assert [r["n_links"] for r in found if r["vec_id"] is None] == [None, None]
 
 
+def test_links_through_vectors_without_id(spark):
+    rows = [(4, [1.0, 0.0]), (None, [1.0, 0.1]), (5, [1.0, 0.2]), (None, [0.0, 1.0]), (None, [0.01, 1.0]), (9, [-1.0, 0.0])]
+    found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), threshold=0.99).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in found if r["vec_id"] is not None) == [(4, 1, 4, True), (5, 1, 4, False), (9, 0, 9, True)]
+    assert [r["n_links"] for r in found if r["vec_id"] is None] == [None, None, None]
+
+
+@pytest.mark.parametrize("size", [1_040, 1_041, 4_096])
+def test_bounds_hold_for_many_components(size):
+    rng = np.random.default_rng(size)
+    x = np.sign(rng.normal(size=(60, size)))  # all codes are 127: the largest products
+    x[30:] = x[:30]
+    for i in range(30):  # cosines within some parts in a thousand of the threshold
+        flipped = rng.choice(size, int(size * 0.025) + rng.integers(-3, 4), replace=False)
+        x[30 + i, flipped] *= -1
+    x = np.concatenate([x, rng.normal(size=(20, size))])
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    cosine = np.einsum("ik,jk->ij", x, x)
+    exact = cosine >= 0.95
+    np.fill_diagonal(exact, False)
+    found = embedding_dedup.links(x, x, 0.95, True)
+    assert ((found == exact) | (np.abs(cosine - 0.95) < 1e-12)).all() and exact.any()
+    codes = embedding_dedup.quantised(x)[0]
+    assert (embedding_dedup.products(codes, codes.T) == codes.astype(np.int64) @ codes.astype(np.int64).T).all()
+
+
+def test_vectors_of_many_components_on_a_table(spark):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(6, 4_096))
+    x = np.concatenate([base, base + rng.normal(size=base.shape) * 0.3, base * 2.0])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    found = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    root = roots(len(x), np.argwhere(near))
+    assert all((found[i]["n_links"], found[i]["component_id"]) == (near[i].sum(), root[i]) for i in range(len(x))) and near.any()
+
+
+def test_op2_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r["vec_id"] for r in table])
+    good = [i for i, r in enumerate(table) if r["embedding"] and all(c is not None and np.isfinite(c) for c in r["embedding"]) and any(r["embedding"])]
+    near = np.zeros((len(table), len(table)), dtype=bool)
+    for size in {len(table[i]["embedding"]) for i in good}:
+        at = np.array([i for i in good if len(table[i]["embedding"]) == size])
+        x = np.array([table[i]["embedding"] for i in at], dtype=np.float64)
+        x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+        near[np.ix_(at, at)] = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    root = roots(len(table), np.argwhere(near))
+    label = {r: min(ids[j] for j in range(len(table)) if root[j] == r) for r in set(root)}
+    want = {(int(ids[i]), int(near[i].sum()), int(label[root[i]]), bool(label[root[i]] == ids[i])) for i in range(len(table))}
+    assert {(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in QUERIES["op2_embedding_dedup"](spark, folder).collect()} == want
+
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
