@@ -41,6 +41,7 @@ def load_all() -> None:
         cleaning_queries,
         model_queries,
         quality_queries,
+        reader_queries,
         record_queries,
         split_queries,
     )

@@ -7,14 +7,15 @@ expressions, so one bad cell never fails a job and rejected rows stay visible.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import exprs
-from ..operators.clean import drop_empty_columns, with_row_id
+from ..operators.clean import ROW_ID, drop_empty_columns
+from . import delimited
 
 CORRUPT = "_corrupt"
-LINE = "_line"
 
 # ---- fixed values: column names of the known inputs --------------------------
 SUBMISSION_COLUMNS = ("name", "domain", "task", "score", "submitted")
@@ -62,60 +63,71 @@ def text_schema(columns: Sequence[str], corrupt: bool = False) -> T.StructType:
 
 def read_text_table(
     spark: SparkSession,
-    path: str,
-    columns: Sequence[str],
+    path: str | Sequence[str],
+    columns: Sequence[str] | None,
     sep: str = ",",
     null_tokens: Sequence[str] = exprs.NULL_TOKENS,
     strict_width: bool = False,
     header: bool = True,
     multiline: bool = False,
+    keep_broken: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected): all columns as trimmed text with missing tokens as NULL, plus ``_rid``.
 
-    With a header the columns are found by its names, in whatever order the file has them; a missing one
-    is an error and further ones are left out. Quotes inside a quoted field are doubled. Rows with too few
-    or too many fields are rejected when ``strict_width`` is set; ``rejected`` holds their raw text.
-    ``multiline`` lets quoted fields hold line breaks, and a file is then read by one task; without it
-    a line with an unbalanced quote is rejected. All files of a folder have the same header line.
+    Every file begins with its header, and only that one record is taken away. Columns are found by its names, in whatever order the
+    file has them; a missing one is an error, as are files with other names than the rest, and further ones are left out. Without a
+    header, ``columns`` are those of all files. Quotes inside a quoted field are doubled. Rows with too few or too many fields are rejected when
+    ``strict_width`` is set; ``rejected`` holds their raw text.
+    ``multiline`` lets quoted fields hold line breaks (a large file is still read by many tasks); without it a line with an
+    unbalanced quote is rejected, or with ``keep_broken`` read as far as it goes.
     """
-    found = file_header(spark, path, sep) if header else list(columns)
-    names = {name.strip().lstrip("\ufeff").strip(): name for name in found}
-    missing = [c for c in columns if c not in names]
-    if missing:
-        raise ValueError(f"missing columns: {missing}")
-    schema = text_schema(found, corrupt=True)
-    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     if multiline:
-        # a row's width is judged on all columns, whichever are selected
-        reader = spark.read.schema(schema).options(**options).option("columnPruning", False)
-        raw = reader.option("header", header).option("multiLine", True).csv(path).withColumn(LINE, F.lit(None).cast("string"))
+        groups, lost = delimited.multiline(spark, path, sep, header)
     else:
-        lines = spark.read.text(path).where(F.trim("value") != "")
-        first = lines.first() if header else None
-        if first is not None:
-            lines = lines.where(F.col("value") != first["value"])
-        ddl = ", ".join(f"`{f.name}` string" for f in schema)
-        raw = lines.select(F.from_csv("value", ddl, options).alias("r"), F.col("value").alias(LINE)).select("r.*", LINE)
-    numbered = with_row_id(raw)
-    cell = {c: F.col(f"`{names[c]}`") for c in columns}
-    clean = lambda c: exprs.null_tokens(cell[c], null_tokens) if null_tokens else F.trim(cell[c])
-    # The reader refuses queries on the corrupt column alone, hence the (always true) second condition.
-    parsed = F.length(F.concat_ws("", *cell.values())) >= 0
+        groups, lost = delimited.plain(spark, path, sep, header), None
+    if not groups:
+        raise ValueError(f"missing columns: {list(columns or ())} (no header in {path})")
+    tables = []
+    for group, (kind, lines) in enumerate(groups):
+        if len(groups) > 1:  # every group numbers its lines from the start
+            lines = lines.withColumn("id", F.col("id") * len(groups) + group)
+        names = list(columns) if kind is None else list(kind.names)
+        wanted = names if columns is None else list(columns)
+        missing = [c for c in wanted if c not in names]
+        if missing:
+            raise ValueError(f"missing columns: {missing}")
+        tables.append(_parsed(lines, names, wanted, sep, null_tokens, strict_width, keep_broken))
+    rows, rejected = (reduce(DataFrame.unionByName, part) for part in zip(*tables))
+    if lost is not None:
+        rejected = rejected.union(lost.select(F.col("id").alias("_rid"), F.col(delimited.LINE).alias("line")))
+    return rows, rejected
+
+
+def _parsed(
+    lines: DataFrame, names: list[str], columns: list[str], sep: str, null_tokens: Sequence[str] | None, strict_width: bool, keep_broken: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Rows and rejects of records that share one order of columns; ``null_tokens`` None keeps cells as they stand."""
+    ddl = ", ".join(f"`{f.name}` string" for f in text_schema([f"c{i}" for i in range(len(names))], corrupt=True))
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "maxCharsPerColumn": "-1"}
+    line = F.col(delimited.LINE)
+    raw = lines.select(F.col("id").alias(ROW_ID), line, F.from_csv(line, ddl, options).alias("r")).select(ROW_ID, delimited.LINE, "r.*")
     broken = F.col(CORRUPT).isNotNull()
-    cut = F.length(F.regexp_replace(F.coalesce(LINE, F.lit("")), '[^"]', "")) % 2 == 1
-    rows = numbered.where(~(broken | cut) if strict_width else ~cut)
-    rejected = numbered.where((broken | cut) & parsed).select("_rid", F.coalesce(CORRUPT, LINE).alias("line"))
-    return rows.select("_rid", *[clean(c).alias(c) for c in columns]), rejected
+    cut = F.lit(False) if keep_broken else F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1
+    clean = lambda c: c if null_tokens is None else exprs.null_tokens(c, null_tokens) if null_tokens else F.trim(c)
+    cells = [clean(F.col(f"c{names.index(c)}")).alias(c) for c in columns]
+    rows = raw.where(~(broken | cut) if strict_width else ~cut)
+    return rows.select(ROW_ID, *cells), raw.where(broken | cut).select(ROW_ID, F.coalesce(line, CORRUPT).alias("line"))
 
 
-def file_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """The names in the first line."""
-    return spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').csv(path).columns
+def file_header(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> list[str]:
+    """The names that the files begin with."""
+    found = delimited.headers(spark, delimited.first_lines(delimited.numbered(spark, path)), sep)
+    return list(found[0].names) if found else []
 
 
-def read_plain(spark: SparkSession, path: str) -> DataFrame:
-    """A comma-separated table with a header, all columns as text."""
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+def read_plain(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """A comma-separated table with a header, all columns as text as it stands, short rows with NULL at the end."""
+    return read_text_table(spark, path, None, null_tokens=None, multiline=multiline, keep_broken=True)[0].drop(ROW_ID)
 
 
 def read_submissions(
