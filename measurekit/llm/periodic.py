@@ -267,7 +267,7 @@ def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text", edit: E
             for key, words in read_words(column, edit):
                 counts.append(len(words))
                 lists.append(words)
-                some = len(words) >= LEAST_WORDS and next_places(codes(words)) is not None
+                some = len(words) >= LEAST_WORDS and next(blocks(codes(words)), None) is not None
                 keys.append(digest(key, words) if some else None)
             return [pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), joined(lists)]
 
@@ -276,7 +276,9 @@ def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text", edit: E
     marked = map_columns(rows, "measurekit_pair", {"n_words": "bigint", "measurekit_key": "binary", "collapsed": "string"}, mark, keep=kept)
     names = [F.col(f"`{c}`") for c in [*kept, "n_words"]]
     plain = marked.where("measurekit_key IS NULL").select(*names, F.expr(f"CAST(array() AS array<{RUN}>)").alias("runs"), "collapsed")
-    other = marked.where("measurekit_key IS NOT NULL").join(found.withColumnRenamed("key", "measurekit_key").withColumnRenamed("runs", "measurekit_runs"), "measurekit_key", "left")
+    # one small row a text on the right: a hash table a task, and the texts need no sort
+    known = found.select(F.col("key").alias("measurekit_key"), F.col("runs").alias("measurekit_runs")).hint("shuffle_hash")
+    other = marked.where("measurekit_key IS NOT NULL").join(known, "measurekit_key", "left")
     other = other.withColumn("measurekit_pair", F.struct("collapsed", "measurekit_runs"))
 
     def shorten():
