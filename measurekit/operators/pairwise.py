@@ -1,11 +1,13 @@
-"""Exact all-against-all distance work in blocks of bounded size.
-
-Nearest neighbours and the silhouette compare every row with every other one.
-Both tables are cut into blocks by a hash of their ids; one task handles one
-pair of blocks with numpy and returns only its reduced result (k neighbours or
-one distance sum per cluster), never the pairs. Block counts follow from row
-counts inside the plan, so neither side has to fit anywhere as a whole and
-nothing is broadcast. Hashing unique ids keeps the blocks even.
+"""Distances between rows and clusters: votes of neighbours, silhouettes.
+
+The Euclidean silhouette compares every row with every other one. The table is cut into blocks by a hash of the ids; one task handles one
+pair of blocks with numpy and returns only one distance sum per cluster, never the pairs. Block counts follow from row
+counts inside the plan, so nothing has to fit anywhere as a whole and nothing is broadcast. Hashing unique ids keeps the blocks even.
+Its work grows with the square of the rows.
+
+Sums of squared distances need no pairs: those of a row to a cluster follow from the cluster's moments (rows, mean, sum of squared
+deviations), which merge without cancellation. The squared silhouette reads the rows twice, whatever their number.
+Nearest neighbours are found by the index in ``neighbours``.
 """
 
 from __future__ import annotations
@@ -16,7 +18,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from .neighbours import nearest  # noqa: F401
 
 # Workers get the small helpers below with the job, also where the package is not installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,52 +55,6 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def nearest(
-    queries: DataFrame,
-    base: DataFrame,
-    k: int,
-    query_id: str = "query_id",
-    base_id: str = "base_id",
-    vector: str = "vector",
-    payload: str = "label",
-    query_block: int = QUERY_BLOCK,
-    base_block: int = BASE_BLOCK,
-) -> DataFrame:
-    """(query_id, rank, base_id, payload, distance): the k nearest base rows, ties by base id."""
-    q = queries.select(F.col(query_id), F.col(vector).cast("array<double>").alias("qv"))
-    b = base.select(F.col(base_id), F.col(payload), F.col(vector).cast("array<double>").alias("bv"))
-    types = {f.name: f.dataType.simpleString() for f in [*q.schema, *b.schema]}
-    schema = f"{query_id} {types[query_id]}, {base_id} {types[base_id]}, {payload} {types[payload]}, distance double"
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=[query_id, base_id, payload, "distance"])
-        right = right.sort_values(base_id, kind="stable").reset_index(drop=True)
-        ids, payloads = right[base_id].to_numpy(), right[payload].to_numpy()
-        bm, qm, qids = _matrix(right["bv"]), _matrix(left["qv"]), left[query_id].to_numpy()
-        parts = []
-        for rows, d in _distances(qm, bm):
-            # a stable sort keeps ids ascending among equal distances
-            order = np.argsort(d, axis=1, kind="stable")[:, :k]
-            width = order.shape[1]
-            flat = order.ravel()
-            parts.append(
-                pd.DataFrame(
-                    {
-                        query_id: np.repeat(qids[rows], width),
-                        base_id: ids[flat],
-                        payload: payloads[flat],
-                        "distance": np.take_along_axis(d, order, axis=1).ravel(),
-                    }
-                )
-            )
-        return pd.concat(parts, ignore_index=True)
-
-    found = _blocks(q, b, query_id, base_id, query_block, base_block).applyInPandas(best, schema)
-    closest = Window.partitionBy(query_id).orderBy("distance", base_id)
-    return found.withColumn("rank", F.row_number().over(closest)).where(F.col("rank") <= k)
-
-
 def vote(neighbours: DataFrame, query_id: str = "query_id", payload: str = "label") -> DataFrame:
     """(query_id, predicted): most frequent label among the neighbours, smallest on a tie."""
     counts = neighbours.groupBy(query_id, payload).agg(F.count(F.lit(1)).alias("__n"))
@@ -164,3 +122,101 @@ def silhouette(
         F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)
     ).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
     return ab.agg(F.round(F.coalesce(F.avg(score), F.lit(0.0)), digits).alias("silhouette"), F.count(F.lit(1)).alias("n"))
+
+
+#: Clusters whose moments every task gets.
+MAX_CLUSTERS = 10_000
+MOMENTS = "cluster bigint, n bigint, mean array<double>, deviation double"
+
+
+def _merged(parts: pd.DataFrame) -> pd.DataFrame:
+    """One row from the moments of parts of a cluster."""
+    sizes, means = parts["n"].to_numpy(dtype=np.float64), _matrix(parts["mean"])
+    total = sizes.sum()
+    mean = (means * sizes[:, None]).sum(axis=0) / total
+    apart = means - mean
+    mean = mean + (apart * sizes[:, None]).sum(axis=0) / total  # what the first sum rounded away
+    deviation = parts["deviation"].sum() + (sizes * ((means - mean) ** 2).sum(axis=1)).sum()
+    return pd.DataFrame({"cluster": [parts["cluster"].iloc[0]], "n": [int(total)], "mean": [mean], "deviation": [deviation]})
+
+
+def cluster_moments(rows: DataFrame, vector: str, cluster: str) -> DataFrame:
+    """(cluster, n, mean, deviation): rows, mean vector and sum of squared deviations from it; rows without vector or cluster are left out.
+
+    Folded in the tasks, then over groups of tasks, then over the groups.
+    """
+    known = rows.select(F.col(cluster).cast("long").alias("cluster"), F.col(vector).cast("array<double>").alias("v")).where("cluster IS NOT NULL AND v IS NOT NULL")
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, pd.DataFrame] = {}
+        for frame in frames:
+            for label, part in frame.groupby("cluster"):
+                points = _matrix(part["v"])
+                mean = points.mean(axis=0)
+                one = pd.DataFrame({"cluster": [label], "n": [len(points)], "mean": [mean], "deviation": [((points - mean) ** 2).sum()]})
+                held[label] = one if label not in held else _merged(pd.concat([held[label], one], ignore_index=True))
+        if held:
+            yield pd.concat(held.values(), ignore_index=True)
+
+    folded = known.mapInPandas(fold, MOMENTS).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(256)))
+    grouped = folded.groupBy("cluster", "part").applyInPandas(lambda g: _merged(g), MOMENTS)
+    return grouped.groupBy("cluster").applyInPandas(lambda g: _merged(g), MOMENTS)
+
+
+def _fitted_moments(rows: DataFrame, vector: str, cluster: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    found = cluster_moments(rows, vector, cluster).orderBy("cluster").limit(MAX_CLUSTERS + 1).collect()
+    if len(found) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+    return (
+        np.array([r["cluster"] for r in found], dtype=np.int64), np.array([r["n"] for r in found], dtype=np.float64),
+        np.array([r["mean"] for r in found], dtype=np.float64), np.array([r["deviation"] for r in found], dtype=np.float64),
+    )
+
+
+def squared_distance_sums(rows: DataFrame, row_id: str, vector: str, cluster: str) -> DataFrame:
+    """(id, own, other, total, n): per row and cluster the summed squared distance to the other rows and their number, linear in the rows."""
+    moments = _fitted_moments(rows, vector, cluster)
+    source = rows.select(F.col(row_id).alias("id"), F.col(cluster).cast("long").alias("own"), F.col(vector).cast("array<double>").alias("v"))
+    source = source.where("own IS NOT NULL AND v IS NOT NULL")
+    kind = source.schema["id"].dataType.simpleString()
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        labels, sizes, means, deviations = moments
+        for frame in frames:
+            for start in range(0, len(frame), 1024):
+                part = frame.iloc[start : start + 1024]
+                points, own = _matrix(part["v"]), part["own"].to_numpy()
+                total = np.stack([sizes[c] * ((points - means[c]) ** 2).sum(axis=1) + deviations[c] for c in range(len(labels))], axis=1)
+                count = sizes[None, :] - (own[:, None] == labels[None, :])
+                width = len(labels)
+                yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), width), "own": np.repeat(own, width), "other": np.tile(labels, len(part)), "total": total.ravel(), "n": count.ravel().astype(np.int64)})
+
+    return source.mapInPandas(sums, f"id {kind}, own bigint, other bigint, total double, n bigint")
+
+
+def squared_silhouette(df: DataFrame, row_id: str, vector: str, cluster: str, digits: int = 6) -> DataFrame:
+    """One row (silhouette, n): mean of (b - a) / max(a, b) with mean squared distances over all rows; the metric for large tables.
+
+    A row alone in its cluster counts 0, as does every row where there is one cluster; rows without vector or cluster are left out.
+    """
+    moments = _fitted_moments(df, vector, cluster)
+    source = df.select(F.col(cluster).cast("long").alias("own"), F.col(vector).cast("array<double>").alias("v")).where("own IS NOT NULL AND v IS NOT NULL")
+
+    def scores(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        labels, sizes, means, deviations = moments
+        for frame in frames:
+            if not len(frame):
+                continue
+            points, own = _matrix(frame["v"]), np.searchsorted(labels, frame["own"].to_numpy())
+            a, b = np.zeros(len(points)), np.full(len(points), np.inf)
+            for c in range(len(labels)):
+                total = sizes[c] * ((points - means[c]) ** 2).sum(axis=1) + deviations[c]
+                mine = own == c
+                a[mine] = total[mine] / max(sizes[c] - 1, 1)
+                b[~mine] = np.minimum(b[~mine], total[~mine] / sizes[c])
+            top = np.maximum(a, b)
+            score = np.where((sizes[own] < 2) | ~np.isfinite(b) | (top == 0), 0.0, (b - a) / np.where(top > 0, top, 1.0))
+            yield pd.DataFrame({"score": np.where(np.isfinite(b), score, 0.0)})
+
+    found = source.mapInPandas(scores, "score double")
+    return found.agg(F.round(F.coalesce(F.avg("score"), F.lit(0.0)), digits).alias("silhouette"), F.count(F.lit(1)).alias("n"))

@@ -266,6 +266,24 @@ def pairwise_sums(spark, sf):
     return sums.select("id", "own", "other", F.round(F.col("total") / F.col("n"), 6).alias("mean_distance"))
 
 
+SQUARED = DISTANCES.replace("avg(list_distance(a.v, b.v))", "avg(list_distance(a.v, b.v) ** 2)")
+
+
+@query(
+    "MET8_squared_silhouette",
+    SQUARED + ", ab AS (SELECT vec_id, max(m) FILTER (WHERE own = other) AS a, min(m) FILTER (WHERE own <> other) AS b FROM p GROUP BY vec_id) "
+    "SELECT round(avg(CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, count(*) AS n FROM ab",
+)
+def squared_silhouette(spark, sf):
+    return pairwise.squared_silhouette(cut_lineage(embeddings(spark, sf)), "vec_id", "v", "label")
+
+
+@query("JON6_squared_distance_sums", SQUARED + " SELECT vec_id AS id, CAST(own AS BIGINT) AS own, CAST(other AS BIGINT) AS other, round(m, 6) AS mean_squared_distance FROM p")
+def squared_sums(spark, sf):
+    sums = pairwise.squared_distance_sums(cut_lineage(embeddings(spark, sf)), "vec_id", "v", "label").where("n > 0")
+    return sums.select("id", "own", "other", F.round(F.col("total") / F.col("n"), 6).alias("mean_squared_distance"))
+
+
 KNN = (
     "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label, CAST(concat('0x', substr(md5(concat_ws('|', CAST(vec_id AS VARCHAR), '42')), 1, 13)) AS BIGINT) / 4503599627370496::DOUBLE AS u FROM embeddings)"
     ", nn AS (SELECT q.vec_id AS query_id, b.vec_id AS base_id, b.label, list_distance(q.v, b.v) AS distance, "
