@@ -74,8 +74,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     "CASE WHEN first IS NOT NULL AND page_id <> first THEN first END AS refers_to FROM d LEFT JOIN f USING (payload_digest)",
 )
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    archive = warc.write(table(spark, folder, "pages"))
-    return warc.read(spark, archive, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = table(spark, folder, "pages")
+    archive = warc.write(pages)
+    # every page is searched by its key; payloads are read and checked in the tasks, and stay there
+    found = warc.lookup_keys(spark, archive, warc.keys_of(pages.select("url")), payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query("op2_embedding_dedup")

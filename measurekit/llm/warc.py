@@ -7,7 +7,7 @@ each block), and the manifest keeps the first key of every part. ``lookup`` find
 binary search, and reads only that block and the records it names. ``read`` walks all index parts and
 reads every record.
 
-Defined results: a null payload is empty; a null or keyless URL has the key ""; rows with the same page id and payload as the
+Defined results: a null payload is empty; a payload of any length is one record, held whole by the task that writes or reads it; a null or keyless URL has the key ""; rows with the same page id and payload as the
 response are responses too; if all page ids of a payload are null, all of them are responses; null page ids
 otherwise revisit; other columns are ignored; an empty table gives an archive without files. Files
 have fresh names and count only when a finished task reports them, so lost tasks leave nothing that is read.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import fresh_folder, ship
+from .common import fresh_folder, map_column, ship
 from .storage import make_folder, place
 
 #: Payloads below this size are always stored in full.
@@ -217,14 +217,18 @@ class IndexPart:
             raise ValueError(f"{uri} is not an index part")
         self.directory = json.loads(zlib.decompress(self._range(at, length)))
         self.keys = [first for first, _, _ in self.directory]
+        self.last: tuple[int, list[list]] = (-1, [])
 
     def _range(self, at: int, length: int) -> bytes:
         self.file.seek(at)
         return self.file.read(length)
 
     def block(self, i: int) -> list[list]:
-        _, at, length = self.directory[i]
-        return json.loads(zlib.decompress(self._range(at, length)))
+        """The lines of a block; the last one is kept, as sorted requests ask for it again."""
+        if self.last[0] != i:
+            _, at, length = self.directory[i]
+            self.last = i, json.loads(zlib.decompress(self._range(at, length)))
+        return self.last[1]
 
     def find(self, key: str) -> Iterator[list]:
         """The captures of a key: binary search in the directory, then in the block."""
@@ -275,11 +279,34 @@ def _batches(records: Iterator[dict], extra: dict | None = None) -> Iterator[pa.
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(kinds))
 
 
+def fetch(places: DataFrame, files: int, payload: bool = True, extra: str | None = None) -> DataFrame:
+    """The records at ``uri``, ``offset`` and ``length``, dealt by place, so that a task reads a file from front to back; the column ``extra`` travels along."""
+    names = ["uri", "offset", "length", *([extra] if extra else [])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archives = Archives()
+
+        def found() -> Iterator[dict]:
+            for batch in batches:
+                for uri, offset, length, *more in zip(*(c.to_pylist() for c in batch.columns)):
+                    row = archives.record(uri, offset, length)
+                    yield {**row, "payload": row["payload"] if payload else None, **({extra: more[0]} if extra else {})}
+
+        yield from _batches(found(), {extra: pa.string()} if extra else None)
+
+    dealt = places.select(*names).repartitionByRange(files, "uri", "offset").sortWithinPartitions("uri", "offset")
+    return dealt.mapInArrow(run, RECORD_DDL + (f", {extra} string" if extra else ""))
+
+
+def files_of(spark: SparkSession, folder: str) -> int:
+    """As many tasks as archives: the places themselves are small, what they stand for is not."""
+    return max(1, spark.read.parquet(f"{folder}/captures").select("uri").distinct().count())
+
+
 def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
-    """Every record, found through the index and read by its range; with ``payload`` false that column stays null."""
+    """Every record, found by walking the whole index and read by its range; with ``payload`` false that column stays null."""
     ship(spark)
     parts = spark.read.parquet(f"{folder}/manifest").select("uri")
-    # one index part a task; its captures are then dealt by place, so that a task reads a file from front to back
     parts = parts.repartition(max(1, parts.count()))
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,51 +318,51 @@ def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
                     columns = [[line[3] for line in lines], [line[4] for line in lines], [line[5] for line in lines]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["uri", "offset", "length"])
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        archives = Archives()
-
-        def found() -> Iterator[dict]:
-            for batch in batches:
-                for uri, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
-                    row = archives.record(uri, offset, length)
-                    yield row if payload else {**row, "payload": None}
+    places = parts.mapInArrow(entries, "uri string, offset long, length long")
+    return fetch(places, files_of(spark, folder), payload)
 
-        yield from _batches(found())
 
-    places = parts.mapInArrow(entries, "uri string, offset long, length long")
-    # as many tasks as archives: the places themselves are small, what they stand for is not
-    files = max(1, spark.read.parquet(f"{folder}/captures").select("uri").distinct().count())
-    return places.repartitionByRange(files, "uri", "offset").sortWithinPartitions("uri", "offset").mapInArrow(records, RECORD_DDL)
+def keys_of(urls: DataFrame, url: str = "url") -> DataFrame:
+    """``urls`` with the ``key`` of each URL; a null URL has the key ""."""
+    return map_column(urls, url, "key", "string", lambda: lambda column: pa.array([url_key(u) for u in column.to_pylist()], pa.string()))
 
 
-def lookup(spark: SparkSession, folder: str, urls: DataFrame, url: str = "url") -> DataFrame:
-    """The records whose key equals that of a requested URL: ``wanted`` and the record's fields. Null URLs find nothing.
+def locate(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
+    """``key``, ``uri``, ``offset`` and ``length`` of every capture of the distinct ``key`` values: binary search for the part, its block, and the line.
 
-    The first keys of the parts (one a file) travel with the job; directories and blocks are read where they are needed.
+    Keys are dealt and sorted as the index is, so a task opens each of its parts and decompresses each of its blocks once. The first keys of
+    the parts (one a file) travel with the job.
     """
     ship(spark)
     parts = [(r["first_key"], r["uri"]) for r in spark.read.parquet(f"{folder}/manifest").orderBy("part").collect()]
     firsts = [first for first, _ in parts]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened: dict[str, IndexPart] = {}
-        archives = Archives()
+        uri, part = None, None
+        for batch in batches:
+            found: list[list] = []
+            for key in batch.column(0).to_pylist():
+                i = max(0, bisect.bisect_left(firsts, key) - 1)
+                while i < len(parts) and firsts[i] <= key:
+                    if parts[i][1] != uri:
+                        uri, part = parts[i][1], IndexPart(parts[i][1])
+                    found += [[key, line[3], line[4], line[5]] for line in part.find(key)]
+                    i += 1
+            if found:
+                columns = [pa.array(c, k) for c, k in zip(zip(*found), (pa.string(), pa.string(), pa.int64(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "uri", "offset", "length"])
 
-        def found() -> Iterator[dict]:
-            for batch in batches:
-                for wanted in batch.column(0).to_pylist():
-                    key = url_key(wanted)
-                    i = max(0, bisect.bisect_left(firsts, key) - 1)
-                    while i < len(parts) and firsts[i] <= key:
-                        uri = parts[i][1]
-                        if uri not in opened:
-                            opened.clear()  # requests arrive in ranges
-                            opened[uri] = IndexPart(uri)
-                        for line in opened[uri].find(key):
-                            yield {"wanted": wanted, **archives.record(line[3], line[4], line[5])}
-                        i += 1
-
-        yield from _batches(found(), {"wanted": pa.string()})
-
-    wanted = urls.select(F.col(f"`{url}`").cast("string").alias("wanted")).where(F.col("wanted").isNotNull())
-    return wanted.repartitionByRange("wanted").mapInArrow(run, f"{RECORD_DDL}, wanted string")
+    wanted = keys.select("key").where("key IS NOT NULL").distinct()
+    return wanted.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(run, "key string, uri string, offset long, length long")
+
+
+def lookup_keys(spark: SparkSession, folder: str, keys: DataFrame, payload: bool = True) -> DataFrame:
+    """The records of every distinct ``key``, with that key."""
+    return fetch(locate(spark, folder, keys), files_of(spark, folder), payload, "key")
+
+
+def lookup(spark: SparkSession, folder: str, urls: DataFrame, url: str = "url") -> DataFrame:
+    """The records whose key equals that of a requested URL: ``wanted`` and the record's fields. Null URLs find nothing; each distinct URL counts once."""
+    wanted = urls.select(F.col(f"`{url}`").cast("string").alias("wanted")).where(F.col("wanted").isNotNull()).distinct()
+    keyed = keys_of(wanted, "wanted")
+    return keyed.join(lookup_keys(spark, folder, keyed), "key").drop("key")
