@@ -1,7 +1,8 @@
 """URL verdicts from stated rules and from mined token combinations.
 
 ``mine`` runs Spark's FP-growth over the tokens of labelled URLs, each transaction holding the tokens and, for a
-URL to be blocked, the label. Rules that lead to the label are pruned by support, confidence and lift, and by
+URL to be blocked, the label. Rules that lead to the label are pruned by support and confidence, by the base rate (the share of blocked URLs
+among those that a rule covers must exceed that among all with 95 % certainty: labels that do not depend on URLs give no rules), and by
 smaller rules that say as much. ``judge`` matches them by an inverted index: a rule stands under its rarest token; a URL meets the
 rules of its tokens and tests the rest of the combination. A stated rule comes first: the longest
 that fits the host (or a subdomain) and the beginning of the path decides.
@@ -25,8 +26,11 @@ from .common import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCKED = "label=block"
-#: Share of the labelled URLs that a combination must cover, share of them that must be blocked, and gain over the base rate.
+#: Share of the labelled URLs that a combination must cover, share of them that must be blocked (most of them, or a rule would block more
+#: good URLs than bad ones), and gain over the base rate.
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT = 0.002, 0.5, 1.0
+#: Standard deviations of the lower bound of a rule's share, which must exceed the base rate.
+CERTAINTY = 1.96
 #: Labelled URLs that a combination must cover at least, whatever the share.
 MIN_URLS = 20
 #: Measured numbers of rules up to which the index is copied to every task; beyond it is joined by a shuffle.
@@ -58,7 +62,7 @@ def path_of(url: Column) -> Column:
 
 
 def tokens_of(url: Column) -> Column:
-    """Distinct tokens: domain endings, words of the path and its place, extension, query keys, fragment, scheme."""
+    """Distinct tokens: domain endings, single host labels wherever they stand, words of the path and its place, extension, query keys, fragment, scheme."""
     host, path = host_of(url), path_of(url)
     labels = F.split(host, r"\.")
     endings = F.transform(F.sequence(F.lit(2), F.greatest(F.size(labels), F.lit(2))), lambda n: F.array_join(F.slice(labels, -F.least(n, F.size(labels)), n), "."))
@@ -75,7 +79,7 @@ def tokens_of(url: Column) -> Column:
             F.concat(F.lit("depth:"), F.size(parts).cast("string")),
         )
     )
-    hosts = F.transform(endings, lambda e: F.concat(F.lit("host:"), e))
+    hosts = F.concat(F.transform(endings, lambda e: F.concat(F.lit("host:"), e)), F.transform(F.filter(labels, lambda x: x != ""), lambda x: F.concat(F.lit("label:"), x)))
     return F.when(host != "", F.array_distinct(F.concat(hosts, words, keys, rest))).otherwise(F.array().cast("array<string>"))
 
 
@@ -96,9 +100,13 @@ def mine(
         F.when(F.col(f"`{block}`"), F.concat(tokens_of(F.col(f"`{url}`")), F.array(F.lit(BLOCKED)))).otherwise(tokens_of(F.col(f"`{url}`"))).alias("items")
     ).where(F.size("items") > 0)
     rows = stored(rows)
-    support = min(1.0, max(min_support, min_urls / max(1, rows.count())))
+    count = rows.count()
+    support = min(1.0, max(min_support, min_urls / max(1, count)))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(rows)
     found = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BLOCKED) & (F.col("lift") >= min_lift))
+    base = rows.agg(F.avg(F.array_contains("items", BLOCKED).cast("double"))).first()[0] or 0.0
+    covered = F.col("support") * F.lit(float(count)) / F.col("confidence")
+    found = found.where(lower_bound(F.col("confidence"), covered) > base)
     rules = stored(found.select(F.sort_array("antecedent").alias("tokens"), "confidence", "lift", "support"))
     # a rule whose combination contains that of another with at least its confidence says nothing new
     small = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("least"))
@@ -110,6 +118,13 @@ def mine(
     return stored(kept.select(F.sha2(F.array_join("tokens", " "), 256).alias("rule_id"), "tokens", F.size("tokens").alias("n_tokens"), "confidence", "lift", "support"))
 
 
+def lower_bound(share: Column, n: Column) -> Column:
+    """Lower end of the score interval of a share seen among ``n``."""
+    z = F.lit(CERTAINTY)
+    spread = z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+    return (share + z * z / (2 * n) - spread) / (1 + z * z / n)
+
+
 def inverted(rules: DataFrame) -> DataFrame:
     """``(token, tokens, rule_id, confidence)``: each rule under the token that fewest rules hold."""
     held = rules.select("rule_id", F.explode("tokens").alias("token"))
@@ -147,7 +162,9 @@ def judge(df: DataFrame, rules: Sequence[Rule], mined: DataFrame | None = None,
         index = inverted(mined)
         if mined.count() <= BROADCAST_RULES:
             index = F.broadcast(index)
-        rows = rows.withColumn("id", F.monotonically_increasing_id()).withColumn("tokens", tokens_of(F.col("u")))
+        # stored, so that ids stay the same when a task runs again
+        rows = stored(rows.withColumn("id", F.monotonically_increasing_id()))
+        rows = rows.withColumn("tokens", tokens_of(F.col("u")))
         # a URL's tokens stay in its task, so the table grows by the rules that really share a token
         met = rows.select("id", "row", "u", "tokens", F.explode_outer("tokens").alias("token")).join(index, F.col("token") == F.col("rule_token"), "left")
         holds = F.forall("rule_tokens", lambda t: F.array_contains(F.col("tokens"), t))

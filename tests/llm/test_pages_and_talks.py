@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from measurekit.llm import decontaminate, preference, url_rules, warc
-from measurekit.llm.queries import URL_RULES
+from measurekit.llm.queries import QUERIES, URL_RULES
 
 URLS = [
     None, "", "no scheme", "http://", "https://Example.ORG/en/1", "http://a.example.org/en/2", "http://a.example.org/es/x", "http://notexample.org/es/", "http://org/",
@@ -41,6 +41,10 @@ def test_stated_rules(spark):
     assert url_rules.judge(frame.limit(0), URL_RULES).collect() == []
 
 
+def low(share, n, z=url_rules.CERTAINTY):
+    return (share + z * z / (2 * n) - z * (share * (1 - share) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+
+
 def test_mined_rules_equal_brute_force(spark):
     rng = random.Random(4)
     rows = []
@@ -61,6 +65,8 @@ def test_mined_rules_equal_brute_force(spark):
             hit = [b for t, b in labelled if t.issuperset(combo)]
             if sum(hit) >= 0.02 * len(labelled) and sum(hit) / len(hit) >= 0.6 and sum(hit) / len(hit) / base >= 1:
                 every[combo] = sum(hit) / len(hit)
+    covered = lambda c: sum(t.issuperset(c) for t, _ in labelled)
+    every = {c: v for c, v in every.items() if low(v, covered(c)) > base}
     wanted = {c: v for c, v in every.items() if not any(set(o) < set(c) and every[o] >= v for o in every)}
     assert wanted and {c: v for c, v in found.items() if len(c) <= 2} == pytest.approx(wanted)
     best = {i: max([v for c, v in found.items() if t.issuperset(c)], default=None) for i, t in tokens.items()}
@@ -75,6 +81,32 @@ def test_mined_rules_equal_brute_force(spark):
             assert r["mined_confidence"] == pytest.approx(best[r["page_id"]]) and r["verdict"] == ("block" if best[r["page_id"]] else "allow")
 
 
+def test_a_label_below_many_parents_is_mined_by_the_query(spark, tmp_path):
+    """Through the query's own join of pages and labels: one host label marks bad pages below three parents."""
+    rows, labels = [], []
+    for i in range(120):
+        bad = i % 4 == 0
+        host = ("casino-win." if bad else f"site{i % 7}.") + ["example.com", "example.net", "other.info"][i % 3]
+        rows.append((i, f"http://{host}/en/{i}"))
+        labels.append((i, 0 if bad else 1))
+    rows += [(1000, "http://www.casino-win.fourth.net/en/99999"), (1001, "http://site1.fourth.net/en/99999"), (1002, None), (1003, "http://casino-win.x.org/a")]
+    spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "'' AS html").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = {r["page_id"]: r for r in QUERIES["op4_url_rules"](spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows)
+    assert found[1000]["verdict"] == "block" and found[1000]["rule"] is None and found[1000]["mined_confidence"] == 1.0
+    assert found[1001]["verdict"] == found[1002]["verdict"] == "allow" and (found[1002]["host"], found[1002]["path"]) == ("", "")
+    assert found[1003]["verdict"] == "allow" and found[1003]["rule"] == "org/" and found[1003]["mined_confidence"] == 1.0
+    assert all((found[i]["mined_rule"] is not None) == (i % 4 == 0) for i in range(120))
+
+
+def test_labels_that_do_not_depend_on_urls_give_no_rules(spark):
+    rng = random.Random(5)
+    rows = [(f"http://{rng.choice('abcdefgh')}.example.{rng.choice(['com', 'net'])}/{rng.choice(['en', 'de'])}/{i}", rng.random() < 0.45) for i in range(600)]
+    assert url_rules.mine(spark.createDataFrame(rows, "url string, block boolean"), min_confidence=0.3).count() <= 2
+    assert url_rules.mine(spark.createDataFrame(rows, "url string, block boolean")).count() == 0
+
+
 def test_mining_nothing(spark):
     empty = spark.createDataFrame([], "page_id long, url string, block boolean")
     assert url_rules.mine(empty).collect() == []
@@ -213,3 +245,27 @@ def test_conversations_with_foreign_answers(spark):
     assert text(1, "rejected") == [("user", "q1"), ("assistant", "a0")] and text(3, "rejected") == text(3, "chosen")
     assert text(4, "rejected") == [] and text(None, "rejected") == [("user", "n")]
     assert preference.assemble(frame.limit(0)).collect() == []
+
+
+def test_query_searches_the_index(spark, tmp_path, monkeypatch):
+    """A directory out of order must be noticed: the query reaches its records by binary search."""
+    monkeypatch.setattr(warc, "BLOCK_LINES", 2)
+    rows = [(i, f"http://h{i:03}.example/", f"page {i}") for i in range(40)] + [(50, None, "x"), (51, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    query = QUERIES["op9_warc"]
+    assert sorted(r["page_id"] for r in query(spark, str(tmp_path)).collect()) == [*range(40), 50, 51]
+    straight = warc.index_tail
+
+    def wrong(spark_, folder):
+        build(spark_, folder)
+        manifest = spark_.read.parquet(f"{folder}/manifest").collect()
+        system, path = warc.place(manifest[0]["uri"])
+        part = warc.IndexPart(manifest[0]["uri"])
+        data = b"".join(part._range(at, n) for _, at, n in part.directory)
+        turned = warc.zlib.compress(warc.json.dumps(part.directory[::-1]).encode())
+        with system.open_output_stream(path, compression=None) as out:
+            out.write(data + turned + straight(len(data), len(turned)))
+
+    build = warc.build_index
+    monkeypatch.setattr(warc, "build_index", wrong)
+    assert len(query(spark, str(tmp_path)).collect()) < 42
