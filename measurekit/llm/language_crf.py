@@ -6,10 +6,13 @@ distribution over the languages, so a text may switch between them; the language
 
 Training takes a bounded draw of labelled texts, up to about ``PER_LANGUAGE`` of each language by a hash of the id, all
 words of each. Their runs of words are chained across texts, which shows the model where languages
-switch. Shards learn from the common state, and the states are averaged; a state has ``FEATURES`` rows and a column a language.
+switch. Shards learn from the common state, and the states are averaged; a state has ``FEATURES`` rows and a column a language, of which there
+are at most ``MAX_LANGUAGES``, those with the most texts (ties: alphabetical order).
+
+``label_words`` gives the language of every word and how likely it is; ``predict`` the language of every text.
 
 Defined results: a text that is null, empty or without letters is ``und`` with score 0, as is every text if nothing labelled was given;
-labels that are null are left out; ids decide the draw only, never a prediction; equal texts get equal
+texts of any length are labelled whole, their words in one chain; labels that are null are left out; ids decide the draw only, never a prediction; equal texts get equal
 results; ties go to the first language in alphabetical order; other columns stay, those called like an output column are
 replaced; an empty table gives an empty table.
 """
@@ -32,6 +35,7 @@ UNKNOWN = "und"
 FEATURES = 1 << 16
 PER_LANGUAGE = 1_000
 LEXICON = 300
+MAX_LANGUAGES = 256
 SHARDS, ROUNDS = 6, 2
 #: Words of a run, runs of a training chain, chains of a step.
 RUN_WORDS, CHAIN_RUNS, STEP_CHAINS = 48, 4, 48
@@ -175,6 +179,17 @@ class Model:
         return out
 
 
+    def marginals(self, emissions: Emissions, words: list[np.ndarray]) -> np.ndarray:
+        """The distribution over the languages of every word, one sequence behind the other."""
+        chains = Chains(np.array([len(w) for w in words], dtype=np.int64))
+        moves = np.exp(self.moves).astype(np.float32)
+        emitted, alpha = chains.forward(emissions.scores()[np.concatenate(words)], np.exp(self.start).astype(np.float32), moves)
+        by_time = np.empty_like(alpha)
+        for t, _, marginal in chains.backward(emitted, alpha, moves):
+            by_time[chains.begins[t] : chains.begins[t + 1]] = marginal
+        return by_time[chains.places]
+
+
 def learn(model: Model, squares: list[np.ndarray], texts: list[list[str]], labels: list[int], seed: int) -> None:
     """One pass of stochastic steps over chained runs of words, in place; ``squares`` scales the steps."""
     runs = [(words[i : i + RUN_WORDS], y) for words, y in zip(texts, labels) for i in range(0, len(words), RUN_WORDS)]
@@ -227,7 +242,7 @@ def _step(model: Model, squares: list[np.ndarray], words: list[list[str]], label
 def _draw(labelled: DataFrame, doc_id: str, text: str, label: str, per_language: int) -> DataFrame:
     """``(id, text, lang)``: of each language the share of ids by hash that holds about ``per_language`` texts."""
     rows = labelled.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{label}`").cast("string").alias("lang")).where("lang IS NOT NULL")
-    sizes = rows.groupBy("lang").count().collect()  # a row a language
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     share = F.lit(0.0)
     for r in sizes:
         share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / r["count"]))).otherwise(share)
@@ -330,3 +345,51 @@ def predict(df: DataFrame, model: Model, text: str = "text", keep: Sequence[str]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(values)], names=[*kept, "lang_pred", "score"])
 
     return rows.mapInArrow(run, schema)
+
+
+def label_words(df: DataFrame, model: Model, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """A row for every word of every text: the columns ``keep`` (all by default), ``position`` (from 0), ``word`` (in lower case), ``word_lang`` and
+    ``probability``. Texts without words have no rows; without a learned language a word is ``und`` with probability 0.
+    """
+    ship(df.sparkSession)
+    outs = ("position", "word", "word_lang", "probability")
+    kept = [c for c in (df.columns if keep is None else keep) if c not in outs]
+    small = Model(model.languages, model.lexicon, model.weights.astype(np.float32), model.start, model.moves)
+    rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("measurekit_text"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]), "position int, word string, word_lang string, probability double"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        emissions = Emissions(small.weights, small.lexicon)
+
+        def labelled(batch: pa.RecordBatch, places: list[int], found: list[list[str]]) -> pa.RecordBatch:
+            lengths = [len(w) for w in found]
+            names, values = [UNKNOWN] * sum(lengths), np.zeros(sum(lengths))
+            if small.languages:
+                shares = small.marginals(emissions, [emissions.index(w) for w in found])
+                best = shares.argmax(axis=1)
+                names = [small.languages[i] for i in best.tolist()]
+                values = np.minimum(shares[np.arange(len(best)), best].astype(np.float64), 1.0)
+            at = pa.array(np.repeat(places, lengths))
+            columns = [batch.column(i).take(at) for i in range(batch.num_columns - 1)]
+            columns += [pa.array(np.concatenate([np.arange(n) for n in lengths]), pa.int32()), pa.array([w for words in found for w in words], pa.string())]
+            if len(emissions.rows) > WORD_CACHE:
+                emissions.reset()
+            return pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(values)], names=[*kept, *outs])
+
+        for batch in batches:
+            places: list[int] = []
+            found: list[list[str]] = []
+            size = 0
+            for i, value in enumerate(batch.column(batch.num_columns - 1)):
+                words = words_of(value.as_py())
+                if words:
+                    places.append(i)
+                    found.append(words)
+                    size += len(words)
+                if size > GROUP_WORDS // 4:
+                    yield labelled(batch, places, found)
+                    places, found, size = [], [], 0
+            if places:
+                yield labelled(batch, places, found)
+
+    return rows.mapInArrow(run, schema)
