@@ -347,7 +347,7 @@ def linked(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> DataFram
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
+def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """``df`` with ``n_shingles`` (size of the set) and ``component_id`` (smallest id linked directly or through others)."""
     ship(df.sparkSession)
     kept = [c for c in df.columns if c not in ("n_shingles", "component_id")]

@@ -194,7 +194,7 @@ def test_texts_equal_brute_force(spark, monkeypatch, small, block, run):
     monkeypatch.setattr(ngram_join, "RUN", run)
     texts = corpus()
     frame = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, id string").repartition(6)
-    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(frame).collect()}
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(frame, n=4, percent=85).collect()}
     sizes, root = brute(texts)
     assert found == {i: (sizes[i], root[i]) for i in range(len(texts))}
 
@@ -215,6 +215,6 @@ def test_texts_with_repeated_and_null_ids(spark):
     schema = "doc_id long, text string"
     assert ngram_join.join(spark.createDataFrame([], schema)).collect() == []
     rows = spark.createDataFrame([(1, "a b c d e"), (1, "q r s t u v"), (2, "q r s t u v"), (None, "a b c d e"), (3, None)], schema)
-    found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(rows).collect()]
+    found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(rows, n=4, percent=85).collect()]
     assert sorted(f for f in found if f[0] is not None) == [(1, 3, 1), (1, 3, 1), (2, 3, 1), (3, 0, 3)]
     assert [f for f in found if f[0] is None] == [(None, None, None)]
