@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import exprs
+from ..session import cut_lineage
 from .replicates import GROUP_KEYS, replicates
-from .skew import HOT_ROWS, PART_ROWS, attach, boundaries, hot_groups, part_of, split_hot
+from .skew import HOT_ROWS, attach, hot_groups, split_hot
 
 # ---- fixed values: columns of the model-ready table ----------------------------
 READY_COLUMNS = (
@@ -17,7 +18,8 @@ READY_COLUMNS = (
     "stability_flag", "ml_ready",
 )
 # --------------------------------------------------------------------------------
-TIME_PARTS = 256
+#: Rows of a time part of a hot series.
+TIME_ROWS = 500_000
 
 
 def rolling_mean(
@@ -29,61 +31,38 @@ def rolling_mean(
     out: str = "rolling_average_signal",
     digits: int = 6,
     hot_rows: int = HOT_ROWS,
-    time_parts: int = TIME_PARTS,
-    part_rows: int = PART_ROWS,
+    part_rows: int = TIME_ROWS,
 ) -> DataFrame:
     """Mean over the current and the ``window - 1`` preceding rows of the series.
 
     NULL values keep their slot and are ignored by the mean; rows without a
-    complete series key get NULL. A hot series is cut into time parts by
-    sampled split points of the first order column; every part receives the
-    last ``window - 1`` rows before it, so all parts run in parallel with exact results.
+    complete series key get NULL. Hot series, if a first count finds any, are dealt into ranges of about ``part_rows`` rows by key and time and
+    stored with the range's number. The last ``window - 1`` rows of every range are carried to as many ranges behind it, which holds all
+    rows before a range even where ranges are short, so all of them run in parallel with exact results.
     """
     keyed = F.lit(True)
     for k in partition:
         keyed = keyed & F.col(k).isNotNull()
-    tracked = df.where(keyed)
+    series = Window.partitionBy(*partition).orderBy(*order).rowsBetween(1 - window, 0)
+    mean = lambda frame: F.round(F.avg(value).over(frame), digits)
     untracked = df.where(~keyed).withColumn(out, F.lit(None).cast("double"))
-
-    hot_table = hot_groups(tracked, partition, hot_rows)
+    tracked = df.where(keyed)
+    hot_table = cut_lineage(hot_groups(tracked, partition, hot_rows))
+    rows = hot_table.agg(F.sum("group_rows")).first()[0]
+    if rows is None:
+        # rows without a series form groups of their own, whose mean is not wanted
+        return tracked.withColumn(out, mean(series)).unionByName(untracked)
     hot, cold = split_hot(tracked, partition, hot_table)
-    frame = Window.partitionBy(*partition).orderBy(*order).rowsBetween(1 - window, 0)
-    cold = cold.withColumn(out, F.round(F.avg(value).over(frame), digits))
-
-    first = order[0]
-    hot = hot.drop("group_rows")
-    sizes = hot.groupBy(*partition).agg(F.approx_count_distinct(first).alias("__d"))
-    bounds = boundaries(hot.select(*partition, first), partition, first, sizes, time_parts, part_rows)
-    placed = attach(hot, bounds, partition, how="left").withColumn(
-        "__part", part_of(F.col(first), F.col("bounds"))
-    ).drop("bounds")
-    # The last window-1 rows of every part; the rank limit prunes before the shuffle.
+    dealt = hot.drop("group_rows").repartitionByRange(-(-rows // part_rows), *partition, *order)
+    placed = cut_lineage(dealt.withColumn("__part", F.spark_partition_id()))
     newest = Window.partitionBy(*partition, "__part").orderBy(*[F.desc(o) for o in order])
-    lasts = (
-        placed.select(*partition, "__part", *dict.fromkeys([*order, value]))
-        .withColumn("__n", F.row_number().over(newest)).where(F.col("__n") < window)
-        .groupBy(*partition, "__part")
-        .agg(F.collect_list(F.struct(*dict.fromkeys([*order, value]))).alias("__tail"))
-    )
-    earlier = Window.partitionBy(*partition).orderBy("__part").rowsBetween(1 - window, -1)
-    carried = lasts.select(
-        *partition, "__part", F.flatten(F.collect_list("__tail").over(earlier)).alias("__tail")
-    ).select(
-        *partition, "__part",
-        F.explode(F.slice(F.sort_array("__tail", asc=False), 1, window - 1)).alias("__t"),
-    )
-    others = [c for c in hot.columns if c not in (*partition, *order, value)]
-    halo = carried.select(
-        *partition, "__part", *[F.col(f"__t.{c}").alias(c) for c in dict.fromkeys([*order, value])],
-        *[F.lit(None).cast(hot.schema[c].dataType).alias(c) for c in others], F.lit(True).alias("__halo"),
-    )
+    last = placed.withColumn("__n", F.row_number().over(newest)).where(F.col("__n") < window).drop("__n")
+    # a range that has no rows of the series gets none of it out either: all that is carried is left out again
+    halo = last.withColumn("__part", F.explode(F.sequence(F.col("__part") + 1, F.col("__part") + F.lit(max(window - 1, 1)))))
     inside = Window.partitionBy(*partition, "__part").orderBy(*order).rowsBetween(1 - window, 0)
-    rolled = (
-        placed.withColumn("__halo", F.lit(False)).unionByName(halo)
-        .withColumn(out, F.round(F.avg(value).over(inside), digits))
-        .where(~F.col("__halo")).drop("__halo", "__part")
-    )
-    return cold.unionByName(rolled).unionByName(untracked)
+    both = placed.withColumn("__halo", F.lit(False)).unionByName(halo.withColumn("__halo", F.lit(True)))
+    rolled = both.withColumn(out, mean(inside)).where(~F.col("__halo")).drop("__halo", "__part")
+    return cold.withColumn(out, mean(series)).unionByName(rolled).unionByName(untracked)
 
 
 def normalized(signal: str = "signal", baseline: str = "baseline_signal") -> Column:

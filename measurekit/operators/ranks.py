@@ -1,4 +1,9 @@
-"""Ranks and running counts over whole columns without a single-task window."""
+"""Ranks and running counts over whole columns without a single-task window.
+
+The distinct values are dealt out by Spark's range partitioning into as many parts as their number asks for, and stored with the part's
+number. Sums over earlier parts are prefix sums on two levels (parts of a block, blocks), so no task sees more than one part, one block's parts, or one
+number a block.
+"""
 
 from __future__ import annotations
 
@@ -6,39 +11,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .skew import PART_ROWS, attach, boundaries, part_of
+from ..session import cut_lineage
+from .skew import PART_ROWS, attach
+
+#: Parts whose totals are summed in one group, and rows of the table of offsets up to which it is copied to every task.
+BLOCK_PARTS, COPIED_ROWS = 4_096, 200_000
 
-PARTS = 512
+
+def _offsets(totals: DataFrame, keys: Sequence[str], block_parts: int) -> DataFrame:
+    """(keys, __part, __offset): the weight in all earlier parts."""
+    blocked = totals.withColumn("__block", F.floor(F.col("__part") / block_parts))
+    blocks = blocked.groupBy(*keys, "__block").agg(F.sum("__t").alias("__b"))
+    earlier = lambda *by, order: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__base", F.coalesce(F.sum("__b").over(earlier(*keys, order="__block")), F.lit(0))).drop("__b")
+    inside = blocked.withColumn("__near", F.coalesce(F.sum("__t").over(earlier(*keys, "__block", order="__part")), F.lit(0)))
+    return attach(inside, blocks, [*keys, "__block"]).select(*keys, "__part", (F.col("__base") + F.col("__near")).alias("__offset"))
 
 
 def counts_before(
-    histogram: DataFrame, keys: Sequence[str], value: str, weight: str, parts: int = PARTS, part_rows: int = PART_ROWS
+    histogram: DataFrame, keys: Sequence[str], value: str, weight: str, part_rows: int = PART_ROWS, block_parts: int = BLOCK_PARTS
 ) -> DataFrame:
     """Add ``before``: the summed weight of all smaller values of the same key.
 
-    ``histogram`` has one row per (keys, value) with a positive weight. The
-    values are cut into parts at sampled split points; each part is summed on
-    its own and the totals of the at most ``parts`` preceding parts are added.
-    ``keys`` must name few groups (a configured list of relationships or
-    columns). The histogram appears three times in the plan with the same
-    columns, so its exchange runs once and is reused.
+    ``histogram`` has one row per (keys, value) with a weight that is not negative. It is stored, and stored again in
+    ranges where it has more than ``part_rows`` rows.
     """
-    present = F.col(weight) > 0
-    sizes = histogram.groupBy(*keys).agg(F.sum(F.when(present, 1)).alias("__d"))
-    bounds = boundaries(histogram.where(present), keys, value, sizes, parts, part_rows)
-    part = part_of(F.col(value), F.col("bounds"))
-    # One exchange by part feeds both the part totals and the running sums.
-    placed = (
-        attach(histogram, bounds, keys, how="left", small=True)
-        .withColumn("__part", part).drop("bounds").repartition(*keys, "__part")
-    )
-    totals = placed.groupBy(*keys, "__part").agg(F.sum(weight).alias("__t"), F.max(value).alias("__last"))
-    earlier = Window.partitionBy(*keys).orderBy("__last").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "__part", F.coalesce(F.sum("__t").over(earlier), F.lit(0)).alias("__offset"))
-    inside = Window.partitionBy(*keys, "__part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    running = placed.withColumn("__running", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    held = cut_lineage(histogram)
+    parts = -(-held.count() // part_rows)
+    before = lambda *by: F.coalesce(F.sum(weight).over(Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if parts <= 1:
+        return held.withColumn("before", before(*keys))
+    placed = cut_lineage(held.repartitionByRange(parts, *keys, value).withColumn("__part", F.spark_partition_id()))
+    totals = placed.groupBy(*keys, "__part").agg(F.sum(weight).alias("__t"))
+    offsets = cut_lineage(_offsets(totals, keys, block_parts))
+    running = placed.withColumn("__running", before(*keys, "__part"))
     return (
-        attach(running, offsets, [*keys, "__part"], small=True)
+        attach(running, offsets, [*keys, "__part"], small=offsets.count() <= COPIED_ROWS)
         .withColumn("before", F.col("__offset") + F.col("__running"))
         .drop("__part", "__offset", "__running")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import exprs
 from ..functions.student_t import t_quantile
+from ..session import cut_lineage
 from .quantiles import bracketed_quantiles
 from .skew import HOT_ROWS, attach, hot_groups, split_hot
 
@@ -37,18 +38,20 @@ def replicates(
     """One row of statistics per group; NULL keys form groups of their own.
 
     All statistics but the median are algebraic and fold map-side. The median
-    of ordinary groups shares their aggregation; hot groups get theirs from
-    the bracketed quantile.
+    of ordinary groups shares their aggregation; hot groups, if a first count finds any, get theirs by
+    narrowing brackets.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("__v"))
-    hot_table = hot_groups(rows, keys, hot_rows)
+    plain = lambda part: part.groupBy(*keys).agg(*_moments("__v"), F.median("__v").alias("median"))
+    hot_table = cut_lineage(hot_groups(rows, keys, hot_rows))
+    if hot_table.isEmpty():
+        return finish(plain(rows), keys, level)
     hot, cold = split_hot(rows, keys, hot_table)
-    plain = cold.groupBy(*keys).agg(*_moments("__v"), F.median("__v").alias("median"))
     hot_moments = hot.groupBy(*keys).agg(*_moments("__v"))
     hot_median = bracketed_quantiles(hot.where(F.col("__v").isNotNull()), keys, "__v", (0.5,)).select(
         *keys, F.element_at("quantiles", 1).alias("median")
     )
-    return finish(plain.unionByName(attach(hot_moments, hot_median, keys, how="left")), keys, level)
+    return finish(plain(cold).unionByName(attach(hot_moments, hot_median, keys, how="left")), keys, level)
 
 
 def finish(stats: DataFrame, keys: Sequence[str], level: float = 0.95) -> DataFrame:

@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_ROWS = 1_000_000
-FAN = 16
 PART_ROWS = 50_000
 
 
@@ -46,47 +45,3 @@ def hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) ->
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of hot groups (with ``group_rows``) and rows of all other groups."""
     return attach(df, hot, keys), attach(df, hot.select(*keys), keys, how="left_anti")
-
-
-def unit_hash(value: Column) -> Column:
-    """A fixed pseudo-random number in [0, 1) that depends on the value only."""
-    return F.pmod(F.xxhash64(value), F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52))
-
-
-def boundaries(
-    df: DataFrame, keys: Sequence[str], value: str, sizes: DataFrame, parts: int, part_rows: int = PART_ROWS
-) -> DataFrame:
-    """Split points of ``value`` per key, from a hash sample of its distinct values.
-
-    ``sizes`` holds one row per key with the number ``__d`` of distinct values;
-    the caller bounds the number of keys. A key gets one part per ``part_rows``
-    distinct values, at most ``parts``; keys that need a single part get no row. The sample (about
-    eight values per part) depends on the data alone, so a task that runs again
-    or a second use of this table in the plan sees the same split points.
-    """
-    wanted = F.least(F.lit(float(parts)), F.ceil(F.col("__d") / F.lit(float(part_rows))).cast("double"))
-    large = sizes.withColumn("__parts", wanted).where("__parts > 1")
-    drawn = attach(df.where(F.col(value).isNotNull()), large, keys, small=True).where(
-        unit_hash(F.col(value)) < F.lit(8.0) * F.col("__parts") / F.col("__d")
-    )
-    sample = drawn.groupBy(*keys).agg(
-        F.sort_array(F.collect_set(value)).alias("__s"), F.first("__parts").alias("__parts")
-    )
-    step = F.greatest(F.lit(1), F.ceil(F.size("__s") / F.col("__parts")).cast("int"))
-    fine = F.filter("__s", lambda v, i: (i + 1) % step == 0)
-    return sample.select(*keys, fine.alias("fine")).select(
-        *keys,
-        F.struct("fine", F.filter("fine", lambda v, i: (i + 1) % FAN == 0).alias("coarse")).alias("bounds"),
-    )
-
-
-def part_of(value: Column, bounds: Column) -> Column:
-    """Number of split points below the value: equal values share a part, order is kept.
-
-    Two short scans (every 16th split point, then the 16 around the value)
-    instead of one over all split points.
-    """
-    below = lambda points: F.size(F.filter(points, lambda b: b < value))
-    start = F.array(below(bounds.getField("coarse")) * F.lit(FAN))
-    place = F.transform(start, lambda s: s + below(F.slice(bounds.getField("fine"), s + 1, F.lit(FAN))))
-    return F.when(bounds.isNull(), F.lit(0)).otherwise(F.element_at(place, 1))

@@ -131,3 +131,43 @@ def test_codes_follow_byte_order(spark):
     rows = spark.createDataFrame([("b", "1"), ("C", "2"), ("a", None), ("b", "2")], "x string, y string")
     out = {(r["column"], r["value"]): r["code"] for r in ranks.sorted_codes(rows, ["x", "y"], part_rows=1).collect()}
     assert out == {("x", "C"): 0, ("x", "a"): 1, ("x", "b"): 2, ("y", "1"): 0, ("y", "2"): 1}
+
+
+@pytest.mark.parametrize("grades,list_rows", [(4, 3), (16, 50), (256, 100_000)])
+def test_quantiles_by_many_rounds(spark, grades, list_rows):
+    """Coarse grades and short lists force round after round; heavy values end them early."""
+    rng = np.random.default_rng(grades)
+    groups = {
+        "even": rng.normal(size=3_000) * 1e6, "heavy": np.concatenate([np.zeros(1_200), np.ones(1_300), rng.random(500)]), "wide": 10.0 ** rng.uniform(-300, 300, 1_000) * rng.choice([-1, 1], 1_000),
+        "one": np.array([7.0]), "two": np.array([1.0, 2.0]), "same": np.full(900, 3.0), None: rng.integers(0, 5, 800).astype(float),
+    }
+    rows = spark.createDataFrame([(k, float(v)) for k, values in groups.items() for v in values], "k string, v double").repartition(5)
+    probs = (0.0, 0.25, 0.5, 0.7, 1.0)
+    found = {r["k"]: r["quantiles"] for r in quantiles.bracketed_quantiles(rows, ["k"], "v", probs, grades=grades, accuracy=500, list_rows=list_rows).collect()}
+    assert set(found) == set(groups)
+    for k, values in groups.items():
+        np.testing.assert_allclose(found[k], np.quantile(values, probs), rtol=1e-12, atol=1e-12)
+    assert quantiles.bracketed_quantiles(rows.limit(0), ["k"], "v", probs).collect() == []
+
+
+def test_ranks_in_two_thousand_parts(spark):
+    rows = spark.range(4_000).select(F.lit("k").alias("k"), ((F.col("id") * 7919) % 2_003).cast("double").alias("v")).unionByName(spark.createDataFrame([("j", 1.0), ("j", 5.0)], "k string, v double"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    histogram = rows.groupBy("k", "v").agg(F.count(F.lit(1)).alias("w"))
+    found = ranks.counts_before(histogram, ["k"], "v", "w", part_rows=1, block_parts=32)
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    values = [(i * 7919) % 2_003 for i in range(4_000)]
+    below = np.searchsorted(np.sort(values), np.arange(2_003))
+    got = {(r["k"], r["v"]): r["before"] for r in found.collect()}
+    assert got == {("j", 1.0): 0, ("j", 5.0): 1, **{("k", float(v)): int(below[v]) for v in set(values)}}
+
+
+def test_a_hot_series_in_many_time_parts(spark):
+    """More parts than any fixed ceiling, parts of a few rows, one other series."""
+    rows = spark.range(1_500).select(F.lit("d").alias("domain"), F.lit("c").alias("condition"), ((F.col("id") * 37) % 1_500).alias("time_step"), F.col("id").alias("_rid"), (F.col("id") * 3 % 11).cast("double").alias("signal"))
+    rows = rows.unionByName(rows.where("_rid < 5").withColumn("domain", F.lit("e")))
+    out = features.rolling_mean(rows, window=5, hot_rows=100, part_rows=2).toPandas()
+    for _, series in out.groupby("domain"):
+        series = series.sort_values(["time_step", "_rid"])
+        np.testing.assert_allclose(series["rolling_average_signal"], series["signal"].rolling(5, min_periods=1).mean().round(6), atol=1e-6)
+    assert len(out) == 1_505
