@@ -162,12 +162,16 @@ def bracket_midpoint(c: str | Column, open_label: str = "101+", open_value: floa
     return F.when(text == F.lit(open_label), F.lit(open_value)).otherwise((low + high) / F.lit(2.0))
 
 
+#: Limits of a logit, and distance of a probability from 0 and 1 in a loss.
+CLIP, EPSILON = 500.0, 1e-12
+
+
 def sigmoid(z: Column) -> Column:
-    bounded = F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))
+    bounded = F.greatest(F.least(z, F.lit(CLIP)), F.lit(-CLIP))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-bounded))
 
 
-def log_loss_term(y: Column, p: Column, eps: float = 1e-12) -> Column:
+def log_loss_term(y: Column, p: Column, eps: float = EPSILON) -> Column:
     """Cross-entropy of one row with the probability kept inside (eps, 1 - eps)."""
     q = F.greatest(F.least(p, F.lit(1.0 - eps)), F.lit(eps))
     return -(y * F.log(q) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - q))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -15,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import exprs
 from ..operators import metrics
+from ..operators.pairwise import nearest, vote
 from ..operators.prepare import fit_scaler
+from ..session import cut_lineage
 from ..sources.records import require_columns
 from .baseline import predict_majority, predict_mean
 
@@ -24,6 +29,7 @@ FOREST_TREES = 200
 RIDGE_ALPHA = 1.0
 LOGISTIC_C = 1.0
 LOGISTIC_ITERATIONS = 1000
+NEIGHBOURS = 5
 SEED = 42
 MAX_DEPTH = 30
 # ---------------------------------------------------------------------------------
@@ -115,14 +121,34 @@ def fit_classifier(train: DataFrame, features: Sequence[str], indexer: StringInd
     return Pipeline(stages=[*scaling_stages(train, features), model, decode]).fit(indexed)
 
 
+def predict_neighbours(df: DataFrame, train: DataFrame, features: Sequence[str], label: str, out: str = "predicted", k: int = NEIGHBOURS) -> DataFrame:
+    """``df`` with the majority label of the k nearest training rows, on columns scaled by the training part.
+
+    Training rows are among their own neighbours when they are asked for.
+    """
+    facts = fit_scaler(train, features).first()
+    vector = F.array(*[(F.col(f).cast("double") - F.lit(facts[f"{f}_mean"])) / F.lit(facts[f"{f}_std"]) for f in features])
+    base = cut_lineage(train.select(F.monotonically_increasing_id().alias("base_id"), vector.alias("vector"), F.col(label).alias("label")))
+    asked = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()).withColumn("__v", vector))
+    found = nearest(asked.select(F.col("__row").alias("query_id"), F.col("__v").alias("vector")), base, k)
+    voted = vote(found).select(F.col("query_id").alias("__row"), F.col("predicted").alias(out))
+    return asked.drop("__v").join(voted, "__row", "left").drop("__row")
+
+
 def sweep_classifiers(train: DataFrame, validation: DataFrame, features: Sequence[str], label: str, trees: int = FOREST_TREES, depth: int = MAX_DEPTH) -> Sweep:
-    """Leaderboard of train accuracy and weighted validation metrics; best by validation F1."""
+    """Leaderboard of train accuracy and weighted validation metrics; best by validation F1.
+
+    The nearest neighbours are compared too, but have no fitted pipeline: their model is the training table.
+    """
     indexer = index_labels(train, label)
     fitted = {
         name: fit_classifier(train, features, indexer, model)
         for name, model in classifiers(train.count(), trees, depth).items()
     }
-    scored = {"Dummy": lambda df: predict_majority(df, train, label, "predicted")}
+    scored = {
+        "Dummy": lambda df: predict_majority(df, train, label, "predicted"),
+        "KNN (k=5)": lambda df: predict_neighbours(df, train, features, label),
+    }
     scored.update({name: model.transform for name, model in fitted.items()})
     table = None
     for name, score in scored.items():
@@ -142,16 +168,42 @@ def sweep_classifiers(train: DataFrame, validation: DataFrame, features: Sequenc
     return Sweep(train.sparkSession.createDataFrame(rows, table.schema), fitted, rows[0]["model"])
 
 
-def save_bundle(model: PipelineModel, folder: str, metadata: Mapping, spark: SparkSession) -> None:
-    """The fitted pipeline and a one-row metadata document beside it."""
-    model.write().overwrite().save(f"{folder}/model")
-    document = spark.createDataFrame([(json.dumps(metadata, sort_keys=True),)], "value string")
-    document.coalesce(1).write.mode("overwrite").text(f"{folder}/metadata")
+def save_bundle(model: PipelineModel, folder: str, metadata: Mapping, spark: SparkSession) -> str:
+    """Save a fitted pipeline so that a reader sees the former bundle or the whole new one, never a part.
+
+    The model goes to a fresh folder below ``folder``. Only when it is there, a manifest is added that names it, its
+    metadata, and a checksum of its stages; the newest manifest counts. Nothing that a reader may hold is overwritten. Returns the model's folder.
+    """
+    name = f"model-{uuid.uuid4().hex}"
+    model.write().save(f"{folder}/{name}")
+    body = {"model": name, "metadata": dict(metadata), "stages": stage_names(model), "saved_ms": int(time.time() * 1000)}
+    line = json.dumps(body | {"checksum": checksum(body)}, sort_keys=True)
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{folder}/manifest")
+    return f"{folder}/{name}"
+
+
+def stage_names(model: PipelineModel) -> list[str]:
+    return [f"{type(stage).__name__}:{stage.uid}" for stage in model.stages]
+
+
+def checksum(body: Mapping) -> str:
+    return hashlib.sha256(json.dumps(body, sort_keys=True).encode()).hexdigest()
 
 
 def load_bundle(spark: SparkSession, folder: str) -> tuple[PipelineModel, dict]:
-    metadata = json.loads(spark.read.text(f"{folder}/metadata").first()["value"])
-    return PipelineModel.load(f"{folder}/model"), metadata
+    """The newest whole bundle and its metadata; an error where there is none, or where the model is not the one the manifest names."""
+    whole = []
+    for row in spark.read.text(f"{folder}/manifest").orderBy(F.desc(F.get_json_object("value", "$.saved_ms").cast("long"))).limit(100).collect():
+        body = json.loads(row["value"])
+        if body.pop("checksum", None) == checksum(body):
+            whole.append(body)
+    if not whole:
+        raise ValueError(f"no whole bundle in {folder}")
+    newest = whole[0]
+    model = PipelineModel.load(f"{folder}/{newest['model']}")
+    if stage_names(model) != newest["stages"]:
+        raise ValueError(f"{folder}/{newest['model']} is not the model of its manifest")
+    return model, newest["metadata"]
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:

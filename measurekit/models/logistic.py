@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import exprs
+from ..functions.exprs import CLIP, EPSILON
+from ..session import cut_lineage
+
+# Workers get the small helpers below with the job, also where the package is not installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @dataclass
@@ -28,6 +36,36 @@ class LogisticModel:
         return scored.withColumn(out, (F.col(probability) >= F.lit(self.threshold)).cast("int"))
 
 
+def numeric_blocks(df: DataFrame, columns: Sequence[Column]) -> RDD:
+    """The columns as doubles, in matrices of one Arrow batch each; rows with a NULL are left out.
+
+    The rows are written to the shared folder first, so that a lost block is read again and not computed again.
+    """
+    names = [f"c{i}" for i in range(len(columns))]
+    rows = df.select(*[c.cast("double").alias(n) for n, c in zip(names, columns)]).dropna()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                matrix = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)])
+                yield pa.RecordBatch.from_arrays([pa.array([matrix.astype("<f8").tobytes()], pa.binary())], names=["block"])
+
+    width = len(names)
+    packed = cut_lineage(rows.mapInArrow(pack, "block binary"))
+    return packed.rdd.map(lambda r: np.frombuffer(r[0], dtype="<f8").reshape(-1, width)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def block_sums(block: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    """Gradient sums of the training rows, then rows and loss of the training and of the watched rows; a block is (features, label, watched)."""
+    p = len(beta) - 1
+    x, y, watched = block[:, :p], block[:, p], block[:, p + 1] > 0
+    prob = 1.0 / (1.0 + np.exp(-np.clip(x @ beta[:p] + beta[p], -CLIP, CLIP)))
+    inside = np.clip(prob, EPSILON, 1.0 - EPSILON)
+    loss = -(y * np.log(inside) + (1.0 - y) * np.log(1.0 - inside))
+    error = np.where(watched, 0.0, prob - y)
+    return np.concatenate([error @ x, [error.sum(), (~watched).sum(), loss[~watched].sum(), watched.sum(), loss[watched].sum()]])
+
+
 def descend(
     df: DataFrame,
     features: Sequence[str],
@@ -39,33 +77,41 @@ def descend(
 ) -> LogisticModel:
     """Batch gradient descent from zero.
 
-    One aggregation per step: the gradient sums fold map-side and only
-    (features + 1) numbers come back. ``watch`` marks validation rows; they take no part in
+    The rows are held once, as numeric blocks; a step is one job over them that takes the coefficients as data and adds up
+    (features + 5) numbers in a tree, so nothing is planned or compiled from step to step. ``watch`` marks validation rows; they take no part in
     the gradient and their loss (after each step) becomes the history. Without it the
-    history is the training loss before each step. Keep ``df`` persisted across the steps.
+    history is the training loss before each step. Rows without a label, a feature or the mark are left out.
     """
     p = len(features)
-    y = F.col(label).cast("double")
     held_out = watch if watch is not None else F.lit(False)
+    blocks = numeric_blocks(df, [*[F.col(f) for f in features], F.col(label), held_out.cast("int")])
     beta = np.zeros(p + 1)
     history: list[float] = []
-    for step in range(steps + (1 if watch is not None else 0)):
-        prob = exprs.sigmoid(exprs.weighted_sum(features, beta[:p], beta[p]))
-        loss = exprs.log_loss_term(y, F.col("__p"))
-        error = F.when(~held_out, F.col("__p") - y)
-        row = df.withColumn("__p", prob).agg(
-            F.count(error).alias("n"),
-            *[F.sum(error * F.col(f)).alias(f"g{i}") for i, f in enumerate(features)],
-            F.sum(error).alias(f"g{p}"),
-            F.avg(F.when(~held_out, loss)).alias("train"),
-            F.avg(F.when(held_out, loss)).alias("watched"),
-        ).first()
-        if watch is None:
-            history.append(row["train"])
-        elif step:
-            history.append(row["watched"])
-        if step < steps:
-            beta = beta - rate * np.array([row[f"g{i}"] for i in range(p + 1)]) / row["n"]
+    sums = block_sums
+
+    def partial(held: Iterator[np.ndarray], now: np.ndarray) -> Iterator[np.ndarray]:
+        total = np.zeros(p + 5)
+        for block in held:
+            total = total + sums(block, now)
+        yield total
+
+    try:
+        depth = 2 if blocks.getNumPartitions() > 64 else 1
+        for step in range(steps + (1 if watch is not None else 0)):
+            now = beta
+            parts = blocks.mapPartitions(lambda held: partial(held, now))
+            total = parts.treeReduce(np.add, depth) if depth > 1 else sum(parts.collect(), np.zeros(p + 5))
+            gradient, (rows, loss, others, other_loss) = total[: p + 1], total[p + 1 :]
+            if rows == 0:
+                raise ValueError("no rows to learn from")
+            if watch is None:
+                history.append(float(loss / rows))
+            elif step:
+                history.append(float(other_loss / others) if others else None)
+            if step < steps:
+                beta = beta - rate * gradient / rows
+    finally:
+        blocks.unpersist()
     return LogisticModel(tuple(features), beta[:p], float(beta[p]), threshold, history)
 
 

@@ -74,12 +74,12 @@ def confusion_matrix(df: DataFrame, classes: Sequence, y: str = "actual", p: str
 
 
 def per_class(df: DataFrame, y: str = "actual", p: str = "predicted", digits: int | None = 4) -> DataFrame:
-    """(class, precision, recall, f1_score, support) for every class seen on either side.
+    """(class, precision, recall, f1_score, support) for every class seen on either side of a row with a label.
 
     Rows fold into confusion cells first; each cell then counts once for its
-    actual and once for its predicted class.
+    actual and once for its predicted class. A row without a prediction is wrong for its label; a row without a label counts nowhere.
     """
-    cells = confusion_cells(df, y, p)
+    cells = confusion_cells(df.where(F.col(y).isNotNull()), y, p)
     hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0))
     sides = cells.select(
         F.inline(
@@ -89,7 +89,7 @@ def per_class(df: DataFrame, y: str = "actual", p: str = "predicted", digits: in
             )
         )
     )
-    sums = sides.groupBy("class").agg(F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum("h").alias("h"))
+    sums = sides.where("class IS NOT NULL").groupBy("class").agg(F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum("h").alias("h"))
     r = (lambda c: c) if digits is None else (lambda c: F.round(c, digits))
     return sums.select(
         "class",
@@ -101,7 +101,7 @@ def per_class(df: DataFrame, y: str = "actual", p: str = "predicted", digits: in
 
 
 def averages(df: DataFrame, y: str = "actual", p: str = "predicted", digits: int = 4) -> DataFrame:
-    """(average, precision, recall, f1_score, support): accuracy, macro and support-weighted rows."""
+    """(average, precision, recall, f1_score, support): accuracy, macro and support-weighted rows over the rows with a label."""
     table = per_class(df, y, p, digits=None)
     w = F.col("support").cast("double")
     names = ("precision", "recall", "f1_score")
@@ -140,12 +140,19 @@ def mistake_pairs(df: DataFrame, y: str = "actual", p: str = "predicted", top: i
     return confusion_cells(misclassified(df, y, p), y, p).orderBy(F.desc("n"), "actual", "predicted").limit(top)
 
 
+def unlabelled(df: DataFrame, y: str = "actual") -> DataFrame:
+    """One row: the number of rows that the class metrics leave out."""
+    return df.agg(F.count_if(F.col(y).isNull()).alias("missing"))
+
+
 def false_negatives(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataFrame:
-    return df.where((F.col(y) == 1) & (F.col(p) == 0))
+    """The rows that ``confusion`` counts as fn: a missing prediction is wrong."""
+    return df.where((F.col(y) == 1) & (F.coalesce(F.col(p), F.lit(0)) == 0))
 
 
 def false_positives(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataFrame:
-    return df.where((F.col(y) == 0) & (F.col(p) == 1))
+    """The rows that ``confusion`` counts as fp: a missing prediction is wrong."""
+    return df.where((F.col(y) == 0) & (F.coalesce(F.col(p), F.lit(1)) == 1))
 
 
 def confidence_by_outcome(df: DataFrame, confidence: str, y: str = "actual", p: str = "predicted", digits: int = 4) -> DataFrame:

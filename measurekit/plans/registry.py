@@ -38,6 +38,7 @@ def load_all() -> None:
     from . import (  # noqa: F401
         calibration_queries,
         chart_queries,
+        closed_form_queries,
         cleaning_queries,
         model_queries,
         quality_queries,

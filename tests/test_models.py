@@ -282,7 +282,7 @@ def test_classifiers_save_load_score_and_stream(spark, blobs, tmp_path):
     train, val, test = (split.part(parts, p) for p in split.NAMES)
     sweep = library.sweep_classifiers(train, val, ["x", "y"], "label", trees=5, depth=5)
     board = {r["model"]: r for r in sweep.leaderboard.collect()}
-    assert set(board) == {"Dummy", "Logistic Regression", "Decision Tree", "Random Forest"}
+    assert set(board) == {"Dummy", "Logistic Regression", "KNN (k=5)", "Decision Tree", "Random Forest"}
     assert board["Dummy"]["val_accuracy"] < 0.5 and all(board[m]["val_f1"] > 0.95 for m in board if m != "Dummy")
     library.save_bundle(sweep.models["Random Forest"], str(tmp_path / "bundle"), {"features": ["x", "y"]}, spark)
     model, facts = library.load_bundle(spark, str(tmp_path / "bundle"))
