@@ -20,6 +20,10 @@ from ..session import cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: Rows that a task of a step handles at least, where there are so many.
+TASK_ROWS = 50_000
+
+
 @dataclass
 class LogisticModel:
     features: tuple[str, ...]
@@ -48,11 +52,13 @@ def numeric_blocks(df: DataFrame, columns: Sequence[Column]) -> RDD:
         for batch in batches:
             if batch.num_rows:
                 matrix = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)])
-                yield pa.RecordBatch.from_arrays([pa.array([matrix.astype("<f8").tobytes()], pa.binary())], names=["block"])
+                yield pa.RecordBatch.from_arrays([pa.array([len(matrix)]), pa.array([matrix.astype("<f8").tobytes()], pa.binary())], names=["n", "block"])
 
     width = len(names)
-    packed = cut_lineage(rows.mapInArrow(pack, "block binary"))
-    return packed.rdd.map(lambda r: np.frombuffer(r[0], dtype="<f8").reshape(-1, width)).persist(StorageLevel.MEMORY_AND_DISK)
+    packed = cut_lineage(rows.mapInArrow(pack, "n bigint, block binary"))
+    # a task of few rows costs more than its work
+    tasks = -(-(packed.agg(F.sum("n")).first()[0] or 1) // TASK_ROWS)
+    return packed.select("block").coalesce(min(tasks, packed.rdd.getNumPartitions())).rdd.map(lambda r: np.frombuffer(r[0], dtype="<f8").reshape(-1, width)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def block_sums(block: np.ndarray, beta: np.ndarray) -> np.ndarray:
