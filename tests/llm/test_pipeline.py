@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, name):
 
 def test_entry_registers_all_operators():
     names = contract.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLE) <= set(contract.oracle_sql())
 
 
@@ -69,14 +69,15 @@ def test_stages(spark, tmp_path):
     odd = [(9001, None, None, None, None), (9002, "", "en", "s", 0), (9003, "123 456", None, "s", 7), (None, "the and of that with is", "en", "s", 20)]
     docs = docs.unionByName(spark.createDataFrame(odd, docs.schema)).unionByName(docs.limit(3))
     benchmark = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    columns = docs.columns
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        before = [tuple(r) for r in docs.select(*corpus_pipeline.COLUMNS).collect()]
+        before = [tuple(r) for r in docs.collect()]
         stage(spark, docs, FOLDER).write.parquet(f"{tmp_path}/{k}")
         docs = spark.read.parquet(f"{tmp_path}/{k}")
         if k == 4:
             break
         after = [tuple(r) for r in docs.collect()]
-        assert docs.columns == corpus_pipeline.COLUMNS and set(after) <= set(before), name
+        assert docs.columns == columns and set(after) <= set(before), name
         gone = [r for r in before if r not in set(after)]
         if k == 0:
             assert 0 < len(gone) < 0.35 * len(before)
@@ -130,7 +131,7 @@ def test_stages_that_learned_nothing_keep_all(spark, tmp_path):
     spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     for stage in (corpus_pipeline.good_quality, corpus_pipeline.one_language):
         found = stage(spark, docs, str(tmp_path))
-        assert found.columns == corpus_pipeline.COLUMNS and sorted(r["doc_id"] for r in found.collect()) == [1, 2, 3]
+        assert found.columns == docs.columns and sorted(r["doc_id"] for r in found.collect()) == [1, 2, 3]
 
 
 def test_near_duplicate_stage_decides_on_rows(spark):
@@ -139,3 +140,34 @@ def test_near_duplicate_stage_decides_on_rows(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     found = [(r["doc_id"], r["text"]) for r in corpus_pipeline.first_of_group(spark, docs, FOLDER).collect()]
     assert sorted(found, key=str) == sorted([(1, one), (1, two), (5, three), (4, None), (None, None), (None, None)], key=str)
+
+
+def tables(spark, folder, docs):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_run_on_a_table_with_more_columns(spark, tmp_path):
+    """Columns called like outputs of the operators, and one that has no order, come through all filtering stages."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(120)
+    more = docs.selectExpr("doc_id AS score", "concat('t', doc_id) AS component_id", "text", "doc_id", "lang", "map('k', doc_id) AS n_hit", "lang AS lang_pred", "n_chars AS row", "source AS contaminated", "1 AS ids")
+    folder = tables(spark, tmp_path, more)
+    kept = {tuple(map(str, r)) for r in more.collect()}
+    now = spark.read.parquet(f"{folder}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        stage(spark, now, folder).write.parquet(f"{tmp_path}/{k}")
+        now = spark.read.parquet(f"{tmp_path}/{k}")
+        assert now.columns == more.columns and {tuple(map(str, r)) for r in now.collect()} <= kept
+    ended = corpus_pipeline.run(spark, folder)
+    assert {r["doc_id"] for r in ended.collect()} == {r["doc_id"] for r in now.collect()} and ended.columns[0] == "doc_id"
+
+
+def test_run_on_empty_and_narrow_tables(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    (tmp_path / "a").mkdir()
+    assert corpus_pipeline.run(spark, tables(spark, tmp_path / "a", docs.limit(0))).collect() == []
+    (tmp_path / "b").mkdir()
+    narrow = corpus_pipeline.run(spark, tables(spark, tmp_path / "b", docs.select("text", "doc_id").limit(40))).collect()
+    assert 0 < len(narrow) <= 40 and all(r["n_tokens"] == len(r["ids"]) for r in narrow)
