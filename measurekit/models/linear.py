@@ -8,14 +8,23 @@ their precision. The rest works on a (features + 1)-sized matrix.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import exprs
 
+# Workers get the small helpers below with the job, also where the package is not installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Features up to which every covariance is an aggregate of its own.
+FEW_FEATURES = 12
+
 
 @dataclass
 class LinearModel:
@@ -96,7 +105,13 @@ class Gram:
 
 
 def grams(df: DataFrame, features: Sequence[str], label: str, split: str | None = None) -> dict[str, Gram]:
-    """Means and covariances per part ('all' without a split column) from a single aggregation."""
+    """Means and covariances per part ('all' without a split column) from a single pass.
+
+    Few features are aggregated one by one in generated code; many as one centred matrix a task. The matrices leave out rows
+    without the label or a feature.
+    """
+    if len(features) > FEW_FEATURES:
+        return _matrix_grams(df, features, label, split)
     columns = [F.col(c).cast("double") for c in features]
     y = F.col(label).cast("double")
     p = len(columns)
@@ -115,6 +130,49 @@ def grams(df: DataFrame, features: Sequence[str], label: str, split: str | None
     return result
 
 
+def merged(n: float, mean: np.ndarray, squares: np.ndarray, m: float, other: np.ndarray, more: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Rows, mean and centred cross products of two parts together, without cancellation."""
+    apart, total = other - mean, n + m
+    return total, mean + apart * (m / total), squares + more + np.outer(apart, apart) * (n * m / total)
+
+
+def _matrix_grams(df: DataFrame, features: Sequence[str], label: str, split: str | None) -> dict[str, Gram]:
+    """One matrix a part and task, merged over groups of tasks, then over the groups; one row a part comes back."""
+    p = len(features)
+    names = [f"c{i}" for i in range(p + 1)]
+    key = (F.col(split) if split else F.lit("all")).alias("part")
+    rows = df.select(key, *[F.col(c).cast("double").alias(n) for c, n in zip([*features, label], names)]).dropna(subset=names)
+    schema = f"part {rows.schema['part'].dataType.simpleString()}, n double, mean binary, squares binary"
+    together = merged
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for frame in frames:
+            for part, some in frame.groupby("part", dropna=False):
+                x = some[names].to_numpy(dtype=np.float64)
+                mean = x.mean(axis=0)
+                mean = mean + (x - mean).mean(axis=0)  # what the first sum rounded away
+                own = float(len(x)), mean, (x - mean).T @ (x - mean)
+                held[part] = own if part not in held else together(*held[part], *own)
+        if held:
+            yield pd.DataFrame({"part": list(held), "n": [v[0] for v in held.values()], "mean": [v[1].tobytes() for v in held.values()], "squares": [v[2].tobytes() for v in held.values()]})
+
+    def merge(parts: pd.DataFrame) -> pd.DataFrame:
+        total = None
+        for n, mean, squares in zip(parts["n"], parts["mean"], parts["squares"]):
+            own = n, np.frombuffer(mean), np.frombuffer(squares).reshape(p + 1, p + 1)
+            total = own if total is None else together(*total, *own)
+        return pd.DataFrame({"part": parts["part"].iloc[:1], "n": [total[0]], "mean": [total[1].tobytes()], "squares": [total[2].tobytes()]})
+
+    folded = rows.mapInPandas(fold, schema).withColumn("task", F.pmod(F.spark_partition_id(), F.lit(256)))
+    found = folded.groupBy("part", "task").applyInPandas(lambda g: merge(g[["part", "n", "mean", "squares"]]), schema)
+    result = {}
+    for row in found.groupBy("part").applyInPandas(merge, schema).collect():
+        mean, cov = np.frombuffer(row["mean"]), np.frombuffer(row["squares"]).reshape(p + 1, p + 1) / row["n"]
+        result[row["part"]] = Gram(tuple(features), int(row["n"]), mean[:p].copy(), cov[:p, :p].copy(), float(mean[p]), cov[:p, p].copy(), float(cov[p, p]))
+    return result
+
+
 def weights_table(df: DataFrame, features: Sequence[str], weights: Sequence[float]) -> DataFrame:
     """(feature, weight), largest absolute weight first."""
     rows = [(f, float(w)) for f, w in zip(features, weights)]

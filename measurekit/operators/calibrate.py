@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
 from .ranks import average_ranks
 
 
@@ -69,18 +70,21 @@ def lines(xy: DataFrame) -> DataFrame:
     )
 
 
-def spearman(xy: DataFrame) -> DataFrame:
-    """(rel, spearman): correlation of average ranks.
+def weighted(xy: DataFrame) -> DataFrame:
+    """(rel, x, y, w): equal pairs folded into one row, stored."""
+    return cut_lineage(xy.groupBy("rel", "x", "y").agg(F.count(F.lit(1)).alias("w")))
 
-    Equal (x, y) pairs fold into weighted rows first; ranks come from the
-    part-wise running counts, so no relationship is ever sorted in one task.
+
+def spearman(folded: DataFrame) -> DataFrame:
+    """(rel, spearman) of folded pairs: correlation of average ranks.
+
+    Ranks come from the part-wise running counts, so no relationship is ever sorted in one task.
     Both axes are ranked in one plan, keyed by relationship and axis.
     """
     sides = F.array(F.struct(F.lit("x").alias("axis"), F.col("x").alias("v")), F.struct(F.lit("y").alias("axis"), F.col("y").alias("v")))
-    ranks = average_ranks(xy.select("rel", F.inline(sides)), ["rel", "axis"], "v")
+    ranks = average_ranks(folded.select("rel", "w", F.inline(sides)), ["rel", "axis"], "v", weight="w")
     side = lambda axis: ranks.where(F.col("axis") == axis).select("rel", F.col("v").alias(axis), F.col("rank").alias("r" + axis))
-    weighted = xy.groupBy("rel", "x", "y").agg(F.count(F.lit(1)).alias("w"))
-    ranked = weighted.join(side("x"), ["rel", "x"]).join(side("y"), ["rel", "y"])
+    ranked = folded.join(side("x"), ["rel", "x"]).join(side("y"), ["rel", "y"])
     # Ranks have mean (n + 1) / 2 exactly, so centred sums need no second pass.
     w = F.col("w").cast("double")
     sums = ranked.groupBy("rel").agg(
@@ -98,12 +102,14 @@ def spearman(xy: DataFrame) -> DataFrame:
     )
 
 
-def residuals(xy: DataFrame, fitted: DataFrame) -> DataFrame:
+def residuals(folded: DataFrame, fitted: DataFrame) -> DataFrame:
     """(rel, mae, rmse) of the fitted lines; the fits are at most one row per relationship."""
-    joined = xy.join(F.broadcast(fitted.select("rel", "slope", "intercept")), "rel")
-    error = F.col("y") - (F.col("slope") * F.col("x") + F.col("intercept"))
+    joined = folded.join(F.broadcast(fitted.select("rel", "slope", "intercept")), "rel")
+    error, w = F.col("y") - (F.col("slope") * F.col("x") + F.col("intercept")), F.col("w").cast("double")
+    # a relationship without a line has no errors
+    total = F.sum(F.when(error.isNotNull(), w))
     return joined.groupBy("rel").agg(
-        F.avg(F.abs(error)).alias("mae"), F.sqrt(F.avg(error * error)).alias("rmse")
+        F.try_divide(F.sum(w * F.abs(error)), total).alias("mae"), F.sqrt(F.try_divide(F.sum(w * error * error), total)).alias("rmse")
     )
 
 
@@ -113,7 +119,7 @@ def correlations(df: DataFrame, relationships: Sequence[Relationship] = RELATION
     enough = F.col("n") >= 3
     return (
         _config(df, relationships)
-        .join(F.broadcast(lines(xy)), "rel", "left").join(F.broadcast(spearman(xy)), "rel", "left")
+        .join(F.broadcast(lines(xy)), "rel", "left").join(F.broadcast(spearman(weighted(xy))), "rel", "left")
         .select(
             "domain",
             "relationship",
@@ -137,15 +143,18 @@ def fit_lines(df: DataFrame, relationships: Sequence[Relationship] = RELATIONSHI
 
 
 def calibrate(df: DataFrame, relationships: Sequence[Relationship] = RELATIONSHIPS, digits: int = 6) -> DataFrame:
-    """Correlation, fitted line and residual errors per relationship; NULL below two pairs."""
+    """Correlation, fitted line and residual errors per relationship; NULL below two pairs.
+
+    The rows are read twice: for the lines, and for the folded pairs that ranks and errors share.
+    """
     xy = pairs(df, relationships)
-    fitted = lines(xy)
+    folded, fitted = weighted(xy), cut_lineage(lines(xy))
     r = lambda c, name: F.when(F.col("n") >= 2, F.round(c, digits)).alias(name)
     return (
         _config(df, relationships)
         .join(F.broadcast(fitted), "rel", "left")
-        .join(F.broadcast(spearman(xy)), "rel", "left")
-        .join(F.broadcast(residuals(xy, fitted)), "rel", "left")
+        .join(F.broadcast(spearman(folded)), "rel", "left")
+        .join(F.broadcast(residuals(folded, fitted)), "rel", "left")
         .select(
             "domain",
             "relationship",

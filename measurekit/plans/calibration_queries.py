@@ -183,7 +183,7 @@ def correlations(spark, sf):
     PAIRS + FITS + " SELECT rel, round(spearman, 6) AS spearman FROM sp",
 )
 def spearman(spark, sf):
-    return calibrate.spearman(calibrate.pairs(related(spark, sf), RELATIONS)).select("rel", F.round("spearman", 6).alias("spearman"))
+    return calibrate.spearman(calibrate.weighted(calibrate.pairs(related(spark, sf), RELATIONS))).select("rel", F.round("spearman", 6).alias("spearman"))
 
 
 @query(

@@ -339,3 +339,31 @@ def test_chart_tables(spark):
     assert [(r["label"], r["n"]) for r in charts.status_bars(rows, "s").collect()] == [("Yes", 2), ("No", 1)]
     weights = linear.weights_table(rows, ["a", "b", "c"], [0.5, -2.0, 0.1])
     assert [(r["feature"], r["direction"]) for r in charts.weight_bars(weights, 2).collect()] == [("b", "decreases"), ("a", "increases")]
+
+
+def test_many_features_as_one_matrix(spark):
+    """300 columns, some far from zero, in several tasks and two parts."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(900, 300)) @ rng.normal(size=(300, 300)) * 0.1
+    x[:, ::7] += 1e8
+    y = x @ rng.normal(size=300) + rng.normal(size=900) + 1e6
+    part = np.where(np.arange(900) % 3 == 0, "b", "a")
+    names = [f"f{i}" for i in range(300)]
+    frame = pd.DataFrame(x, columns=names).assign(y=y, part=part)
+    rows = spark.createDataFrame(frame).repartition(6)
+    gaps = rows.limit(1).withColumn("f5", F.lit(None).cast("double"))
+    found = linear.grams(rows.unionByName(gaps), names, "y", split="part")
+    assert set(found) == {"a", "b"}
+    for name, gram in found.items():
+        own, target = x[part == name], y[part == name]
+        scale = np.sqrt(np.outer(own.var(axis=0), own.var(axis=0)))
+        centred = own - own.mean(axis=0)
+        assert gram.n == len(own)
+        np.testing.assert_allclose(gram.mean, own.mean(axis=0), rtol=1e-12, atol=1e-12)
+        assert np.abs(gram.covariance - centred.T @ centred / len(own)).max() <= 1e-7 * scale.max()
+        np.testing.assert_allclose(gram.covariance_y, centred.T @ (target - target.mean()) / len(own), rtol=1e-7, atol=1e-7 * target.std())
+    # the two ways agree
+    few = linear.grams(rows, names[1:7], "y")["all"]
+    many = linear._matrix_grams(rows, names[1:7], "y", None)["all"]
+    np.testing.assert_allclose(few.covariance, many.covariance, rtol=1e-9)
+    np.testing.assert_allclose(few.ols().weights, many.ols().weights, rtol=1e-6)
