@@ -36,7 +36,15 @@ HEADLINE = [
     "MDL8_kmeans_two_steps",
     "MDL9_knn_classifier",
     "MET8_silhouette",
+    "MET8_squared_silhouette",
     "CHT8_probability_histogram",
+    "SRC1_read_submissions",
+    "SRC1_read_line_breaks",
+    "MDL7_multinomial_on_one_feature",
+    "MDL10_tree_on_one_feature",
+    "MDL11_forest_on_one_feature",
+    "MDL13_regressors_on_one_feature",
+    "MDL14_saved_model_scoring",
 ]
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,27 +20,24 @@ def feature_array(columns: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in columns])
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-
-
 def nearest_centre(vector: str, centres: np.ndarray) -> Column:
-    """struct(distance, cluster) of the closest centre, the smallest index on a tie. Native, no join."""
-    table = F.array(
-        *[
-            F.struct(F.lit(i).alias("cluster"), F.array(*[F.lit(float(x)) for x in centre]).alias("centre"))
-            for i, centre in enumerate(centres)
-        ]
-    )
-    return F.array_min(
-        F.transform(
-            table,
-            lambda c: F.struct(
-                squared_distance(F.col(vector), c.getField("centre")).alias("distance"),
-                c.getField("cluster").alias("cluster"),
-            ),
-        )
-    )
+    """struct(distance, cluster) of the closest centre, the smallest index on a tie; squared distances, by Arrow batches.
+
+    Both are NULL without a vector, or where one of its components is missing.
+    """
+    table = np.asarray(centres, dtype=np.float64)
+
+    def best(vectors: pd.Series) -> pd.DataFrame:
+        known = vectors.notna().to_numpy()
+        distance, cluster = np.full(len(vectors), np.nan), np.zeros(len(vectors), dtype=np.int32)
+        if known.any():
+            points = np.stack([np.asarray(v, dtype=np.float64) for v in vectors[known]])
+            each = np.stack([((points - centre) ** 2).sum(axis=1) for centre in table], axis=1)
+            distance[known], cluster[known] = each.min(axis=1), each.argmin(axis=1)
+        found = ~np.isnan(distance)
+        return pd.DataFrame({"distance": pd.Series(distance).where(found, None), "cluster": pd.Series(cluster).astype("Int32").where(found)})
+
+    return F.pandas_udf(best, "distance double, cluster int")(F.col(vector))
 
 
 @dataclass

@@ -194,7 +194,10 @@ def load_bundle(spark: SparkSession, folder: str) -> tuple[PipelineModel, dict]:
     """The newest whole bundle and its metadata; an error where there is none, or where the model is not the one the manifest names."""
     whole = []
     for row in spark.read.text(f"{folder}/manifest").orderBy(F.desc(F.get_json_object("value", "$.saved_ms").cast("long"))).limit(100).collect():
-        body = json.loads(row["value"])
+        try:
+            body = json.loads(row["value"])
+        except ValueError:  # a manifest that was cut off
+            continue
         if body.pop("checksum", None) == checksum(body):
             whole.append(body)
     if not whole:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
 from . import metrics
 from .calibrate import Relationship, lines, pairs
 from .profile import value_counts
@@ -19,6 +20,8 @@ CLASS_BINS = 40
 CONFIDENCE_BINS = 30
 WEAK_F1 = 0.9
 TOP_WEIGHTS = 10
+#: Series whose ranges are copied to every task.
+COPIED_SERIES = 100_000
 # ---------------------------------------------------------------------------------
 
 
@@ -88,14 +91,14 @@ def identity_limits(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> Data
 def histogram(df: DataFrame, value: str, series: str | Column, bins: int) -> DataFrame:
     """(series, bin, left, right, n): equal bins over each series' own range, last bin closed.
 
-    ``series`` must take few values (classes); their ranges are one row each.
+    The ranges, one row a series, are copied to every task only where they are few.
     """
     rows = df.select((F.col(series) if isinstance(series, str) else series).alias("series"), F.col(value).cast("double").alias("v")).where(
         F.col("v").isNotNull()
     )
     ranges = rows.groupBy("series").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     flat = F.col("lo") == F.col("hi")
-    ranges = ranges.select(
+    ranges = cut_lineage(ranges).select(
         "series",
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
@@ -103,7 +106,7 @@ def histogram(df: DataFrame, value: str, series: str | Column, bins: int) -> Dat
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     index = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(bins))), F.lit(bins - 1))
     return (
-        attach(rows, ranges, ["series"], small=True)
+        attach(rows, ranges, ["series"], small=ranges.count() <= COPIED_SERIES)
         .groupBy("series", "lo", "hi", index.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
         .select(
             "series", "bin",

@@ -26,16 +26,25 @@ def build_session(app: str = "measurekit", cpus: int | str = "*", shuffle_partit
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names, else one in its warehouse; a temporary one only on a single machine."""
+    """The shared folder the session names, else one in its warehouse; a temporary one only on a single machine.
+
+    A warehouse on a machine's own disk is not shared: on a cluster that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder and spark.sparkContext.master.startswith("local["):
         folder = tempfile.mkdtemp(prefix="measurekit-checkpoint-")
     elif not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/measurekit"
+        folder = shared_warehouse(spark.conf.get("spark.sql.warehouse.dir"))
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def shared_warehouse(warehouse: str) -> str:
+    if warehouse.startswith("file:") or "://" not in warehouse:
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share: the warehouse {warehouse} is a machine's own")
+    return f"{warehouse}/measurekit"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder and read back from there.
 

@@ -1,5 +1,7 @@
 """Small inputs and expected outputs as CSV text."""
 
+# ---- fixed values: inputs, and the results that must come out of them ----------
+
 SUBMISSIONS = """\
 name,domain,task,score,submitted
 Aarav,ML,Task2,8,yes

@@ -367,3 +367,72 @@ def test_many_features_as_one_matrix(spark):
     many = linear._matrix_grams(rows, names[1:7], "y", None)["all"]
     np.testing.assert_allclose(few.covariance, many.covariance, rtol=1e-9)
     np.testing.assert_allclose(few.ols().weights, many.ols().weights, rtol=1e-6)
+
+
+# ---- fixed values: probe rows (N, P, K, temperature, humidity, ph, rainfall) and the crop each stands for -----
+PROBES = {
+    "rice": (90, 42, 43, 20.9, 82.0, 6.50, 202.9),
+    "maize": (71, 54, 16, 22.6, 63.7, 5.75, 87.8),
+    "apple": (24, 128, 196, 22.8, 90.7, 5.52, 110.4),
+    "cotton": (133, 47, 24, 24.4, 79.2, 7.23, 90.8),
+    "coffee": (91, 21, 26, 26.3, 57.4, 7.26, 191.7),
+}
+# ------------------------------------------------------------------------------------------------------------------
+
+
+def test_probe_rows_get_their_labels_from_a_loaded_bundle(spark, tmp_path):
+    """Training rows scatter around the probes; neighbours, forest and the loaded forest name all five."""
+    names = ["N", "P", "K", "temperature", "humidity", "ph", "rainfall"]
+    rng = np.random.default_rng(16)
+    rows = [(*(float(v) for v in np.array(p) * rng.normal(1.0, 0.06, 7)), crop) for crop, p in PROBES.items() for _ in range(40)]
+    train = spark.createDataFrame(rows, [*names, "label"])
+    probes = spark.createDataFrame([(*(float(v) for v in p), crop) for crop, p in PROBES.items()], [*names, "expected"])
+    model = library.fit_classifier(train, names, library.index_labels(train, "label"), library.classifiers(len(rows), trees=20, depth=8)["Random Forest"])
+    library.save_bundle(model, str(tmp_path / "b"), {"features": names}, spark)
+    loaded, facts = library.load_bundle(spark, str(tmp_path / "b"))
+    for scored, column in ((library.score(loaded, probes, facts["features"]), "predicted_class"), (library.predict_neighbours(probes, train, names, "label"), "predicted")):
+        found = {r["expected"]: r[column] for r in scored.collect()}
+        assert found == {crop: crop for crop in PROBES}
+
+
+def test_a_broken_off_save_leaves_the_former_bundle(spark, blobs, tmp_path):
+    _, _, rows = blobs
+    table = rows.select(F.col("v")[0].alias("x"), F.concat(F.lit("c"), "label").alias("label"))
+    fit = lambda: library.fit_classifier(table, ["x"], library.index_labels(table, "label"), library.classifiers(240)["Decision Tree"])
+    folder = str(tmp_path / "bundle")
+    with pytest.raises(Exception):
+        library.load_bundle(spark, folder)
+    library.save_bundle(fit(), folder, {"version": 1}, spark)
+    # the next save ends before its manifest, and another manifest is damaged
+    fit().write().save(f"{folder}/model-unfinished")
+    spark.createDataFrame([('{"model": "model-unfinished", "metadata": {"version": 2}, "stages": [], "saved_ms": 99999999999999, "checksum": "x"}',), ("{",)], "value string").write.mode("append").text(f"{folder}/manifest")
+    assert library.load_bundle(spark, folder)[1] == {"version": 1}
+    library.save_bundle(fit(), folder, {"version": 3}, spark)
+    assert library.load_bundle(spark, folder)[1] == {"version": 3}
+
+
+def test_masks_agree_with_the_confusion_counts(spark):
+    rows = spark.createDataFrame([(1, None), (1, 0), (0, None), (0, 1), (None, 1), (1, 1), (0, 0)], "y_true int, y_pred int")
+    counts = metrics.confusion(rows).first()
+    assert (counts["fn"], counts["fp"], counts["missing"]) == (2, 2, 1)
+    assert metrics.false_negatives(rows).count() == 2 and metrics.false_positives(rows).count() == 2
+    named = rows.select(F.col("y_true").cast("string").alias("actual"), F.col("y_pred").cast("string").alias("predicted"))
+    assert {r["class"]: r["support"] for r in metrics.per_class(named).collect()} == {"0": 3, "1": 3} and metrics.unlabelled(named).first()[0] == 1
+    right = spark.createDataFrame([("a", "a"), ("b", "b"), (None, "a")], "actual string, predicted string")
+    assert {r["recall"] for r in metrics.averages(right).collect()} == {1.0}
+
+
+def test_nearest_centre_without_vector(spark):
+    rows = spark.createDataFrame([(0, [0.0, 1.0]), (1, None), (2, [None, 1.0]), (3, [5.0, 5.0])], "id int, v array<double>")
+    best = kmeans.nearest_centre("v", np.array([[0.0, 0.0], [4.0, 4.0], [0.0, 0.0]]))
+    found = {r["id"]: (r["d"], r["c"]) for r in rows.select("id", best.getField("distance").alias("d"), best.getField("cluster").alias("c")).collect()}
+    assert found == {0: (1.0, 0), 1: (None, None), 2: (None, None), 3: (2.0, 1)}
+
+
+def test_no_shared_folder_on_a_machines_own_disk():
+    from measurekit.session import shared_warehouse
+
+    assert shared_warehouse("hdfs://x/w") == "hdfs://x/w/measurekit"
+    for own in ("file:/tmp/w", "/tmp/w", "spark-warehouse"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_warehouse(own)
