@@ -15,10 +15,6 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-SLOW = {
-    "MDL13_classifier_leaderboard", "MDL13_regressor_leaderboard", "MDL11_random_forest", "MDL10_decision_tree",
-    "MDL7_multinomial_logistic", "MDL14_saved_model_scoring",
-}
 
 def library():
     """The library's own queries; those of the optional subpackage are tested beside it."""
@@ -56,7 +52,7 @@ def test_contract():
     assert set(registry.QUERIES) <= set(queries)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in library() if n not in SLOW))
+@pytest.mark.parametrize("name", sorted(library()))
 def test_query(spark, database, name):
     frame = contract.queries()[name](spark, FOLDER)
     rows = frame.collect()
