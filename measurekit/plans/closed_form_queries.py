@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.student_t import t_quantile
 from ..models import kmeans, library, linear, logistic
 from ..operators import metrics
 from ..operators.summary import summarize
@@ -164,6 +165,35 @@ def summary_values(spark, sf):
     return back.select("total_students", "submitted_count", "missing_count", "average_score", F.col("highest_scorer.score").alias("highest_score"), F.col("lowest_scorer_submitted.score").alias("lowest_score"))
 
 
+@query("JON7_inputs_with_predictions", WITH_SIDES + " SELECT id, s.x, label, best AS predicted FROM s JOIN t ON s.x = t.x")
+def inputs_with_predictions(spark, sf):
+    """Predictions stand beside the inputs they were made from, row by row; no positions are compared."""
+    rows = sides(spark, sf).select("id", "x", "label")
+    return fitted(rows, "Decision Tree").transform(rows).select("id", "x", "label", "predicted")
+
+
+# ---- fixed values: published two-sided 95 % points of Student's t, by degrees of freedom -------------------------------
+T_95 = {
+    1: 12.706, 2: 4.303, 3: 3.182, 4: 2.776, 5: 2.571, 6: 2.447, 7: 2.365, 8: 2.306, 9: 2.262, 10: 2.228, 11: 2.201, 12: 2.179, 13: 2.160, 14: 2.145, 15: 2.131,
+    16: 2.120, 17: 2.110, 18: 2.101, 19: 2.093, 20: 2.086, 21: 2.080, 22: 2.074, 23: 2.069, 24: 2.064, 25: 2.060, 26: 2.056, 27: 2.052, 28: 2.048, 29: 2.045, 30: 2.042,
+}
+# --------------------------------------------------------------------------------------------------------------------------
+T_GROUPS = "SELECT 'o' || l_orderkey AS name, count(*) - 1 AS df FROM lineitem GROUP BY l_orderkey UNION ALL SELECT 'd' || CAST(l_shipdate AS DATE), count(*) - 1 FROM lineitem GROUP BY CAST(l_shipdate AS DATE)"
+
+
+@query(
+    "AGG10_published_quantiles",
+    f"WITH g AS ({T_GROUPS}), t(df, t) AS (VALUES " + ", ".join(f"({k}, {v}::DOUBLE)" for k, v in T_95.items()) + ") SELECT name, g.df, t FROM g JOIN t ON g.df = t.df",
+)
+def published_quantiles(spark, sf):
+    """The critical values of every group's degrees of freedom, against a published table instead of the same formula."""
+    rows = table(spark, sf, "lineitem")
+    count = (F.count(F.lit(1)) - 1).alias("df")
+    orders = rows.groupBy(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("name")).agg(count)
+    days = rows.groupBy(F.concat(F.lit("d"), F.col("l_shipdate").cast("date").cast("string")).alias("name")).agg(count)
+    return orders.unionByName(days).where("df BETWEEN 1 AND 30").select("name", "df", F.round(t_quantile(F.col("df")), 3).alias("t"))
+
+
 # ---- AGG4 with its lists and its map, as tables -----------------------------------------------------
 
 LISTED = {

@@ -20,7 +20,7 @@ from .split_queries import RANKED, parts
 
 @query("MDL1_mean_regressor", f"WITH {RANKED} SELECT c_custkey, c_acctbal AS y_true, round((SELECT avg(c_acctbal) FROM parts WHERE split = 'train'), 6) AS y_pred FROM parts WHERE split = 'test'")
 def mean_regressor(spark, sf):
-    rows = parts(spark, sf)
+    rows = cut_lineage(parts(spark, sf))  # for the mean and for the rows
     test, train = split.part(rows, "test"), split.part(rows, "train")
     scored = baseline.predict_mean(test, train, "c_acctbal")
     return scored.select("c_custkey", F.col("c_acctbal").alias("y_true"), F.round("y_pred", 6).alias("y_pred"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import prepare, split
+from ..session import cut_lineage
 from ..sources.records import table
 from .registry import query
 
@@ -94,7 +95,18 @@ def lookup_join(spark, sf):
     WITH_PARTS + " SELECT c_custkey, split, CAST(c_acctbal > (SELECT median(c_acctbal) FROM parts WHERE split = 'train') AS INTEGER) AS high FROM parts",
 )
 def threshold_label(spark, sf):
-    return prepare.threshold_label(parts(spark, sf), "c_acctbal", "high").select("c_custkey", "split", "high")
+    rows = cut_lineage(parts(spark, sf))  # for the median and for the rows
+    return prepare.threshold_label(rows, "c_acctbal", "high").select("c_custkey", "split", "high")
+
+
+@query(
+    "SCL25_label_replaces_placeholder",
+    WITH_PARTS + " SELECT c_custkey, split, CAST(c_acctbal > (SELECT median(c_acctbal) FROM parts WHERE split = 'train') AS INTEGER) AS high FROM parts",
+)
+def placeholder(spark, sf):
+    """A label column that holds 0 until the split is known is replaced by the real label."""
+    rows = cut_lineage(parts(spark, sf).withColumn("high", F.lit(0)))
+    return prepare.threshold_label(rows, "c_acctbal", "high").select("c_custkey", "split", "high")
 
 
 SCALED = ("l_quantity", "l_discount", "l_tax")
@@ -118,6 +130,6 @@ def scaler(spark, sf):
     "SELECT c_custkey, split, round((c_acctbal - m) / sd, 6) AS scaled FROM parts, s",
 )
 def standardize(spark, sf):
-    rows = parts(spark, sf)
+    rows = cut_lineage(parts(spark, sf))  # for the fit and for the rows
     fitted = prepare.fit_scaler(rows.where(F.col("split") == "train"), ["c_acctbal"])
     return prepare.apply_scaler(rows, fitted, ["c_acctbal"]).select("c_custkey", "split", F.round("c_acctbal", 6).alias("scaled"))
