@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import measurekit
+from measurekit.session import shared_warehouse
 
 #: Rows of a batch that a worker function handles at once.
 SLICE_ROWS = 1_000
@@ -81,12 +82,12 @@ def map_column(
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``, else one in the warehouse; a temporary one only on a single machine."""
+    """The shared folder named in ``spark.checkpoint.dir``, else one in the warehouse if that is shared; a temporary one only on a single machine."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_measurekit_folder", None)
     if not folder and context.master.startswith("local["):
         folder = context._measurekit_folder = "file://" + tempfile.mkdtemp(prefix="measurekit-shared-")
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/measurekit"
+    return folder or shared_warehouse(spark.conf.get("spark.sql.warehouse.dir"))
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
