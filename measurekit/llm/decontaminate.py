@@ -137,7 +137,11 @@ def covered(spans: Column) -> Column:
 def contamination(
     docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window_words: int = WINDOW_WORDS
 ) -> DataFrame:
-    """``docs`` with ``n_words``, ``n_hit`` (words inside an occurrence), ``items`` (sorted ids as strings) and ``contaminated``."""
+    """``docs`` with ``n_words``, ``n_hit`` (words inside an occurrence), ``items`` (sorted ids as strings) and ``contaminated``.
+
+    Rows are numbered as they are read. Where ``docs`` comes out of a shuffle instead of stored files, store it first: a task that runs again may get its rows in
+    another order.
+    """
     outputs = ["n_words", "n_hit", "items", "contaminated"]
     kept = [c for c in docs.columns if c not in outputs]
     inner = [f"kept{i}" for i in range(len(kept))]
