@@ -223,7 +223,7 @@ def oil_sales(spark: SparkSession, source: str, target: str) -> dict[str, DataFr
 
 def heart_disease(spark: SparkSession, source: str, target: str) -> dict[str, DataFrame]:
     """Encoded flags and categories, then the logistic study on has_heart_disease."""
-    raw = records.read_plain(spark, source)
+    raw = cut_lineage(records.read_plain(spark, source))
     flags = ("exercise_induced_angina", "family_history", "wearable_owner")
     truth = lambda c: exprs.yes_no(c).isin("yes").cast("int")
     rows = raw.withColumns({c: truth(c) for c in flags}).withColumn("has_heart_disease", exprs.integer("has_heart_disease"))
