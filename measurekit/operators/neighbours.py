@@ -7,7 +7,8 @@ this bound cannot exclude: a row of a cell is no nearer than the query's distanc
 and, as it lies nearer to its own pivot than to the query's, no nearer than half the difference of the query's
 distances from both. In data with clusters those are few.
 
-Cells are cut into blocks of bounded size by a hash, and so are the queries that visit a block, so no task holds more than one block of each. What
+Cells are cut into blocks of bounded size by a hash, and so are the queries that visit a block, so no task holds more than one block of each. A block's distances come from matrix products; pairs that these cannot rule out are computed
+again from their differences, so ranks and distances are those of the differences. What
 goes through the driver are pivots and one row a cell, bounded by ``MAX_PIVOTS``; beyond ``MAX_PIVOTS`` blocks of base rows
 the cells get more blocks instead of growing in number.
 """
@@ -34,6 +35,8 @@ MAX_PIVOTS = 4_096
 CUBE = 1 << 22
 #: Room for the rounding of distances, as a share of those compared.
 SLACK = 1e-9
+#: Rounding of a squared distance from single-precision products, as a share of the squared lengths and for each component.
+SINGLE = 4.0 * np.finfo(np.float32).eps
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -49,6 +52,54 @@ def distances(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[slice, np.ndarray]
         yield part, np.sqrt(np.einsum("ijk,ijk->ij", difference, difference))
 
 
+def between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of the rows of ``a`` from those of ``b``, one by one."""
+    out = np.empty(len(a))
+    step = max(1, CUBE // max(a.shape[1], 1))
+    for start in range(0, len(a), step):
+        difference = a[start : start + step] - b[start : start + step]
+        out[start : start + step] = np.sqrt(np.einsum("ij,ij->i", difference, difference))
+    return out
+
+
+def closest(a: np.ndarray, b: np.ndarray, k: int, limits: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row of ``a``, row of ``b``, distance) of the ``k`` nearest rows of ``b``, or all that are no farther than ``limits`` of a row if those are fewer.
+
+    Ties go to the first rows of ``b``. Products in single precision only tell which pairs cannot be among them; all others are computed from their differences.
+    """
+    known = b[np.isfinite(b).all(axis=1)]
+    centre = known.mean(axis=0) if len(known) else np.zeros(b.shape[1])
+    with np.errstate(all="ignore"):
+        left, right = a - centre, b - centre
+        scale = max((np.abs(m[np.isfinite(m)]).max(initial=0.0) for m in (left, right))) or 1.0
+        left, right = left / scale, right / scale
+        own, other = np.einsum("ij,ij->i", left, left), np.einsum("ij,ij->i", right, right)
+        low, right = left.astype(np.float32), np.ascontiguousarray(right.astype(np.float32).T)
+        longest = other[np.isfinite(other)].max(initial=0.0)
+        room = SINGLE * (a.shape[1] + 8) * (own + longest) + 1e-30
+        step = max(1, CUBE // max(len(b), 1))
+        for start in range(0, len(a), step):
+            part = slice(start, start + step)
+            squares = low[part] @ right
+            squares *= -2.0
+            squares += other.astype(np.float32)
+            # the length of the row itself is the same for all: it stands on the other side
+            reach = np.full(len(squares), np.inf)
+            if k < len(b):
+                reach = np.partition(squares, k - 1, axis=1)[:, k - 1] + 2.0 * room[part]
+            if limits is not None:
+                reach = np.fmin(reach, (limits[part] / scale) ** 2 * (1.0 + SLACK) - own[part] + room[part])
+            i, j = np.nonzero(~(squares > np.nextafter(reach.astype(np.float32), np.float32(np.inf))[:, None]))
+            d = between(a[part][i], b[j])
+            order = np.lexsort((j, d, i))
+            i, j, d = i[order], j[order], d[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            some = place < k
+            if limits is not None:
+                some &= ~(d > limits[part][i] * (1.0 + SLACK))
+            yield i[some] + start, j[some], d[some]
+
+
 def pivots_of(base: DataFrame, vector: str, rows: int) -> np.ndarray:
     """About one vector for ``rows`` base rows, by the smallest hash: a bounded draw that does not depend on the order of rows."""
     count = base.count()
@@ -77,7 +128,7 @@ def in_cells(base: DataFrame, vector: str, pivots: np.ndarray) -> DataFrame:
 
 def visits(queries: DataFrame, vector: str, pivots: np.ndarray, cells: pd.DataFrame, k: int, bound: str | None = None) -> DataFrame:
     """``queries`` once for every cell to visit (``cell``): the nearest ones with k rows, or with ``bound`` those that it cannot exclude and that were not among them."""
-    kept = [f for f in queries.schema if f.name != bound]
+    kept = queries.schema
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "cells array<int>"])
     names = [f.name for f in kept]
     order = cells["cell"].to_numpy()
@@ -108,14 +159,15 @@ def visits(queries: DataFrame, vector: str, pivots: np.ndarray, cells: pd.DataFr
 
 
 def tiles(visiting: DataFrame, placed: DataFrame, sizes: DataFrame, query_id: str, base_id: str, payload: str, k: int, query_block: int) -> DataFrame:
-    """(query_id, base_id, payload, distance): up to k nearest base rows of every visited block."""
+    """(query_id, base_id, payload, distance): up to k nearest base rows of every visited block, none beyond a query's ``bound`` if it has one."""
     types = {f.name: f.dataType.simpleString() for f in [*visiting.schema, *placed.schema]}
     schema = f"`{query_id}` {types[query_id]}, `{base_id}` {types[base_id]}, `{payload}` {types[payload]}, distance double"
     # one row a visited cell: its blocks, and the groups into which its queries are dealt
     groups = visiting.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(query_block))).cast("int").alias("groups"))
     plan = groups.join(sizes.select("cell", "blocks"), "cell")
     left = visiting.join(plan, "cell").withColumn("group", F.pmod(F.xxhash64(query_id), F.col("groups").cast("long")).cast("int"))
-    left = left.select(query_id, "qv", "cell", "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    bound = ["bound"] if "bound" in visiting.columns else []
+    left = left.select(query_id, "qv", *bound, "cell", "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     right = placed.join(plan, "cell").withColumn("block", F.pmod(F.xxhash64(base_id), F.col("blocks").cast("long")).cast("int"))
     right = right.select(base_id, payload, "bv", "cell", "block", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"))
 
@@ -124,13 +176,12 @@ def tiles(visiting: DataFrame, placed: DataFrame, sizes: DataFrame, query_id: st
             return pd.DataFrame(columns=[query_id, base_id, payload, "distance"])
         right = right.sort_values(base_id, kind="stable").reset_index(drop=True)
         ids, payloads, query_ids = right[base_id].to_numpy(), right[payload].to_numpy(), left[query_id].to_numpy()
-        parts = []
-        for rows, d in distances(matrix(left["qv"]), matrix(right["bv"])):
-            # a stable sort keeps ids ascending among equal distances
-            order = np.argsort(d, axis=1, kind="stable")[:, :k]
-            flat = order.ravel()
-            found = {query_id: np.repeat(query_ids[rows], order.shape[1]), base_id: ids[flat], payload: payloads[flat]}
-            parts.append(pd.DataFrame({**found, "distance": np.take_along_axis(d, order, axis=1).ravel()}))
+        limits = left["bound"].to_numpy() if bound else None
+        # ids ascend, so the first of equal distances has the smallest
+        parts = [
+            pd.DataFrame({query_id: query_ids[i], base_id: ids[j], payload: payloads[j], "distance": d})
+            for i, j, d in closest(matrix(left["qv"]), matrix(right["bv"]), k, limits)
+        ]
         return pd.concat(parts, ignore_index=True)
 
     key = ["cell", "block", "group"]
