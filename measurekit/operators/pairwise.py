@@ -1,7 +1,7 @@
 """Distances between rows and clusters: votes of neighbours, silhouettes.
 
 The Euclidean silhouette compares every row with every other one. The table is cut into blocks by a hash of the ids; one task handles one
-pair of blocks with numpy and returns only one distance sum per cluster, never the pairs. Block counts follow from row
+unordered pair of blocks by matrix products and returns only one distance sum per row and cluster, never the pairs. Block counts follow from row
 counts inside the plan, so nothing has to fit anywhere as a whole and nothing is broadcast. Hashing unique ids keeps the blocks even.
 Its work grows with the square of the rows.
 
@@ -20,35 +20,64 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .neighbours import nearest  # noqa: F401
+from .neighbours import between, nearest  # noqa: F401
 
 # Workers get the small helpers below with the job, also where the package is not installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-QUERY_BLOCK = 8_192
-BASE_BLOCK = 8_192
-CHUNK = 32
+BLOCK = 8_192
+#: Larger tables have larger blocks, up to this, so that a row is sent to fewer tasks.
+MAX_BLOCK = 32_768
+#: Blocks from which on they grow.
+MANY_BLOCKS = 24
+#: Distances held at once.
+CHUNK = 1 << 22
+#: Squared distances below this share of the squared lengths are computed from the differences: products would cancel.
+CANCELLED = 1e-4
 
 
 def _block_count(df: DataFrame, rows: int) -> Column:
-    counted = df.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(float(rows)))).cast("int").alias("b"))
-    return counted.scalar()
+    blocks = lambda size: F.ceil(F.count(F.lit(1)) / F.lit(float(size)))
+    wanted = F.greatest(F.lit(1), F.least(blocks(rows), F.lit(MANY_BLOCKS)), blocks(max(rows, MAX_BLOCK)))
+    return df.agg(wanted.cast("int").alias("b")).scalar()
 
 
-def _blocks(queries: DataFrame, base: DataFrame, q_id: str, b_id: str, query_block: int, base_block: int):
-    q_blocks, b_blocks = _block_count(queries, query_block), _block_count(base, base_block)
-    own = lambda c, n: F.pmod(F.xxhash64(c), n.cast("long")).cast("int")
-    left = queries.withColumn("__q", own(q_id, q_blocks)).withColumn("__b", F.explode(F.sequence(F.lit(0), b_blocks - 1)))
-    right = base.withColumn("__b", own(b_id, b_blocks)).withColumn("__q", F.explode(F.sequence(F.lit(0), q_blocks - 1)))
-    return left.groupBy("__q", "__b").cogroup(right.groupBy("__q", "__b"))
+def _pairs_of_blocks(left: DataFrame, right: DataFrame, q_id: str, b_id: str, rows: int):
+    """Every unordered pair of blocks of one table once, as the cogroup of its sides."""
+    blocks = _block_count(left, rows)
+    own = lambda c: F.pmod(F.xxhash64(c), blocks.cast("long")).cast("int")
+    first = left.withColumn("__q", own(q_id)).withColumn("__b", F.explode(F.sequence(F.col("__q"), blocks - 1)))
+    second = right.withColumn("__b", own(b_id)).withColumn("__q", F.explode(F.sequence(F.lit(0), F.col("__b"))))
+    return first.groupBy("__q", "__b").cogroup(second.groupBy("__q", "__b"))
 
 
 def _distances(q: np.ndarray, b: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
-    """Euclidean distances of a few query rows at a time to the whole block."""
-    for start in range(0, len(q), CHUNK):
-        part = slice(start, start + CHUNK)
-        difference = q[part, None, :] - b[None, :, :]
-        yield part, np.sqrt(np.einsum("ijk,ijk->ij", difference, difference))
+    """Euclidean distances of some query rows at a time to the whole block.
+
+    They come from matrix products; where those would cancel, or are not finite, from the differences.
+    """
+    known = b[np.isfinite(b).all(axis=1)]
+    centre = known.mean(axis=0) if len(known) else np.zeros(b.shape[1])
+    with np.errstate(all="ignore"):
+        left, right = q - centre, b - centre
+        own, other = np.einsum("ij,ij->i", left, left), np.einsum("ij,ij->i", right, right)
+        odd = ~np.isfinite(other)
+        longest, right = other[~odd].max(initial=0.0), np.ascontiguousarray(right.T)
+        step = max(1, CHUNK // max(len(b), 1))
+        for start in range(0, len(q), step):
+            part = slice(start, start + step)
+            d = left[part] @ right
+            d *= -2.0
+            d += own[part, None]
+            d += other
+            again = ~(d > (CANCELLED * (own[part] + longest))[:, None])
+            if odd.any():
+                again[:, odd] = True
+            np.sqrt(d, out=d)
+            if again.any():
+                i, j = np.nonzero(again)
+                d[i, j] = between(q[part][i], b[j])
+            yield part, d
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -64,15 +93,21 @@ def vote(neighbours: DataFrame, query_id: str = "query_id", payload: str = "labe
 
 
 def distance_sums(
-    rows: DataFrame, row_id: str, vector: str, cluster: str, query_block: int = QUERY_BLOCK, base_block: int = BASE_BLOCK
+    rows: DataFrame, row_id: str, vector: str, cluster: str, query_block: int = BLOCK, base_block: int = BLOCK
 ) -> DataFrame:
     """(id, own, other, total, n): per row and cluster the summed distance to the other rows and their number."""
     q = rows.select(F.col(row_id).alias("id"), F.col(cluster).cast("long").alias("own"), F.col(vector).cast("array<double>").alias("qv"))
     b = rows.select(F.col(row_id).alias("bid"), F.col(cluster).cast("long").alias("other"), F.col(vector).cast("array<double>").alias("bv"))
     id_type = q.schema["id"].dataType.simpleString()
+    columns = ["id", "own", "other", "total", "n"]
+
+    def table(ids: np.ndarray, own: np.ndarray, labels: np.ndarray, total: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        size, width = len(ids), len(labels)
+        return pd.DataFrame(
+            {"id": np.repeat(ids, width), "own": np.repeat(own, width), "other": np.tile(labels, size), "total": total.ravel(), "n": n.ravel().astype(np.int64)}
+        )
 
-    def sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = ["id", "own", "other", "total", "n"]
+    def sums(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame(columns=columns)
         labels, code = np.unique(right["other"].to_numpy(), return_inverse=True)
@@ -80,23 +115,22 @@ def distance_sums(
         bids, ids, own = right["bid"].to_numpy(), left["id"].to_numpy(), left["own"].to_numpy()
         bm, qm = _matrix(right["bv"]), _matrix(left["qv"])
         parts = []
+        if key[0] == key[1]:  # a block with itself holds all rows of an id
+            for rows_, d in _distances(qm, bm):
+                others = (ids[rows_][:, None] != bids[None, :]).astype(np.float64)
+                parts.append(table(ids[rows_], own[rows_], labels, (d * others) @ member, others @ member))
+            return pd.concat(parts, ignore_index=True)
+        # of two blocks every distance counts for both rows
+        mine, place = np.unique(own, return_inverse=True)
+        belongs = np.eye(len(mine))[place]
+        back = np.zeros((len(bids), len(mine)))
         for rows_, d in _distances(qm, bm):
-            others = (ids[rows_][:, None] != bids[None, :]).astype(np.float64)
-            size = d.shape[0]
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "id": np.repeat(ids[rows_], len(labels)),
-                        "own": np.repeat(own[rows_], len(labels)),
-                        "other": np.tile(labels, size),
-                        "total": ((d * others) @ member).ravel(),
-                        "n": (others @ member).ravel().astype(np.int64),
-                    }
-                )
-            )
+            parts.append(table(ids[rows_], own[rows_], labels, d @ member, np.tile(member.sum(axis=0), (len(d), 1))))
+            back += d.T @ belongs[rows_]
+        parts.append(table(bids, right["other"].to_numpy(), mine, back, np.tile(belongs.sum(axis=0), (len(bids), 1))))
         return pd.concat(parts, ignore_index=True)
 
-    partial = _blocks(q, b, "id", "bid", query_block, base_block).applyInPandas(
+    partial = _pairs_of_blocks(q, b, "id", "bid", min(query_block, base_block)).applyInPandas(
         sums, f"id {id_type}, own bigint, other bigint, total double, n bigint"
     )
     return partial.groupBy("id", "own", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))

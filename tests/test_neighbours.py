@@ -84,3 +84,52 @@ def test_squared_sums_equal_pairs(spark):
     assert got["n"] == 90 and got["silhouette"] == pytest.approx(np.mean(scores), abs=2e-6)
     assert pairwise.squared_silhouette(rows.withColumn("c", F.lit(1)), "id", "v", "c").first()["silhouette"] == 0.0
     assert tuple(pairwise.squared_silhouette(rows.limit(0), "id", "v", "c").first()) == (0.0, 0)
+
+
+def dense(a, b, k):
+    """Distances of every pair from their differences, and the nearest."""
+    d = np.sqrt(((a[:, None] - b[None]) ** 2).sum(-1))
+    return d, np.argsort(d, axis=1, kind="stable")[:, :k]
+
+
+@pytest.mark.parametrize("scale, shift", [(1.0, 0.0), (1e-25, 0.0), (1e25, 0.0), (1.0, 1e6), (1e-3, 1e3)])
+def test_products_never_hide_a_neighbour(scale, shift):
+    rng = np.random.default_rng(5)
+    b = np.concatenate([rng.normal(size=(300, 8)), rng.integers(0, 2, size=(100, 8)), rng.normal(size=(40, 8)) * 1e-5]) * scale + shift
+    a = np.concatenate([b[::20], rng.normal(size=(30, 8)) * scale + shift])
+    d, order = dense(a, b, 6)
+    found = [np.concatenate(c) for c in zip(*neighbours.closest(a, b, 6))]
+    assert found[0].tolist() == np.repeat(np.arange(len(a)), 6).tolist() and found[1].tolist() == order.ravel().tolist()
+    assert np.allclose(found[2], np.take_along_axis(d, order, 1).ravel(), rtol=1e-14, atol=0)
+    limit = np.take_along_axis(d, order[:, 2:3], 1)[:, 0]
+    some = [np.concatenate(c) for c in zip(*neighbours.closest(a, b, 6, limit))]
+    assert set(zip(some[0], some[1])) == {(i, j) for i in range(len(a)) for j in order[i] if d[i, j] <= limit[i] * (1 + 1e-12)}
+    sums = np.concatenate([part for _, part in pairwise._distances(a, b)])
+    assert np.allclose(sums, d, rtol=1e-9, atol=0)
+
+
+def test_products_with_components_that_are_no_numbers():
+    b = np.array([[0.0, 1.0], [np.nan, 1.0], [np.inf, 0.0], [1.0, 1.0], [5.0, 5.0]])
+    a = np.array([[0.0, 0.0], [np.nan, 0.0]])
+    found = [np.concatenate(c) for c in zip(*neighbours.closest(a, b, 3))]
+    assert found[1][:3].tolist() == [0, 3, 4] and found[0].tolist() == [0] * 3 + [1] * 3 and np.isnan(found[2][3:]).all()
+    sums = np.concatenate([part for _, part in pairwise._distances(a, b)])
+    assert np.isinf(sums[0, 2]) and np.isnan(sums[0, 1]) and np.isnan(sums[1]).all() and np.isfinite(sums[0, [0, 3, 4]]).all()
+
+
+def test_large_tables_have_larger_blocks(spark):
+    rows = spark.range(2_000).select(F.col("id"))
+    assert [rows.agg(pairwise._block_count(rows, n).alias("b")).first()["b"] for n in (4_000, 500, 10)] == [1, 4, 24]
+
+
+def test_tiles_are_multiplied_not_spread_out():
+    """A tile of two thousand rows a side: differences of every pair and full sorts took several times as long."""
+    import time
+
+    rng = np.random.default_rng(6)
+    a, b = rng.normal(size=(2_000, 64)), rng.normal(size=(2_000, 64))
+    start = time.perf_counter()
+    plain = np.concatenate([np.sort(d, axis=1)[:, :5] for _, d in neighbours.distances(a, b)])
+    middle = time.perf_counter()
+    found = np.concatenate([d for _, _, d in neighbours.closest(a, b, 5)])
+    assert np.array_equal(found, plain.ravel()) and time.perf_counter() - middle < (middle - start) / 2
