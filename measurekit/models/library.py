@@ -22,6 +22,7 @@ from ..operators.pairwise import nearest, vote
 from ..operators.prepare import fit_scaler
 from ..session import cut_lineage
 from ..sources.records import require_columns
+from . import forest
 from .baseline import predict_majority, predict_mean
 
 # ---- fixed values: settings of the compared models -----------------------------
@@ -92,10 +93,7 @@ def sweep_regressors(train: DataFrame, validation: DataFrame, features: Sequence
     """Fit every regressor, score it on the validation part, order by R2 (first wins on a tie)."""
     facts = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("s")).first()
     stages = scaling_stages(train, features)
-    fitted = {
-        name: Pipeline(stages=[*stages, model]).fit(train)
-        for name, model in regressors(label, facts["n"], facts["s"], trees, depth).items()
-    }
+    fitted = {name: fit_stages(stages, model, train) for name, model in regressors(label, facts["n"], facts["s"], trees, depth).items()}
     scored = {"Dummy": predict_mean(validation, train, label, "prediction")}
     scored.update({name: model.transform(validation) for name, model in fitted.items()})
     table = None
@@ -108,6 +106,14 @@ def sweep_regressors(train: DataFrame, validation: DataFrame, features: Sequence
     return Sweep(train.sparkSession.createDataFrame(rows, table.schema), fitted, rows[0]["model"])
 
 
+def fit_stages(stages: Sequence, model, train: DataFrame, *more) -> PipelineModel:
+    """The stages before a model, the model and the transformers behind it as one fitted pipeline; trees are grown by ``forest``."""
+    if not forest.supported(model):
+        return Pipeline(stages=[*stages, model, *more]).fit(train)
+    before = Pipeline(stages=list(stages)).fit(train)
+    return PipelineModel([*before.stages, forest.grow(model, before.transform(train)), *more])
+
+
 def index_labels(train: DataFrame, label: str) -> StringIndexerModel:
     return StringIndexer(
         inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc"
@@ -118,7 +124,7 @@ def fit_classifier(train: DataFrame, features: Sequence[str], indexer: StringInd
     """Scaling, model and label decoding as one saved unit; scoring input needs no label column."""
     indexed = indexer.transform(train)
     decode = IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels)
-    return Pipeline(stages=[*scaling_stages(train, features), model, decode]).fit(indexed)
+    return fit_stages(scaling_stages(train, features), model, indexed, decode)
 
 
 def predict_neighbours(df: DataFrame, train: DataFrame, features: Sequence[str], label: str, out: str = "predicted", k: int = NEIGHBOURS) -> DataFrame:
