@@ -62,11 +62,37 @@ def between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def first_copies(points: np.ndarray, k: int) -> np.ndarray:
+    """The places of the first ``k`` rows of every distinct vector."""
+    whole = np.ascontiguousarray(points).view(np.dtype((np.void, points.shape[1] * points.itemsize)))[:, 0] if points.shape[1] else np.zeros(len(points))
+    _, code, counts = np.unique(whole, return_inverse=True, return_counts=True)
+    if counts.max(initial=0) <= k:
+        return np.arange(len(points))
+    order = np.argsort(code, kind="stable")
+    rank = np.arange(len(code)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.sort(order[rank < k])
+
+
+def without_copies(base: DataFrame, base_id: str, vector: str, k: int) -> DataFrame:
+    """``base`` without rows that have ``k`` equal vectors with smaller ids in their batch: they are nobody's nearest ones."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                frame = frame.sort_values(base_id, kind="stable")
+                yield frame.iloc[first_copies(matrix(frame[vector]), k)]
+
+    return base.mapInPandas(run, schema)
+
+
 def closest(a: np.ndarray, b: np.ndarray, k: int, limits: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row of ``a``, row of ``b``, distance) of the ``k`` nearest rows of ``b``, or all that are no farther than ``limits`` of a row if those are fewer.
 
     Ties go to the first rows of ``b``. Products in single precision only tell which pairs cannot be among them; all others are computed from their differences.
     """
+    places = first_copies(b, k)
+    b = b[places]
     known = b[np.isfinite(b).all(axis=1)]
     centre = known.mean(axis=0) if len(known) else np.zeros(b.shape[1])
     with np.errstate(all="ignore"):
@@ -97,7 +123,7 @@ def closest(a: np.ndarray, b: np.ndarray, k: int, limits: np.ndarray | None = No
             some = place < k
             if limits is not None:
                 some &= ~(d > limits[part][i] * (1.0 + SLACK))
-            yield i[some] + start, j[some], d[some]
+            yield i[some] + start, places[j[some]], d[some]
 
 
 def pivots_of(base: DataFrame, vector: str, rows: int) -> np.ndarray:
@@ -204,7 +230,8 @@ def nearest(
     Rows without a vector have no neighbours and are nobody's. Fewer than k base rows are all neighbours.
     """
     q = cut_lineage(queries.select(F.col(query_id), F.col(vector).cast("array<double>").alias("qv")).where("qv IS NOT NULL"))
-    b = cut_lineage(base.select(F.col(base_id), F.col(payload), F.col(vector).cast("array<double>").alias("bv")).where("bv IS NOT NULL"))
+    b = base.select(F.col(base_id), F.col(payload), F.col(vector).cast("array<double>").alias("bv")).where("bv IS NOT NULL")
+    b = cut_lineage(without_copies(b, base_id, "bv", k))
     closest = Window.partitionBy(query_id).orderBy("distance", base_id)
     pivots = pivots_of(b, "bv", base_block)
     if not len(pivots):

@@ -133,3 +133,14 @@ def test_tiles_are_multiplied_not_spread_out():
     middle = time.perf_counter()
     found = np.concatenate([d for _, _, d in neighbours.closest(a, b, 5)])
     assert np.array_equal(found, plain.ravel()) and time.perf_counter() - middle < (middle - start) / 2
+
+
+def test_copies_are_folded_before_they_are_compared(spark):
+    """Thousands of copies of two vectors: only the k smallest ids of a batch travel, and they are found."""
+    rows = [(i, [float(i % 2)], i) for i in range(4_000)]
+    base = spark.createDataFrame(rows, "base_id long, vector array<double>, label long").coalesce(1)
+    assert neighbours.without_copies(base, "base_id", "vector", 3).count() <= 6
+    queries = spark.createDataFrame([(i, [float(i % 2)]) for i in range(50)], "query_id long, vector array<double>")
+    found = {(r["query_id"], r["rank"]): r["base_id"] for r in neighbours.nearest(queries, base, 3).collect()}
+    assert found == {(q, r + 1): q % 2 + 2 * r for q in range(50) for r in range(3)}
+    assert neighbours.first_copies(np.array([[1.0], [2.0], [1.0], [1.0]]), 2).tolist() == [0, 1, 2]
