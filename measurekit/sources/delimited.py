@@ -77,9 +77,13 @@ def headers(spark: SparkSession, first: DataFrame, sep: str) -> list[Header]:
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
-    """The first line of every file that is not blank."""
+    """The first line of every file that is not blank.
+
+    Its number is found first, by an aggregation that holds one number a file: kept along with the text, all lines of a file's first block would be sorted.
+    """
     start = lines.where((F.col("block") == 0) & (F.trim(LINE) != ""))
-    return start.groupBy("file").agg(F.min_by(LINE, "id").alias(LINE))
+    found = start.groupBy("file").agg(F.min("id").alias("id"))
+    return start.join(F.broadcast(found), ["file", "id"]).select("file", LINE)  # one row a file
 
 
 def plain(spark: SparkSession, path: str | Sequence[str], sep: str, header: bool) -> list[tuple[Header | None, DataFrame]]:
