@@ -218,3 +218,14 @@ def test_texts_with_repeated_and_null_ids(spark):
     found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(rows, n=4, percent=85).collect()]
     assert sorted(f for f in found if f[0] is not None) == [(1, 3, 1), (1, 3, 1), (2, 3, 1), (3, 0, 3)]
     assert [f for f in found if f[0] is None] == [(None, None, None)]
+
+
+def test_common_words_do_not_meet_by_chance(spark, docs, monkeypatch):
+    """N-grams of common words that two texts happen to share are no candidates: those of rare words stand before them."""
+    rng = random.Random(5)
+    texts = [" ".join([f"own{i}x{k}" for k in range(40)] + [rng.choice("the of and to in a is it".split()) for _ in range(60)]) for i in range(60)]
+    seen, groups = [], ngram_join.candidate_groups
+    monkeypatch.setattr(ngram_join, "candidate_groups", lambda classes, percent: seen.append(classes) or groups(classes, percent))
+    assert len({r["component_id"] for r in ngram_join.join(docs(texts + texts[:1]), n=4, percent=85).collect()}) == 60
+    grams = [g for r in seen[0].collect() for g in r["prefix"]]
+    assert len(grams) > 600 and len(set(grams)) == len(grams)
