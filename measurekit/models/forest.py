@@ -6,12 +6,15 @@ one aggregation a level, and a node whose rows fit a task is handed over with it
 pruning and parameters are those of the estimators, and the result is their own model, written in its storage format by
 the tasks and loaded. Bootstraps and drawn features come from the seed, in another order than Spark's.
 
-The rows travel as packed blocks of bin numbers. Through the driver go the thresholds, the nodes above the subtrees, and, when it is loaded,
-the model itself, which Spark ML holds there.
+Spark ML holds a loaded model in the driver. A model of more than ``DRIVER_BYTES`` stays in the shared folder as packed subtrees instead
+(``StoredModel``): a task takes many rows at once through one subtree after the other. Its columns are those of Spark's model.
+
+The rows travel as packed blocks of bin numbers. Through the driver go the thresholds and the nodes above the subtrees.
 """
 
 from __future__ import annotations
 
+import io
 import json
 import sys
 import time
@@ -20,10 +23,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import cloudpickle
+from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier, RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage, shared_folder
@@ -38,6 +45,11 @@ TASK_NUMBERS = 1 << 24
 PASS_NUMBERS = 1 << 25
 #: Rows of a partition of the packed rows.
 PART_ROWS = 50_000
+#: Bytes of a model, as Spark ML holds it, up to which it is loaded into the driver, and those of a node without its statistics.
+DRIVER_BYTES = 1 << 27
+NODE_BYTES = 200
+#: Rows that a task takes through the trees of a stored model at once.
+SCORED_ROWS = 1 << 16
 #: A gain below this share of the impurity is rounding (regression).
 ROUNDING = 1e-13
 EPSILON = 2.0**-52
@@ -49,7 +61,7 @@ MODELS = {
     RandomForestRegressor: RandomForestRegressionModel,
 }
 PACKED = "start bigint, rows int, bins binary, y binary"
-NODES = "tree int, root int, id int, prediction double, impurity double, stats array<double>, gain double, left int, right int, feature int, bin int"
+NODES = "tree int, root int, id int, prediction double, impurity double, stats array<double>, gain double, left int, right int, feature int, bin int, packed binary"
 
 
 def supported(estimator) -> bool:
@@ -411,6 +423,7 @@ def _split_large(store, tops, kind, features, subset, width, classes, most, limi
 
 def _finish(spark: SparkSession, estimator, store, tops, kind, features, subset, classes, most, seed, bagged, mean, cuts):
     """Grow the subtrees, number all nodes, write the model and load it."""
+    forest = hasattr(estimator, "getNumTrees")
     jobs = sum(len(top.tasks) for top in tops.values())
     routes = {t: top for t, top in tops.items() if top.tasks}
     depths = {(t, node): most - top.depth[node] for t, top in tops.items() for node in top.tasks}
@@ -440,6 +453,7 @@ def _finish(spark: SparkSession, estimator, store, tops, kind, features, subset,
         return pa.table({
             "tree": whole(np.full(count, tree)), "root": whole(np.full(count, root)), "id": whole(np.arange(count)), "prediction": pa.array(prediction), "impurity": pa.array(nodes["impurity"]),
             "stats": lists, "gain": pa.array(nodes["gain"]), "left": whole(nodes["left"]), "right": whole(nodes["right"]), "feature": whole(nodes["feature"]), "bin": whole(nodes["bin"]),
+            "packed": pa.array([piece(nodes, ballots(stats, prediction, classes, forest))] + [None] * (count - 1), pa.binary()),
         })
 
     dealt = store.mapInPandas(deal, "tree int, root int, start bigint, bins binary, y binary, w binary").repartition(min(max(jobs, 1), 512), "tree", "root")
@@ -459,6 +473,9 @@ def _finish(spark: SparkSession, estimator, store, tops, kind, features, subset,
         rows, offset = _numbered(t, top, sizes, classes, mean)
         above += rows
         offsets += offset
+    total = len(above) + sum(r["n"] for r in sizes.values())
+    if total * (NODE_BYTES + 8 * (classes or 3)) > DRIVER_BYTES:
+        return _kept(spark, estimator, grown, above, offsets, classes, features, len(tops), cuts)
     table = spark.createDataFrame(offsets, "tree int, root int, place int, offset int") if offsets else None
     number = lambda c: F.when(F.col(c) < 0, -1).when(F.col(c) == 0, F.col("place")).otherwise(F.col("offset") + F.col(c) - 1)
     columns = ["tree", "id", "prediction", "impurity", "stats", "gain", "left", "right", "feature", "bin"]
@@ -502,6 +519,170 @@ def _numbered(t: int, top: Top, sizes: dict, classes: int, mean: float) -> tuple
     return rows, offsets
 
 
+# ---- models that stay in the shared folder --------------------------------------------------------------------------------
+
+
+def ballots(stats: np.ndarray, prediction: np.ndarray, classes: int, forest: bool) -> np.ndarray:
+    """What each node adds to the raw prediction of a row that ends there: shares of the classes in a forest, their counts in a tree, or a number."""
+    if not classes:
+        return prediction[:, None]
+    total = stats.sum(axis=1, keepdims=True)
+    return np.divide(stats, total, out=np.zeros(stats.shape), where=total > 0) if forest else stats
+
+
+def piece(nodes: dict[str, np.ndarray], votes: np.ndarray) -> bytes:
+    """A packed subtree; a leaf has -1 to its left and its place among the distinct votes to its right."""
+    leaf = nodes["left"] < 0
+    distinct, which = np.unique(votes[leaf], axis=0, return_inverse=True)
+    right = nodes["right"].astype(np.int32)
+    right[leaf] = which.ravel()
+    out = io.BytesIO()
+    np.savez(out, left=nodes["left"].astype(np.int32), right=right, feature=nodes["feature"].astype(np.int32), bin=nodes["bin"].astype(np.int32), votes=distinct)
+    return out.getvalue()
+
+
+def pieces(folder: str, tree: int) -> Iterator[tuple[int, bytes]]:
+    """The packed subtrees of a tree, one after the other."""
+    system, path = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+    for name in sorted(i.path for i in system.get_file_info(fs.FileSelector(f"{path}/tree={tree}")) if i.path.endswith(".parquet")):
+        with system.open_input_file(name) as file:
+            for batch in pq.ParquetFile(file).iter_batches(batch_size=1, columns=["root", "packed"]):
+                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+
+
+def descend(nodes, bins: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The leaf in which each of the ``rows`` ends."""
+    left, right, feature, cut = (nodes[k] for k in ("left", "right", "feature", "bin"))
+    node, open_ = np.zeros(len(rows), dtype=np.int64), np.arange(len(rows))
+    while True:
+        open_ = open_[left[node[open_]] >= 0]
+        if not len(open_):
+            return node
+        at = node[open_]
+        node[open_] = np.where(bins[rows[open_], feature[at]] <= cut[at], left[at], right[at])
+
+
+def raw_predictions(bins: np.ndarray, state: dict[str, np.ndarray], trees: int, folder: str, width: int) -> np.ndarray:
+    """The sums of the votes, tree by tree as Spark adds them."""
+    out, every = np.zeros((len(bins), width)), np.arange(len(bins))
+    for t in range(trees):
+        top = {k: state[f"{k}-{t}"] for k in ("left", "right", "feature", "bin", "root", "votes")}
+        node = descend(top, bins, every)
+        root = top["root"][node]
+        out[root < 0] += top["votes"][node[root < 0]]
+        wanted = set(root[root >= 0].tolist())
+        for at, packed in pieces(folder, t) if wanted else ():
+            if at in wanted:
+                nodes, rows = np.load(io.BytesIO(packed)), np.flatnonzero(root == at)
+                nodes = {k: nodes[k] for k in nodes.files}
+                out[rows] += nodes["votes"][nodes["right"][descend(nodes, bins, rows)]]
+    return out
+
+
+class StoredModel(Model, MLReadable, MLWritable):
+    """A tree or forest whose subtrees stay in a shared folder. Its columns are those of Spark's model of the same nodes.
+
+    ``state`` has the thresholds and, of each tree, the nodes above its subtrees; ``facts`` names columns, classes and trees.
+    """
+
+    def __init__(self, folder: str, state: dict[str, np.ndarray], facts: dict) -> None:
+        super().__init__()
+        self.folder, self.state, self.facts = folder, state, facts
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        facts, state, folder = self.facts, self.state, self.folder
+        trees, classes, features = facts["trees"], facts["classes"], facts["features"]
+
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            held: list[np.ndarray] = []
+
+            def scored() -> Iterator[pd.Series]:
+                if held:
+                    raw, at = raw_predictions(np.concatenate(held), state, trees, folder, classes or 1), 0
+                    for part in held:
+                        yield pd.Series(list(raw[at : at + len(part)]))
+                        at += len(part)
+                held.clear()
+
+            for batch in batches:
+                x = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, features))
+                held.append(np.stack([np.searchsorted(state[f"cuts-{f}"], x[:, f], side="left") for f in range(features)], axis=1).astype(np.uint16))
+                if sum(map(len, held)) >= SCORED_ROWS:
+                    yield from scored()
+            yield from scored()
+
+        raw, prediction = F.pandas_udf(run, "array<double>")(vector_to_array(facts["featuresCol"])), facts["predictionCol"]
+        if not classes:
+            return dataset.withColumn(prediction, raw[0] / F.lit(trees))
+        votes = "measurekit_votes"
+        share = F.aggregate(votes, F.lit(0.0), lambda a, b: a + b)
+        out = dataset.withColumn(votes, raw).withColumn("measurekit_sum", share)
+        return out.withColumns({
+            facts["rawPredictionCol"]: array_to_vector(votes),
+            facts["probabilityCol"]: array_to_vector(F.transform(votes, lambda v: F.when(F.col("measurekit_sum") != 0, v / F.col("measurekit_sum")).otherwise(v))),
+            prediction: (F.array_position(votes, F.array_max(votes)) - 1).cast("double"),
+        }).drop(votes, "measurekit_sum")
+
+    def write(self) -> MLWriter:
+        return _StoredWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _StoredReader()
+
+
+class _StoredWriter(MLWriter):
+    def __init__(self, model: StoredModel) -> None:
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        spark, out = self.sparkSession, io.BytesIO()
+        np.savez(out, **self.model.state)
+        DefaultParamsWriter.saveMetadata(self.model, path, spark, extraMetadata={"facts": self.model.facts})
+        spark.createDataFrame([(out.getvalue(),)], "state binary").coalesce(1).write.parquet(f"{path}/state")
+        _write_pieces(spark.read.parquet(self.model.folder), f"{path}/pieces", self.model.facts["trees"])
+
+
+class _StoredReader(MLReader):
+    def load(self, path: str) -> StoredModel:
+        spark = self.sparkSession
+        metadata = DefaultParamsReader.loadMetadata(path, spark)
+        with np.load(io.BytesIO(spark.read.parquet(f"{path}/state").first()["state"])) as found:
+            state = {k: found[k] for k in found.files}
+        return StoredModel(f"{path}/pieces", state, metadata["facts"])._resetUid(metadata["uid"])
+
+
+def _write_pieces(rows: DataFrame, folder: str, trees: int) -> None:
+    rows.select("tree", "root", "packed").repartition(min(trees, 512), "tree").write.partitionBy("tree").parquet(folder)
+
+
+def _kept(spark: SparkSession, estimator, grown: DataFrame, above: list[tuple], offsets: list[tuple], classes: int, features: int, trees: int, cuts: list[np.ndarray]) -> StoredModel:
+    folder = shared_folder(spark, "pieces")
+    _write_pieces(grown.where("packed IS NOT NULL"), folder, trees)
+    forest = hasattr(estimator, "getNumTrees")
+    state = {f"cuts-{f}": c for f, c in enumerate(cuts)}
+    by_tree: dict[int, tuple[list, list]] = {t: ([], []) for t in range(trees)}
+    for row in above:
+        by_tree[row[0]][0].append(row)
+    for row in offsets:
+        by_tree[row[0]][1].append(row)
+    for t, (nodes, roots) in by_tree.items():
+        size = len(nodes) + len(roots)
+        whole = {k: np.full(size, -1, dtype=np.int64) for k in ("left", "right", "feature", "bin", "root")}
+        votes = np.zeros((size, classes or 1))
+        for _, i, prediction, _, stats, _, left, right, feature, cut in nodes:
+            whole["left"][i], whole["right"][i], whole["feature"][i], whole["bin"][i] = left, right, feature, cut
+            votes[i] = ballots(np.array([stats]), np.array([prediction]), classes, forest)[0]
+        for _, root, place, _ in roots:
+            whole["root"][place] = root
+        state |= {f"{k}-{t}": v for k, v in whole.items()} | {f"votes-{t}": votes}
+    facts = {"trees": trees, "classes": classes, "features": features, "featuresCol": estimator.getFeaturesCol(), "predictionCol": estimator.getPredictionCol()}
+    if classes:
+        facts |= {"rawPredictionCol": estimator.getRawPredictionCol(), "probabilityCol": estimator.getProbabilityCol()}
+    return StoredModel(folder, state, facts)
+
+
 # ---- Spark ML's storage format ------------------------------------------------------------------------------------------
 
 

@@ -77,3 +77,27 @@ def test_full_trees_end_soon(spark):
     model = library.fit_classifier(rows, names, library.index_labels(rows, "label"), library.classifiers(2_500, trees=60)["Random Forest"])
     right = model.transform(rows).where("predicted = label").count()
     assert right > 2_450 and time.perf_counter() - start < 90
+
+
+@pytest.mark.parametrize("limit", [1 << 17, 100])
+def test_a_model_too_large_for_the_driver_stays_in_the_folder(spark, points, monkeypatch, limit, tmp_path):
+    """A forest of full trees took the driver's memory; it answers as Spark's model of the same nodes does."""
+    monkeypatch.setattr(forest, "TASK_ROWS", limit)
+    columns = ["rawPrediction", "probability", "prediction"]
+    common = {"maxDepth": 30, "maxBins": 16, "seed": 42}
+    trees = [DecisionTreeClassifier(labelCol="y", **common), DecisionTreeRegressor(labelCol="z", **common)]
+    forests = [RandomForestClassifier(labelCol="y", numTrees=7, **common), RandomForestRegressor(labelCol="z", numTrees=7, **common)]
+    for estimator in [*forests, *trees] if limit == 100 else forests[:1]:
+        loaded = forest.grow(estimator, points)
+        with monkeypatch.context() as patched:
+            patched.setattr(forest, "DRIVER_BYTES", 0)
+            patched.setattr(forest, "SCORED_ROWS", 50)
+            stored = forest.grow(estimator, points)
+            assert isinstance(stored, forest.StoredModel) and type(loaded) in forest.MODELS.values()
+            PipelineModel([stored]).save(str(tmp_path / estimator.uid))
+            again = PipelineModel.load(str(tmp_path / estimator.uid))
+            names = [c for c in columns if c in loaded.transform(points).columns]
+            wanted = loaded.transform(points).select("f0", *names).collect()
+            for model in (stored, again):
+                assert model.transform(points).columns == [*points.columns, *names]
+                assert model.transform(points).select("f0", *names).collect() == wanted
